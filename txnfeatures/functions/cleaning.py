@@ -29,7 +29,7 @@ def rename_ci(df: DataFrame, renames: dict[str, str]) -> DataFrame:
 
 def select_universal(df: DataFrame, types: dict[str, str] = UNIVERSAL_TYPES) -> DataFrame:
     """The output contract: its columns, in order, in their types."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    return df.selectExpr(*[f"CAST(`{c}` AS {t}) AS `{c}`" for c, t in types.items()])
 
 
 def label(c, kind: str = "int") -> Column:
@@ -49,7 +49,7 @@ CONSTANT_GROUPS = {
 def constants(*groups: str) -> dict[str, Column]:
     """Typed constants for feature groups a source cannot supply."""
     types = UNIVERSAL_TYPES
-    return {c: F.lit(v).cast(types[c]) for g in groups for c, v in CONSTANT_GROUPS[g].items()}
+    return {c: F.expr(f"CAST({v} AS {types[c]})") for g in groups for c, v in CONSTANT_GROUPS[g].items()}
 
 
 def fill_missing_groups(df: DataFrame, *groups: str, source: str | None = None) -> DataFrame:

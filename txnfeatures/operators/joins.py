@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 
 
-def attach_by_key(df: DataFrame, stats: DataFrame, key: str, weight: str, values: list[str]) -> DataFrame:
+def attach_by_key(
+    df: DataFrame, stats: DataFrame, key: str, weight: str, values: list[str], total: int | None = None
+) -> DataFrame:
     """Left join ``values`` of ``stats`` (unique ``key``; ``weight`` is its row
-    count, at least 1).
+    count, at least 1; ``total`` is the sum of weights or more, if known).
 
     Rows of hot keys get their values from a broadcast of the hot keys.  For the
     shuffle that serves the others, the key of hot and null-key rows is hidden
@@ -22,25 +24,23 @@ def attach_by_key(df: DataFrame, stats: DataFrame, key: str, weight: str, values
     what is still skewed (a mass of identical rows).
     """
     df = df.drop(*values)
-    keyed = stats.where(F.col(key).isNotNull())
-    total = keyed.agg(F.sum(weight)).scalar()
-    hot_share = F.col(weight) * F.lit(HOT_KEYS) >= total
-    hot = keyed.where(hot_share).select(F.col(key).alias("_hot_key"), *[F.col(v).alias(f"_hot_{v}") for v in values])
-    cold = keyed.where(~hot_share).select(
-        F.col(key).alias("_cold_key"),
-        F.xxhash64(key).alias("_cold_spread"),
-        *[F.col(v).alias(f"_cold_{v}") for v in values],
+    rows = ", ".join(f"`{c}`" for c in df.columns)
+    keyed = stats.where(f"`{key}` IS NOT NULL")
+    if total is None:
+        is_hot = F.col(weight) * HOT_KEYS >= keyed.agg(F.sum(weight)).scalar()
+    else:
+        is_hot = F.expr(f"`{weight}` * {HOT_KEYS} >= {total}")
+    hot = keyed.where(is_hot).selectExpr(f"`{key}` AS _hot_key", *[f"`{v}` AS `_hot_{v}`" for v in values])
+    cold = keyed.where(~is_hot).selectExpr(
+        f"`{key}` AS _cold_key", f"xxhash64(`{key}`) AS _cold_spread", *[f"`{v}` AS `_cold_{v}`" for v in values]
     )
-
-    open_key = F.when(F.col("_hot_key").isNull(), F.col(key))
-    spread = F.when(open_key.isNotNull(), F.xxhash64(open_key)).otherwise(F.xxhash64(*df.columns))
     return (
-        df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-        .withColumns({"_open_key": open_key, "_spread": spread})
-        .join(
-            cold,
-            (F.col("_open_key") == F.col("_cold_key")) & (F.col("_spread") == F.col("_cold_spread")),
-            "left",
+        df.join(F.broadcast(hot), F.expr(f"`{key}` = _hot_key"), "left")
+        .selectExpr(
+            "*",
+            f"IF(_hot_key IS NULL, `{key}`, NULL) AS _open_key",
+            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, xxhash64(`{key}`), xxhash64({rows})) AS _spread",
         )
-        .select(*df.columns, *[F.coalesce(F.col(f"_hot_{v}"), F.col(f"_cold_{v}")).alias(v) for v in values])
+        .join(cold, F.expr("_open_key = _cold_key AND _spread = _cold_spread"), "left")
+        .selectExpr(*[f"`{c}`" for c in df.columns], *[f"coalesce(`_hot_{v}`, `_cold_{v}`) AS `{v}`" for v in values])
     )

@@ -67,7 +67,7 @@ def with_percent_rank(df: DataFrame, column: str, name: str = "amount_pct", rows
     nulls = df.where(F.col(column).isNull()).count()
     rows = totals["_n"] + nulls
     ranks = ranks.withColumn("_pct", (F.col("_n_before") + F.lit(nulls)) / F.lit(float(max(rows - 1, 1))))
-    out = attach_by_key(df, ranks, column, "_n", ["_pct"])
+    out = attach_by_key(df, ranks, column, "_n", ["_pct"], rows)
     return out.select(*df.columns, F.coalesce("_pct", F.lit(0.0)).alias(name))
 
 

@@ -17,19 +17,20 @@ from txnfeatures.schema import BUCKET_SECONDS
 @dataclass(frozen=True)
 class AmountStats:
     """Dataset-wide amount statistics, after the fallbacks.  ``n`` is the
-    number of rows with an amount."""
+    number of rows with an amount, ``rows`` of all rows."""
 
     mean: float
     std: float
     p95: float
     n: int
+    rows: int
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([asdict(self)], "mean double, std double, p95 double, n bigint")
+        return spark.createDataFrame([asdict(self)], "mean double, std double, p95 double, n bigint, rows bigint")
 
     @classmethod
     def from_df(cls, df: DataFrame) -> "AmountStats":
-        return cls(**df.select("mean", "std", "p95", "n").first().asDict())
+        return cls(**df.select("mean", "std", "p95", "n", "rows").first().asDict())
 
 
 def fit_amount_stats(df: DataFrame, amount: str = "Amount", method: str = "disc", fill: float | None = None) -> AmountStats:
@@ -42,7 +43,7 @@ def fit_amount_stats(df: DataFrame, amount: str = "Amount", method: str = "disc"
     """
     values = df.select((as_double(amount) if fill is None else coerce_double(amount, fill)).alias("amount"))
     x = _present("amount")
-    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")]
+    aggs = [F.count("*").alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")]
     if method in SKETCH_ACCURACY:
         aggs.append(F.percentile_approx(x, 0.95, SKETCH_ACCURACY[method]).alias("p95"))
     row = values.agg(*aggs).first()
@@ -52,7 +53,7 @@ def fit_amount_stats(df: DataFrame, amount: str = "Amount", method: str = "disc"
         else quantiles_with_counts(values, {"amount": 0.95}, {"amount": row["n"]}, method)["amount"]
     )
     mean = row["mean"] or 0.0
-    return AmountStats(mean=mean, std=row["std"] or 1.0, p95=p95 or mean * 2, n=row["n"])
+    return AmountStats(mean=mean, std=row["std"] or 1.0, p95=p95 or mean * 2, n=row["n"], rows=row["rows"])
 
 
 # -- per user ---------------------------------------------------------------
@@ -86,11 +87,13 @@ def user_stats_serving(df: DataFrame, user: str, amount: str = "Amount") -> Data
     )
 
 
-def attach_user_stats(df: DataFrame, user: str, amount: str = "Amount", stats: DataFrame | None = None) -> DataFrame:
+def attach_user_stats(
+    df: DataFrame, user: str, amount: str = "Amount", stats: DataFrame | None = None, total: int | None = None
+) -> DataFrame:
     """Left join the per-user table; rows without a user keep null values."""
     stats = user_stats(df, user, amount) if stats is None else stats
     weight = "user_rows" if "user_rows" in stats.columns else "user_txn_count"
-    return attach_by_key(df, stats, user, weight, USER_VALUES)
+    return attach_by_key(df, stats, user, weight, USER_VALUES, total)
 
 
 # -- per five-minute bucket ---------------------------------------------------
@@ -103,9 +106,13 @@ def bucket_counts(df: DataFrame, seconds: str, width: int = BUCKET_SECONDS) -> D
 
 
 def attach_velocity(
-    df: DataFrame, seconds: str, counts: DataFrame | None = None, width: int = BUCKET_SECONDS
+    df: DataFrame,
+    seconds: str,
+    counts: DataFrame | None = None,
+    width: int = BUCKET_SECONDS,
+    total: int | None = None,
 ) -> DataFrame:
     """Left join the number of rows in the same time bucket; null time stays null."""
     counts = bucket_counts(df, seconds, width) if counts is None else counts
     keyed = df.withColumn("bucket_5m", time_bucket(seconds, width))
-    return attach_by_key(keyed, counts, "bucket_5m", "txn_count_5m", ["txn_count_5m"]).drop("bucket_5m")
+    return attach_by_key(keyed, counts, "bucket_5m", "txn_count_5m", ["txn_count_5m"], total).drop("bucket_5m")

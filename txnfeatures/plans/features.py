@@ -130,19 +130,22 @@ def build_features(
         narrow.update(_pca_exprs(spec.pca))
     base = df.select(*[e.alias(c) for c, e in narrow.items()])
 
-    amount_stats = amount_stats or fit_amount_stats(base, "amount", method)
+    rows = None  # of ``base``, when fitting tells
+    if amount_stats is None:
+        amount_stats = fit_amount_stats(base, "amount", method)
+        rows = amount_stats.rows
     out = base
     if version == "v1":
         out = with_percent_rank(out, "amount")
+    # A table made of ``base`` weighs as many rows as ``base`` has; the total
+    # weight of a frozen one is summed where it is attached.
     if spec.user:
-        if user_table is None:
-            user_table = user_stats(base, "user", "amount")
-        elif spec.user in user_table.columns:
-            user_table = user_table.withColumnRenamed(spec.user, "user")
-        out = attach_user_stats(out, "user", "amount", user_table)
-    if bucket_table is None:
-        bucket_table = bucket_counts(base, "seconds")
-    out = attach_velocity(out, "seconds", bucket_table)
+        own = user_table is None
+        users = user_stats(base, "user", "amount") if own else user_table.withColumnRenamed(spec.user, "user")
+        out = attach_user_stats(out, "user", "amount", users, rows if own else None)
+    own = bucket_table is None
+    buckets = bucket_counts(base, "seconds") if own else bucket_table
+    out = attach_velocity(out, "seconds", buckets, total=rows if own else None)
 
     exprs = {**_amount_exprs("amount", amount_stats), **_clock_exprs(S.hour_fraction("seconds"))}
     exprs |= C.constants("calendar") if spec.time_kind == "numeric" else _calendar_exprs("clock")
