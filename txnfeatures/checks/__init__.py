@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["features"]
+MODULES = ["features", "scalars", "cleaning", "statistics", "quality"]
 
 
 def _merged(attribute: str) -> dict:

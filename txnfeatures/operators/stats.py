@@ -38,8 +38,8 @@ def fit_amount_stats(df: DataFrame, amount: str = "Amount", method: str = "disc"
 
     ``method`` is one of ``disc`` (exact, the default), ``linear``, ``approx``
     and ``gk``.  A missing or zero deviation becomes 1, a missing or zero
-    percentile twice the mean.  ``fill`` replaces unreadable amounts first (the
-    scoring side uses 0).
+    percentile twice the mean.  The scoring side passes ``fill=0`` for
+    unreadable amounts and keeps a zero percentile.
     """
     values = df.select((as_double(amount) if fill is None else coerce_double(amount, fill)).alias("amount"))
     x = _present("amount")
@@ -53,7 +53,7 @@ def fit_amount_stats(df: DataFrame, amount: str = "Amount", method: str = "disc"
         else quantiles_with_counts(values, {"amount": 0.95}, {"amount": row["n"]}, method)["amount"]
     )
     mean = row["mean"] or 0.0
-    return AmountStats(mean=mean, std=row["std"] or 1.0, p95=p95 or mean * 2, n=row["n"], rows=row["rows"])
+    return AmountStats(mean=mean, std=row["std"] or 1.0, p95=p95 or (mean * 2 if fill is None else 0.0), n=row["n"], rows=row["rows"])
 
 
 # -- per user ---------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import types as T
 
 # The 18 model features in contract order, with their types.
 FEATURE_TYPES = {
@@ -64,7 +63,7 @@ class SourceSpec:
     label_kind: str = "int"
     pca: tuple[str, ...] = ()
     uri: str | None = None
-    schema: T.StructType | str | None = None
+    types: str | None = None
     renames: dict[str, str] = field(default_factory=dict)
     repartition: int | None = None
 
@@ -82,7 +81,7 @@ FINANCIAL = SourceSpec(
     label="is_fraud",
     label_kind="bool",
     renames={"amount": "Amount"},
-    schema=(
+    types=(
         "transaction_id string, timestamp string, sender_account string, "
         "receiver_account string, amount double, transaction_type string, "
         "merchant_category string, location string, device_used string, "
@@ -97,7 +96,7 @@ CREDITCARD = SourceSpec(
     time_kind="numeric",
     label="Class",
     pca=tuple(PCA_COLS),
-    schema="Time double, " + ", ".join(f"{v} double" for v in PCA_COLS) + ", Amount double, Class int",
+    types="Time double, " + ", ".join(f"{v} double" for v in PCA_COLS) + ", Amount double, Class int",
 )
 
 CARD_FRAUD = SourceSpec(
@@ -106,7 +105,7 @@ CARD_FRAUD = SourceSpec(
     time="TransactionDate",
     user="MerchantID",
     label="IsFraud",
-    schema=(
+    types=(
         "TransactionID string, TransactionDate string, Amount double, MerchantID string, "
         "TransactionType string, Location string, IsFraud int"
     ),
@@ -118,5 +117,5 @@ MIXED = SourceSpec(
     time="timestamp",
     user="sender_account",
     label="IsFraud",
-    schema="Amount double, timestamp string, sender_account string, IsFraud int",
+    types="Amount double, timestamp string, sender_account string, IsFraud int",
 )

@@ -7,16 +7,26 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnfeatures.functions.cleaning import rename_ci
 from txnfeatures.schema import SourceSpec
 
 
-def read_csv(spark: SparkSession, uri: str, schema=None) -> DataFrame:
-    """CSV with a header.  Types are inferred (one more pass over the text)
-    only when no schema is given."""
+def read_csv(spark: SparkSession, uri: str, types: str | None = None) -> DataFrame:
+    """CSV with a header.
+
+    With ``types`` (a DDL list) only the header line is looked at first: listed
+    columns get their types by name, in whatever order the file has them, and
+    others are text.  Without, types are inferred, which reads all text once more.
+    """
     reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(uri)
+    if types is None:
+        return reader.option("inferSchema", True).csv(uri)
+    known = {f.name.lower(): f.dataType for f in T.StructType.fromDDL(types)}
+    header = reader.csv(uri).columns
+    schema = T.StructType([T.StructField(c, known.get(c.lower(), T.StringType())) for c in header])
+    return reader.schema(schema).csv(uri)
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -25,7 +35,7 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     Plain text is split by ``spark.sql.files.maxPartitionBytes`` already, so
     ``repartition`` is for inputs that cannot be split.
     """
-    df = rename_ci(read_csv(spark, spec.uri, spec.schema), spec.renames)
+    df = rename_ci(read_csv(spark, spec.uri, spec.types), spec.renames)
     return df.repartition(spec.repartition) if spec.repartition else df
 
 
