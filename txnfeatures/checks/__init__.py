@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["features", "scalars", "cleaning", "statistics", "quality"]
+MODULES = ["features", "scalars", "cleaning", "statistics", "quality", "evaluation", "storage", "learning"]
 
 
 def _merged(attribute: str) -> dict:

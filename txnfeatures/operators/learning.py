@@ -58,9 +58,10 @@ def train_gbt(
     prepare = fit_preprocess(train, features)
     assemble = VectorAssembler(inputCols=[f"{c}{SCALED}" for c in features], outputCol=VECTOR)
     params = {**GBT_SETTINGS, "checkpointInterval": 10, **settings}
+    if validation:
+        params |= {"validationIndicatorCol": validation, "validationTol": validation_tol}
     trees = GBTClassifier(featuresCol=VECTOR, labelCol=label, weightCol=WEIGHT, **params)
     if validation:
-        trees = trees.setValidationIndicatorCol(validation).setValidationTol(validation_tol)
         weighted = with_training_weight(train, label, parity).unionByName(
             rows.where(F.col(validation)).withColumn(WEIGHT, F.lit(1.0))
         )
