@@ -14,6 +14,7 @@ from txnfeatures.checks.features import clock_sql, select_sql, universal
 from txnfeatures.operators import encoding as N
 from txnfeatures.operators import learning as L
 from txnfeatures.operators.sampling import stratified_split
+from txnfeatures.operators.smote import smote
 from txnfeatures.operators.stats import fit_amount_stats, user_stats_serving
 from txnfeatures.plans.scoring import score_all_sources, score_source
 from txnfeatures.plans.serving import extract_features_serving
@@ -73,6 +74,18 @@ def class_weighting(spark, sf_dir):
     return t.rounded(L.with_training_weight(df, parity=True).withColumnRenamed(L.WEIGHT, "weight"))
 
 
+def smote_classes(spark, sf_dir):
+    """Rows per class after balancing, given and new ones apart."""
+    df = t.card_fraud(spark, sf_dir).select(
+        "row_id",
+        F.col("IsFraud").alias("label"),
+        F.log1p("Amount").alias("log_amount"),
+        (F.datediff("TransactionDate", F.lit("1992-01-01")) / 365.0).alias("years"),
+    )
+    out = smote(df, ["log_amount", "years"], "row_id")
+    return out.groupBy("label", "synthetic").agg(F.count("*").alias("n_rows"))
+
+
 def train(spark, sf_dir):
     """The importance each feature has in the fitted trees."""
     model = small_model(spark, sf_dir)
@@ -191,6 +204,7 @@ QUERIES = {
     "scale_std": scale_std,
     "one_hot_drop_first": one_hot,
     "class_weighting": class_weighting,
+    "smote": smote_classes,
     "train_gbt": train,
     "early_stopping": early_stopping,
     "predict": predict,
@@ -244,6 +258,9 @@ ORACLES = {
     "class_weighting": f"""WITH {t.CARD_FRAUD_SQL}, c AS (SELECT count(*) AS n, sum(IsFraud) AS p FROM card_fraud)
       SELECT row_id, IsFraud AS label, round(CASE IsFraud WHEN 1 THEN n / (2 * p) * greatest(1, floor((n - p) / p))
         ELSE n / (2 * (n - p)) END, 6) AS weight FROM card_fraud, c""",
+    "smote": f"""WITH {t.CARD_FRAUD_SQL}, c AS (SELECT IsFraud AS label, count(*) AS n FROM card_fraud GROUP BY 1)
+      SELECT label, FALSE AS synthetic, n AS n_rows FROM c
+      UNION ALL SELECT label, TRUE, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""",
     "early_stopping": "SELECT count(*) AS n_rows, TRUE AS stopped_early FROM orders",
     "predict": "SELECT count(*) AS n_rows, count(*) AS n_valid FROM lineitem",
     "model_store": "SELECT count(*) AS n_rows, count(*) AS n_equal FROM lineitem",

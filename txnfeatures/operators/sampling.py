@@ -12,22 +12,29 @@ HASH_MULTIPLIER = 48271
 HASH_MODULUS = 2147483647
 
 
+def key_cut(df: DataFrame, n: int, key: str) -> float | int | None:
+    """The ``n``-th smallest ``key``; None when there are fewer."""
+    cut = value_at_rank(df, key, n)
+    whole = dict(df.dtypes)[key] in ("bigint", "int")
+    if cut is not None and whole and abs(cut) >= 2**53:
+        # Whole numbers this large share doubles: settle the last few by value.
+        as_double = F.col(key).cast("double")
+        below = df.where(as_double < cut).count()
+        tied = df.where(as_double == cut).select(key).orderBy(key).limit(n - below)
+        return tied.agg(F.max(key)).first()[0]
+    return int(cut) if cut is not None and whole else cut
+
+
 def cap_rows(df: DataFrame, n: int, order_key: str) -> DataFrame:
     """The ``n`` rows with the smallest ``order_key`` (a unique number).
 
     The cut is found as an exact order statistic, so no task has to hold ``n``
     rows, as one would with a sort and a limit.
     """
-    cut = value_at_rank(df, order_key, n)
-    if cut is None:
-        return df.where(F.col(order_key).isNotNull()) if n > 0 else df.limit(0)
-    if abs(cut) >= 2**53 and dict(df.dtypes)[order_key] == "bigint":
-        # Whole numbers this large share doubles: settle the last few by value.
-        as_double = F.col(order_key).cast("double")
-        below = df.where(as_double < cut).count()
-        tied = df.where(as_double == cut).select(order_key).orderBy(order_key).limit(n - below)
-        cut = tied.agg(F.max(order_key)).first()[0]
-    return df.where(F.col(order_key) <= F.lit(cut))
+    if n < 1:
+        return df.limit(0)
+    cut = key_cut(df, n, order_key)
+    return df.where(F.col(order_key).isNotNull() if cut is None else F.col(order_key) <= F.lit(cut))
 
 
 def cap_rows_by_source(df: DataFrame, n: int, order_key: str, source: str = "source") -> DataFrame:
