@@ -18,10 +18,12 @@ def attach_by_key(
 
     Rows of hot keys get their values from a broadcast of the hot keys.  For the
     shuffle that serves the others, the key of hot and null-key rows is hidden
-    and a hash of the whole row takes its place, so they spread over all
-    partitions.  The hash is part of the join key on both sides, which also
-    gives both sides an exchange of their own and lets adaptive execution split
-    what is still skewed (a mass of identical rows).
+    and a hash of the row and its input partition takes its place, so they
+    spread over all partitions even if they are copies of each other.  (The
+    input partition of a row is the same when a task is repeated, so a retry
+    sends every row where it went before.)  The hash is part of the join key on
+    both sides, which also gives both sides an exchange of their own and lets
+    adaptive execution split what is still uneven.
     """
     df = df.drop(*values)
     rows = ", ".join(f"`{c}`" for c in df.columns)
@@ -39,7 +41,7 @@ def attach_by_key(
         .selectExpr(
             "*",
             f"IF(_hot_key IS NULL, `{key}`, NULL) AS _open_key",
-            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, xxhash64(`{key}`), xxhash64({rows})) AS _spread",
+            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, xxhash64(`{key}`), xxhash64({rows}, spark_partition_id())) AS _spread",
         )
         .join(cold, F.expr("_open_key = _cold_key AND _spread = _cold_spread"), "left")
         .selectExpr(*[f"`{c}`" for c in df.columns], *[f"coalesce(`_hot_{v}`, `_cold_{v}`) AS `{v}`" for v in values])

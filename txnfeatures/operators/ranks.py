@@ -62,11 +62,18 @@ def running_totals(
 
 
 def with_percent_rank(df: DataFrame, column: str, name: str = "amount_pct", rows_per_range: int | None = None) -> DataFrame:
-    """``percent_rank() over (order by column)`` with nulls first."""
-    ranks, totals = running_totals(df, column, {"_n": F.count("*")}, rows_per_range)
-    nulls = df.where(F.col(column).isNull()).count()
-    rows = totals["_n"] + nulls
-    ranks = ranks.withColumn("_pct", (F.col("_n_before") + F.lit(nulls)) / F.lit(float(max(rows - 1, 1))))
+    """``percent_rank() over (order by column)`` with nulls first.
+
+    Up to ``rows_per_range`` rows one task may sort them; beyond that each
+    distinct value is ranked once and its rank joined back.
+    """
+    rows_per_range = rows_per_range or ROWS_PER_RANGE
+    head = df.agg(F.count("*").alias("rows"), F.count_if(F.col(column).isNull()).alias("nulls")).first()
+    rows, nulls = head["rows"], head["nulls"]
+    if rows <= rows_per_range:
+        return df.select(*df.columns, F.percent_rank().over(Window.orderBy(F.asc_nulls_first(column))).alias(name))
+    ranks, _ = running_totals(df, column, {"_n": F.count("*")}, rows_per_range)
+    ranks = ranks.withColumn("_pct", (F.col("_n_before") + F.lit(nulls)) / F.lit(float(rows - 1)))
     out = attach_by_key(df, ranks, column, "_n", ["_pct"], rows)
     return out.select(*df.columns, F.coalesce("_pct", F.lit(0.0)).alias(name))
 

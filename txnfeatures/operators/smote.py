@@ -28,9 +28,11 @@ def smote(
     balanced (one class only, ``k`` rows or fewer, missing values).
     """
     original = df.select(*[F.col(c).cast("double").alias(c) for c in features], label, F.lit(False).alias("synthetic"))
-    bad = F.count_if(F.array_contains(F.array(*[F.coalesce(F.isnan(F.col(c).cast("double")), F.lit(True)) for c in features]), True))
+    missing = " OR ".join(f"`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE))" for c in features)
     head = df.agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"), bad.alias("bad")
+        F.count_if(F.col(label) == 1).alias("pos"),
+        F.count_if(F.col(label) == 0).alias("neg"),
+        F.count_if(F.expr(missing)).alias("bad"),
     ).first()
     minority, few, many = (1, head["pos"], head["neg"]) if head["pos"] <= head["neg"] else (0, head["neg"], head["pos"])
     if few <= k or few == many or head["bad"]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,14 +181,15 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 
 
 def universal_features(financial: DataFrame, creditcard: DataFrame, card_fraud: DataFrame, **options) -> DataFrame:
-    """The combined feature table of the three training datasets."""
-    return union_sources(
-        [
-            features_financial(financial, **options),
-            features_creditcard(creditcard, **options),
-            features_card_fraud(card_fraud, **options),
-        ]
-    )
+    """The combined feature table of the three training datasets.
+
+    Each dataset is fitted by a few short jobs; those of different datasets are
+    submitted side by side so that they share the cluster.
+    """
+    parts = [(features_financial, financial), (features_creditcard, creditcard), (features_card_fraud, card_fraud)]
+    build = inheritable_thread_target(financial.sparkSession)(lambda part: part[0](part[1], **options))
+    with ThreadPoolExecutor(len(parts)) as pool:
+        return union_sources(list(pool.map(build, parts)))
 
 
 def universal_features_v1(financial: DataFrame, creditcard: DataFrame, card_fraud: DataFrame, method: str = "gk") -> DataFrame:
