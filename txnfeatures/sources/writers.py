@@ -58,7 +58,8 @@ def write_replicated(df: DataFrame, uris: list[str], fmt: str = "parquet") -> Da
             except Exception as e:
                 if i == 0:
                     raise
-                status.append((uri, None, False, str(e).splitlines()[0]))
+                cause = getattr(e, "java_exception", None)
+                status.append((uri, None, False, str(e if cause is None else cause.toString()).splitlines()[0]))
     finally:
         kept.unpersist()
     return spark.createDataFrame(status, "uri string, rows bigint, ok boolean, error string")
