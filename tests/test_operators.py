@@ -19,7 +19,10 @@ from txnfeatures.operators import stats as A
 from txnfeatures.operators.joins import attach_by_key
 from txnfeatures.operators.smote import smote
 from txnfeatures.plans import features as P
+from txnfeatures.plans.frozen import freeze_stats
 from txnfeatures.plans.scoring import score_all_sources, score_source
+from txnfeatures.plans.serving import extract_features_serving
+from txnfeatures.schema import CARD_FRAUD, FEATURE_COLS
 from txnfeatures.sources import readers as RD
 from txnfeatures.sources import writers as W
 from txnfeatures.streaming.velocity import stream_velocity
@@ -147,16 +150,22 @@ def test_feature_properties(spark, sf_dir):
     assert card.where("pca_max_abs > pca_l2 + 1e-12").count() == 0
 
 
-def test_frozen_statistics_equal_own_ones(spark, sf_dir):
+def test_frozen_statistics_equal_own_ones(spark, sf_dir, tmp_path):
     df = t.card_fraud(spark, sf_dir)
-    seconds = df.select(F.unix_timestamp("TransactionDate").alias("s"))
-    frozen = P.features_card_fraud(
-        df,
-        amount_stats=A.AmountStats.from_df(A.fit_amount_stats(df).to_df(spark)),
-        user_table=A.user_stats(df, "MerchantID"),
-        bucket_table=A.bucket_counts(seconds, "s"),
-    )
-    assert t.rounded(frozen).exceptAll(t.rounded(P.features_card_fraud(df))).count() == 0
+    frozen = freeze_stats(df, CARD_FRAUD, str(tmp_path / "stats"))
+    again = P.features_card_fraud(df, **frozen.for_training())
+    assert t.rounded(again).exceptAll(t.rounded(P.features_card_fraud(df))).count() == 0
+
+
+def test_scoring_with_frozen_statistics(spark, sf_dir, tmp_path):
+    df = t.card_fraud(spark, sf_dir)
+    frozen = freeze_stats(df, CARD_FRAUD, str(tmp_path / "stats"))
+    trained = {r["row_id"]: r["z"] for r in A.attach_user_stats(df, "MerchantID").select("row_id", F.col("user_mean_amount").alias("z")).collect()}
+    # Few rows scored alone still see the users as training did.
+    few = df.where("row_id < 20")
+    scored = extract_features_serving(few, "Amount", "TransactionDate", user="MerchantID", keep_raw=True, **frozen.for_scoring())
+    for r in scored.collect():
+        assert r["user_mean_amount"] == pytest.approx(trained[r["_raw"]["row_id"]])
 
 
 def test_scan_reads_needed_columns_only(spark, sf_dir):
@@ -294,8 +303,6 @@ def test_csv_is_read_by_column_name(spark, tmp_path):
 
 
 def test_model_names_and_threshold(spark, sf_dir):
-    from txnfeatures.schema import FEATURE_COLS
-
     model = small_model(spark, sf_dir)
     assert L.feature_names(model) == FEATURE_COLS
     scored = score_source(model, t.mixed(spark, sf_dir), "Amount", "timestamp", user="sender_account", threshold=0.0)
@@ -303,6 +310,14 @@ def test_model_names_and_threshold(spark, sf_dir):
     assert scored.columns[:-2] == t.mixed(spark, sf_dir).columns
 
 
+def test_model_goes_to_every_store(spark, sf_dir, tmp_path):
+    (tmp_path / "file").write_text("in the way")
+    uris = [str(tmp_path / "a"), str(tmp_path / "file" / "b")]
+    status = L.save_model_replicated(small_model(spark, sf_dir), uris).collect()
+    assert [r["ok"] for r in status] == [True, False]
+    assert L.n_trees(L.load_model(uris[0])) == L.n_trees(small_model(spark, sf_dir))
+
+
 def test_scores_go_to_one_directory_each(spark, sf_dir, tmp_path):
     frames = {"creditcard": t.creditcard(spark, sf_dir), "mixed_1M": t.mixed(spark, sf_dir)}
     result = score_all_sources(small_model(spark, sf_dir), frames, uri=str(tmp_path))

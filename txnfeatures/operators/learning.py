@@ -6,13 +6,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnfeatures.operators.encoding import SCALED, fit_preprocess
 from txnfeatures.operators.evaluation import apply_threshold
 from txnfeatures.operators.quality import class_counts, with_balanced_weight
 from txnfeatures.schema import FEATURE_COLS
+from txnfeatures.sources.writers import replicate
 
 VECTOR = "_features"
 WEIGHT = "_weight"
@@ -96,5 +97,10 @@ def save_model(model: PipelineModel, uri: str) -> None:
     model.write().overwrite().save(uri)
 
 
+def save_model_replicated(model: PipelineModel, uris: list[str]) -> DataFrame:
+    """The model to a primary and further stores; see ``replicate``."""
+    return replicate(SparkSession.active(), uris, lambda uri: save_model(model, uri))
+
+
 def load_model(uri: str) -> PipelineModel:
     return PipelineModel.load(uri)

@@ -14,6 +14,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,9 @@ def _present(c) -> Column:
 
 @dataclass
 class _Target:
-    value: Column
+    """One wanted rank and the open interval its value is known to lie in."""
+
+    name: str
     rank: int
     inside: int
     below: int = 0
@@ -44,16 +48,36 @@ class _Target:
     hi: float | None = None
     found: float | None = None
 
-    def in_interval(self) -> Column:
-        keep = self.value.isNotNull()
-        if self.lo is not None:
-            keep = keep & (self.value > self.lo)
-        if self.hi is not None:
-            keep = keep & (self.value < self.hi)
-        return keep
+    @property
+    def interval(self) -> tuple[str, float | None, float | None]:
+        return self.name, self.lo, self.hi
+
+
+def _inside(interval) -> Column:
+    name, lo, hi = interval
+    x = _present(name)
+    keep = x.isNotNull()
+    if lo is not None:
+        keep = keep & (F.col(name) > lo)
+    if hi is not None:
+        keep = keep & (F.col(name) < hi)
+    return keep
+
 
-    def narrowed(self) -> Column:
-        return F.when(self.in_interval(), self.value)
+def _narrowed(interval) -> Column:
+    return F.when(_inside(interval), _present(interval[0]))
+
+
+def _rows_inside(df: DataFrame, intervals) -> DataFrame:
+    """Only rows some interval can use; plain comparisons, so that a scan can
+    skip on them."""
+    tests = []
+    for name, lo, hi in intervals:
+        bounds = ([F.col(name) > lo] if lo is not None else []) + ([F.col(name) < hi] if hi is not None else [])
+        if not bounds:
+            return df
+        tests.append(reduce(and_, bounds))
+    return df.where(reduce(or_, tests))
 
 
 def sketch_quantiles(df: DataFrame, wanted: dict[str, tuple[Column, list[float]]]) -> dict[str, list[float]]:
@@ -80,49 +104,55 @@ def sketch_quantiles(df: DataFrame, wanted: dict[str, tuple[Column, list[float]]
 
 
 def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    asks = {}
-    for i, t in enumerate(targets):
+    shares: dict[tuple, set[float]] = {}
+    for t in targets:
         at = (t.rank - t.below) / t.inside
-        asks[str(i)] = (t.narrowed(), [max(at - BRACKET, 0.0), min(at + BRACKET, 1.0)])
-    probes = sketch_quantiles(df, asks)
+        shares.setdefault(t.interval, set()).update({max(at - BRACKET, 0.0), min(at + BRACKET, 1.0)})
+    intervals = list(shares)
+    rows = _rows_inside(df, intervals)
 
+    asks = {str(i): (_narrowed(iv), sorted(shares[iv])) for i, iv in enumerate(intervals)}
+    probes = {iv: sorted(set(q)) for iv, q in zip(intervals, sketch_quantiles(rows, asks).values())}
     counts = []
-    for i, t in enumerate(targets):
-        for j, p in enumerate(probes[str(i)]):
-            counts.append(F.count_if(t.in_interval() & (t.value < p)).alias(f"lt{i}_{j}"))
-            counts.append(F.count_if(t.in_interval() & (t.value <= p)).alias(f"le{i}_{j}"))
-    row = df.agg(*counts).first()
-
-    for i, t in enumerate(targets):
-        base, top = t.below, t.below + t.inside
-        for j, p in enumerate(probes[str(i)]):
-            lt, le = base + row[f"lt{i}_{j}"], base + row[f"le{i}_{j}"]
+    for i, iv in enumerate(intervals):
+        for j, p in enumerate(probes[iv]):
+            counts.append(F.count_if(_inside(iv) & (F.col(iv[0]) < p)).alias(f"lt{i}_{j}"))
+            counts.append(F.count_if(_inside(iv) & (F.col(iv[0]) <= p)).alias(f"le{i}_{j}"))
+    seen = rows.agg(*counts).first()
+
+    for t in targets:
+        i, base, top = intervals.index(t.interval), t.below, t.below + t.inside
+        for j, p in enumerate(probes[intervals[i]]):
+            lt, le = base + seen[f"lt{i}_{j}"], base + seen[f"le{i}_{j}"]
             if lt < t.rank <= le:
                 t.found = p
                 break
             if t.rank <= lt:
-                if lt < top:
-                    t.hi, top = p, lt
-            elif le > t.below:
-                t.lo, t.below = p, le
+                t.hi, top = p, lt
+                break
+            t.lo, t.below = p, le
         t.inside = top - t.below
 
 
-def select_ranks(df: DataFrame, wanted: list[tuple], counts: list[int], small: int | None = None) -> list[float]:
+def select_ranks(df: DataFrame, wanted: list[tuple[str, int]], counts: list[int], small: int | None = None) -> list[float]:
     """The values at 1-based ``(column, rank)`` pairs; ``counts`` are the
     numbers of present values of those columns."""
     small = SMALL_GROUP if small is None else small
-    targets = [_Target(_present(c), r, n) for (c, r), n in zip(wanted, counts)]
+    columns = list(dict.fromkeys(c for c, _ in wanted))
+    values = df.select(*[as_double(c).alias(c) for c in columns])
+    targets = [_Target(c, r, n) for (c, r), n in zip(wanted, counts)]
     while wide := [t for t in targets if t.found is None and t.inside > small]:
-        _narrow(df, wide)
+        _narrow(values, wide)
 
     rest = [t for t in targets if t.found is None]
     if rest:
+        intervals = list(dict.fromkeys(t.interval for t in rest))
         # Half a step inside the wanted rank, so rounding cannot move the pick.
-        shares = [(t.rank - t.below - 0.5) / t.inside for t in rest]
+        picks = [(intervals.index(t.interval), (t.rank - t.below - 0.5) / t.inside) for t in rest]
         row = (
-            df.select(*[t.narrowed().alias(f"x{i}") for i, t in enumerate(rest)])
-            .agg(*[F.expr(f"percentile_disc({p!r}D) WITHIN GROUP (ORDER BY x{i})") for i, p in enumerate(shares)])
+            _rows_inside(values, intervals)
+            .select(*[_narrowed(iv).alias(f"x{i}") for i, iv in enumerate(intervals)])
+            .agg(*[F.expr(f"percentile_disc({p!r}D) WITHIN GROUP (ORDER BY x{i})") for i, p in picks])
             .first()
         )
         for i, t in enumerate(rest):

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,26 +40,36 @@ def write_metrics(df: DataFrame, uri: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(uri)
 
 
-def write_replicated(df: DataFrame, uris: list[str], fmt: str = "parquet") -> DataFrame:
-    """The same rows to a primary and further locations.
+def replicate(spark: SparkSession, uris: list[str], write: Callable[[str], int | None]) -> DataFrame:
+    """``write`` to a primary and further locations.
 
     A failure of the primary is raised; later ones are reported in the returned
     status rows ``(uri, rows, ok, error)``.
     """
-    spark = df.sparkSession
-    kept = df.persist(StorageLevel.DISK_ONLY)
     status = []
-    try:
-        for i, uri in enumerate(uris):
-            seen = Observation()
-            try:
-                kept.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").format(fmt).save(uri)
-                status.append((uri, seen.get["rows"], True, None))
-            except Exception as e:
-                if i == 0:
-                    raise
-                cause = getattr(e, "java_exception", None)
-                status.append((uri, None, False, str(e if cause is None else cause.toString()).splitlines()[0]))
-    finally:
-        kept.unpersist()
+    for i, uri in enumerate(uris):
+        try:
+            status.append((uri, write(uri), True, None))
+        except Exception as e:
+            if i == 0:
+                raise
+            cause = getattr(e, "java_exception", None)
+            status.append((uri, None, False, str(e if cause is None else cause.toString()).splitlines()[0]))
     return spark.createDataFrame(status, "uri string, rows bigint, ok boolean, error string")
+
+
+def write_replicated(df: DataFrame, uris: list[str], fmt: str = "parquet") -> DataFrame:
+    """The same rows to several locations.
+
+    ``df`` is computed for the primary only; the others are copied from what
+    was stored there, which needs no cache to survive a lost executor.
+    """
+    spark = df.sparkSession
+
+    def write(uri: str) -> int:
+        rows = df if uri == uris[0] else spark.read.schema(df.schema).format(fmt).load(uris[0])
+        seen = Observation()
+        rows.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").format(fmt).save(uri)
+        return seen.get["rows"]
+
+    return replicate(spark, uris, write)
