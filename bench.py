@@ -17,6 +17,7 @@ from txnfeatures.operators import evaluation as E
 from txnfeatures.operators import stats as A
 from txnfeatures.operators.ranks import with_percent_rank
 from txnfeatures.plans import features as P
+from txnfeatures.settings import RECOMMENDED
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -24,15 +25,16 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def session() -> SparkSession:
+    builder = SparkSession.builder
+    for key, value in RECOMMENDED.items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
+        builder.master(f"local[{CPUS}]")
         .appName("bench")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
-        # Call-site capture costs a round trip per column expression.
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

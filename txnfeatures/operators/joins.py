@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # A key is hot when it holds at least 1/HOT_KEYS of the counted rows, so there
 # are never more than HOT_KEYS of them: that bound is what allows broadcasting.
 HOT_KEYS = 1000
+# Places over which rows without an open key are spread.
+SPREAD = 16384
 
 
 def attach_by_key(
@@ -18,10 +20,10 @@ def attach_by_key(
 
     Rows of hot keys get their values from a broadcast of the hot keys.  For the
     shuffle that serves the others, the key of hot and null-key rows is hidden
-    and a hash of the row and its input partition takes its place, so they
+    and a salt made of the row and its input partition takes its place, so they
     spread over all partitions even if they are copies of each other.  (The
     input partition of a row is the same when a task is repeated, so a retry
-    sends every row where it went before.)  The hash is part of the join key on
+    sends every row where it went before.)  The salt is part of the join key on
     both sides, which also gives both sides an exchange of their own and lets
     adaptive execution split what is still uneven.
     """
@@ -34,14 +36,16 @@ def attach_by_key(
         is_hot = F.expr(f"`{weight}` * {HOT_KEYS} >= {total}")
     hot = keyed.where(is_hot).selectExpr(f"`{key}` AS _hot_key", *[f"`{v}` AS `_hot_{v}`" for v in values])
     cold = keyed.where(~is_hot).selectExpr(
-        f"`{key}` AS _cold_key", f"xxhash64(`{key}`) AS _cold_spread", *[f"`{v}` AS `_cold_{v}`" for v in values]
+        # Always 0, but not a literal: it has to stay part of the join key.
+        f"`{key}` AS _cold_key", f"IF(`{key}` IS NULL, 1, 0) AS _cold_spread", *[f"`{v}` AS `_cold_{v}`" for v in values]
     )
     return (
         df.join(F.broadcast(hot), F.expr(f"`{key}` = _hot_key"), "left")
         .selectExpr(
             "*",
             f"IF(_hot_key IS NULL, `{key}`, NULL) AS _open_key",
-            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, xxhash64(`{key}`), xxhash64({rows}, spark_partition_id())) AS _spread",
+            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, 0,"
+            f" CAST(pmod(xxhash64({rows}, spark_partition_id()), {SPREAD}) AS INT)) AS _spread",
         )
         .join(cold, F.expr("_open_key = _cold_key AND _spread = _cold_spread"), "left")
         .selectExpr(*[f"`{c}`" for c in df.columns], *[f"coalesce(`_hot_{v}`, `_cold_{v}`) AS `{v}`" for v in values])
