@@ -55,6 +55,13 @@ def test_quantiles_by_narrowing(spark, shape):
     df.unpersist()
 
 
+def test_narrowing_filters_the_scan(spark, tmp_path):
+    uri = str(tmp_path / "x")
+    values(spark, SHAPES["spread"]).write.parquet(uri)
+    rows = Q._rows_inside(spark.read.parquet(uri), [("x", 1.0, 5.0)])
+    assert "GreaterThan(x,1.0), LessThan(x,5.0)" in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quantile_of_nothing(spark):
     assert Q.quantile(values(spark, [None, None]), "x", 0.5) is None
 
@@ -283,6 +290,9 @@ def test_write_reports_counts_and_prunes(spark, sf_dir, tmp_path):
     one = RD.read_features(spark, uri, ["financial"])
     assert one.count() == 1000
     assert "PartitionFilters: [isnotnull(source" in one._jdf.queryExecution().executedPlan().toString()
+    even = str(tmp_path / "even")
+    assert W.write_features(df, even, rebalance=True)["rows"] == 2500
+    assert len(list((tmp_path / "even" / "source=financial").glob("*.parquet"))) == 1
     W.write_features(df.where("source = 'financial'").limit(10), uri, dynamic=True)
     assert RD.read_features(spark, uri).count() == 1510
 

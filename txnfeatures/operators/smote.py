@@ -42,7 +42,7 @@ def smote(
     vector = F.array(*[F.col(c).cast("double") for c in features])
     rows = df.where(F.col(label) == minority).select(F.col(key).cast("bigint").alias("id"), vector.alias("x"))
     # Copies are one point from here on, however many there are.  Stored,
-    # because the search reads the points several times.
+    # because they are read again after the search.
     uri = scratch_uri(spark, "minority-points")
     rows.groupBy("x").agg(F.min("id").alias("pid"), F.count("*").alias("copies")).write.parquet(uri)
     points = spark.read.parquet(uri)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -10,20 +11,31 @@ from pyspark.sql import functions as F
 
 
 def scratch_uri(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the session names for checkpoints."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path in the shared folder the session names for checkpoints.
+
+    Only a session on one machine may do without: it gets a temporary folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_features(df: DataFrame, uri: str, mode: str = "overwrite", dynamic: bool = False) -> dict:
+def write_features(
+    df: DataFrame, uri: str, mode: str = "overwrite", dynamic: bool = False, rebalance: bool = False
+) -> dict:
     """Parquet partitioned by source; returns row and fraud counts.
 
     The counts are observed on the write itself instead of by further jobs.
-    ``dynamic`` replaces only the sources present in ``df``.
+    ``dynamic`` replaces only the sources present in ``df``.  ``rebalance``
+    pays one shuffle for files of even size: adaptive execution merges small
+    pieces and splits a source that holds most of the rows.
     """
     seen = Observation()
+    if rebalance:
+        df = df.hint("rebalance", F.col("source"))
     out = df.observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("fraud"))
     writer = out.write.mode(mode).partitionBy("source")
     if dynamic:
