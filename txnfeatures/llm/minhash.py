@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from txnfeatures.llm.store import stored
 from txnfeatures.llm.words import Words, mix, run_hashes, stream, text_chunks
 from txnfeatures.operators.joins import attach_by_key
-from txnfeatures.sources.writers import scratch_uri
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -193,13 +193,6 @@ def _blocks(shingle: int, percent: int):
     return compare
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: later steps start from files every executor can reach."""
-    uri = scratch_uri(df.sparkSession, name)
-    df.write.parquet(uri)
-    return df.sparkSession.read.schema(df.schema).parquet(uri)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable over ``edges`` (a, b), for nodes with an edge.
 

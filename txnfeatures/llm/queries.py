@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +16,113 @@ def op1_minmax_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_minmax_near_dedup": op1_minmax_near_dedup}
+def op2_hidden_markov_lm(spark, sf_dir):
+    from txnfeatures.llm.hmm import is_held_out, train
+
+    docs = table(spark, sf_dir, "documents")
+    return train(docs.where(~is_held_out())).score(docs, held_out=is_held_out())
+
+
+def op4_repetition_coverage(spark, sf_dir):
+    from txnfeatures.llm.repetition import measure
+
+    return measure(table(spark, sf_dir, "documents"))
+
+
+def op3_two_pass_shuffle(spark, sf_dir):
+    from txnfeatures.llm.shuffle import shuffle_into_shards
+
+    text = F.coalesce("text", F.lit(""))
+    return shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_addressable_codes(spark, sf_dir):
+    import public_tokenizers
+
+    from txnfeatures.llm.dac import read_codes, write_codes
+
+    uri = write_codes(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_codes(spark, uri)
+
+
+def op6_pivotal_mixing(spark, sf_dir):
+    from txnfeatures.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_copies")).alias("taken"),
+    )
+
+
+def op8_seeded_alignment(spark, sf_dir):
+    from txnfeatures.llm.decontaminate import matches
+
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_template_lines(spark, sf_dir):
+    from txnfeatures.llm.templates import drop_templates
+
+    return drop_templates(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_segments(spark, sf_dir):
+    from txnfeatures.llm.chat import digest, format_turns, read_turns
+    from txnfeatures.llm.store import stored
+
+    said = r"\### Assistant: </turn> ok"
+    planted = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
+    return digest(read_turns(stored(format_turns(rows), "chat")))
+
+
+def op10_anchor_expansion(spark, sf_dir):
+    from txnfeatures.llm.pii import BASE_KINDS, find_spans, written
+
+    found = find_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    return found.select(
+        "doc_id",
+        *[(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in BASE_KINDS],
+        F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    "op1_minmax_near_dedup": op1_minmax_near_dedup,
+    "op2_hidden_markov_lm": op2_hidden_markov_lm,
+    "op3_two_pass_shuffle": op3_two_pass_shuffle,
+    "op4_repetition_coverage": op4_repetition_coverage,
+    "op5_addressable_codes": op5_addressable_codes,
+    "op6_pivotal_mixing": op6_pivotal_mixing,
+    "op7_template_lines": op7_template_lines,
+    "op8_seeded_alignment": op8_seeded_alignment,
+    "op9_chat_segments": op9_chat_segments,
+    "op10_anchor_expansion": op10_anchor_expansion,
+    "pipeline": pipeline,
+}
 ORACLES: dict[str, str] = {}
