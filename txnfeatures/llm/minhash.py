@@ -8,10 +8,11 @@ full shingle sets, and documents joined by confirmed links form a component.
 No step emits all pairs of a bucket.  Documents with equal sets are one node.
 In each bucket the node with the most bucket mates is compared with the others
 (a star), which joins groups of copies.  What is left are buckets whose nodes
-still belong to different components; these are compared in blocks of at most
-``BLOCK`` nodes, and a comparison returns only the links that join components.
-That last step is exact for buckets of any size; its work grows with the square
-of a bucket's nodes over ``BLOCK`` where many similar texts are *not* linked.
+still belong to different components; those outside its largest component are
+compared with all, in blocks of about ``BLOCK`` nodes, and a comparison returns
+only links that join components.  That last step is exact for buckets of any
+size; its work grows with the number of nodes that the stars left unlinked
+times that of their bucket mates.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from txnfeatures.llm.store import stored
 from txnfeatures.llm.words import Words, mix, run_hashes, stream, text_chunks
@@ -39,7 +39,7 @@ ROWS = 5
 #: Probability that a pair right at the threshold shares no band.
 MISS = 1e-6
 #: Nodes on each side of one comparison of the last step, members compared with one copy of a star's centre.
-BLOCK = 64
+BLOCK = 256
 
 
 def bands_for(percent: int) -> int:
@@ -137,9 +137,8 @@ def _matching(shingle: int):
         for batch in batches:
             keys = batch.column(batch.schema.names.index("key")).to_pylist()
             sets = shingle_sets(batch.column(batch.schema.names.index("text")), shingle)
-            yield batch.filter(pa.array([set_key(s) == k for s, k in zip(sets, keys)], pa.bool_())).select(
-                ["node", "text"]
-            )
+            same = pa.array([set_key(s) == k for s, k in zip(sets, keys)], pa.bool_())
+            yield batch.filter(same).select(["node", "bands", "text"])
 
     return matching
 
@@ -165,15 +164,23 @@ def _stars(shingle: int, percent: int):
 
 
 def _blocks(shingle: int, percent: int):
-    """Links between the nodes of two blocks that join different components; nodes joined here count as one."""
+    """Links of the nodes of one side to those of the other that join different components.
+
+    Two nodes are compared only in the first band they share, so once in all.
+    """
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node")
-        node, side = group["node"].to_numpy(), group["side"].to_numpy()
-        label = {n: c for n, c in zip(node, group["label"])}
-        parent = {c: c for c in label.values()}
-        sets = list(shingle_sets(pa.array(group["text"]), shingle))
-        one_block = bool((group["one"]).all())
+        band = int(group["band"].iloc[0])
+        sides = [group[group["probe"] == probe].drop_duplicates("node") for probe in (False, True)]
+        (node, probe), labels = (x["node"].to_numpy() for x in sides), (x["label"].to_numpy() for x in sides)
+        label, probe_label = labels
+        out, parent = [], {c: c for c in [*label, *probe_label]}
+        if not len(node) or not len(probe):
+            return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        sets = list(shingle_sets(pa.array(sides[0]["text"]), shingle))
+        sizes = np.array([len(x) for x in sets])
+        flat, at = np.concatenate(sets), np.cumsum(sizes) - sizes
+        bands, probe_bands = (np.stack(x["bands"].to_numpy())[:, :band] for x in sides)
 
         def root(c):
             while parent[c] != c:
@@ -181,13 +188,20 @@ def _blocks(shingle: int, percent: int):
                 c = parent[c]
             return c
 
-        out = []
-        for i in range(len(node)):
-            for j in range(i + 1, len(node)):
-                if (one_block or side[i] != side[j]) and root(label[node[i]]) != root(label[node[j]]):
-                    if linked(sets[i], sets[j], percent):
-                        out.append((node[i], node[j]))
-                        parent[root(label[node[i]])] = root(label[node[j]])
+        for i, own in enumerate(shingle_sets(pa.array(sides[1]["text"]), shingle)):
+            mine = root(probe_label[i])
+            fits = (100 * sizes >= percent * len(own)) & (100 * len(own) >= percent * sizes)
+            fits &= ~(bands == probe_bands[i]).any(1)
+            fits &= np.array([root(c) != mine for c in label])
+            if not fits.any():
+                continue
+            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            common = np.add.reduceat((own[place] == flat).astype(np.int64), at)
+            fits &= 100 * common >= percent * (sizes + len(own) - common)
+            for j in np.flatnonzero(fits):
+                if root(label[j]) != root(probe_label[i]):
+                    out.append((node[j], probe[i]))
+                    parent[root(probe_label[i])] = root(label[j])
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return compare
@@ -281,11 +295,13 @@ def near_duplicates(
 
 
 def _texts(source: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(node, text) for the given nodes."""
+    """(node, bands, text) for the given nodes."""
     keyed = source.select(F.col("doc").isNull().alias("unnamed"), F.coalesce("doc", "seen").alias("at"), "text")
-    wanted = nodes.select("place.unnamed", "place.at", "node", "key")
+    wanted = nodes.select("place.unnamed", "place.at", "node", "key", "bands")
     return stored(
-        keyed.join(wanted, ["unnamed", "at"]).select("node", "key", "text").mapInArrow(_matching(shingle), "node bigint, text string"),
+        keyed.join(wanted, ["unnamed", "at"])
+        .select("node", "key", "bands", "text")
+        .mapInArrow(_matching(shingle), "node bigint, bands array<bigint>, text string"),
         "texts",
     )
 
@@ -307,22 +323,26 @@ def _star_links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int)
 
 
 def _rest_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links between nodes that share a bucket and not a component."""
-    known = buckets.join(labels, "node", "left").select("band", "value", "node", F.coalesce("label", "node").alias("label"))
-    open_ = known.groupBy("band", "value").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("mates")
-    )
-    open_ = open_.where("low <> high").select("band", "value", F.ceil(F.col("mates") / F.lit(BLOCK)).alias("blocks"))
-    # Blocks by hash: a bucket's nodes need no order, so none is sorted in one task.
-    placed = known.join(open_, ["band", "value"]).withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    sided = placed.withColumn("other", other).select(
-        "band", "value", "node", "label",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).alias("side"), (F.col("block") == F.col("other")).alias("one"),
+    """Links between nodes that share a bucket and not a component.
+
+    The nodes of a bucket outside its largest component (the probes) meet all
+    its nodes; the largest component, which stars found, is not compared with itself.
+    """
+    place = ["band", "value"]
+    known = buckets.join(labels, "node", "left").select(*place, "node", F.coalesce("label", "node").alias("label"))
+    sizes = known.groupBy(*place, "label").agg(F.count("*").alias("n"))
+    open_ = sizes.groupBy(*place).agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    open_ = open_.where("all > most").select(
+        *place, "main",
+        F.ceil(F.col("all") / BLOCK).alias("parts"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("chunks"),
     )
-    seen = W.partitionBy("band", "value", "i", "j")
-    # A comparison of two blocks of one and the same component has nothing to find.
-    sided = sided.withColumn("low", F.min("label").over(seen)).withColumn("high", F.max("label").over(seen)).where("low <> high")
-    rows = sided.join(texts, "node").select("band", "value", "i", "j", "node", "label", "side", "one", "text")
-    return rows.groupBy("band", "value", "i", "j").applyInPandas(_blocks(shingle, percent), "a bigint, b bigint")
+    placed = known.join(open_, place)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    every = placed.select(
+        *place, "node", "label", F.pmod(F.xxhash64("node", "band"), F.col("parts")).alias("part"), each("chunks").alias("chunk"), F.lit(False).alias("probe")
+    )
+    probes = placed.where("label <> main").select(
+        *place, "node", "label", each("parts").alias("part"), F.pmod(F.xxhash64("band", "node"), F.col("chunks")).alias("chunk"), F.lit(True).alias("probe")
+    )
+    rows = every.union(probes).join(texts, "node")
+    return rows.groupBy(*place, "part", "chunk").applyInPandas(_blocks(shingle, percent), "a bigint, b bigint")
