@@ -125,4 +125,100 @@ QUERIES = {
     "op10_anchor_expansion": op10_anchor_expansion,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+# SQL of DuckDB.  Operators that draw, train, align or encode have none; tests hold those against brute force.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+NEAR_DEDUP = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(LOWER)} AS words FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+        WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS g
+    FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS s, doc_id AS t FROM documents UNION SELECT r.s, e.b FROM reach r JOIN edges e ON r.t = e.a),
+named AS (SELECT s AS doc_id, min(t) AS component_id FROM reach GROUP BY s)
+SELECT named.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, named.doc_id = component_id AS kept
+FROM named LEFT JOIN sizes ON sizes.doc_id = named.doc_id
+"""
+
+
+def _coverage(n: int) -> str:
+    """Words and word characters inside windows of ``n`` words that a text has twice or more."""
+    return f"""(
+  SELECT doc_id, count(*) AS words_in, sum(length(words[at])) AS chars_in FROM (
+    SELECT DISTINCT w.doc_id, w.words, unnest(range(f.at, f.at + {n})) AS at
+    FROM w JOIN (
+      SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, g) AS times FROM (
+        SELECT doc_id, unnest(range(1, len(words) - {n - 2})) AS at,
+          unnest(list_transform(range(1, len(words) - {n - 2}), lambda i: words[i:i + {n - 1}])) AS g
+        FROM w WHERE len(words) >= {n})) f
+    ON f.doc_id = w.doc_id AND f.times > 1) GROUP BY doc_id)"""
+
+
+def _repetition_sql() -> str:
+    from txnfeatures.llm.repetition import COVERAGE, LINE_COVERAGE, MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW
+
+    chars = ", ".join(f"CAST(coalesce(c{n}.chars_in, 0) AS BIGINT) AS repeat_chars_{n}" for n in COVERAGE)
+    joins = " ".join(f"LEFT JOIN {_coverage(n)} c{n} ON c{n}.doc_id = w.doc_id" for n in COVERAGE)
+    good = " AND ".join(f"100 * repeat_chars_{n} <= {p} * word_chars" for n, p in COVERAGE.items())
+    failed = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words)"
+    return f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS.format("coalesce(text, '')")} AS words FROM documents),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+again AS (
+  SELECT doc_id, sum(n - 1) AS n_dup_lines, sum((n - 1) * length(line)) AS dup_line_chars FROM (
+    SELECT doc_id, line, count(*) AS n FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1, 2)
+  GROUP BY 1),
+m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(a.n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(r.words_in, 0) AS BIGINT) AS n_repeat_words, {chars},
+    CAST(length(text) AS BIGINT) AS chars, CAST(coalesce(a.dup_line_chars, 0) AS BIGINT) AS dup_line_chars
+  FROM w LEFT JOIN again a ON a.doc_id = w.doc_id
+    LEFT JOIN {_coverage(REPEAT_WINDOW)} r ON r.doc_id = w.doc_id {joins})
+SELECT *, {failed} AS base_failed,
+  NOT {failed} AND {good} AND 100 * dup_line_chars <= {LINE_COVERAGE} * chars AS kept
+FROM m
+"""
+
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+c AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS was,
+    lead(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS next,
+    length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '#', '\h')) AS body,
+    length(replace(replace(replace(replace(role, '\', '\s'), '<', '\l'), '#', '\h'), ':', '\c')) AS head
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(4 + head + 2 + body + 8) AS BIGINT) AS formatted_chars,
+  bool_and(((coalesce(was, '') || '>' || role) IN
+    ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user', 'assistant>tool', 'tool>assistant'))
+    AND (next IS NOT NULL OR role = 'assistant')) AS valid
+FROM c GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_minmax_near_dedup": NEAR_DEDUP,
+    "op4_repetition_coverage": _repetition_sql(),
+    "op9_chat_segments": CHAT,
+}
