@@ -156,14 +156,14 @@ FROM named LEFT JOIN sizes ON sizes.doc_id = named.doc_id
 def _coverage(n: int) -> str:
     """Words and word characters inside windows of ``n`` words that a text has twice or more."""
     return f"""(
-  SELECT doc_id, count(*) AS words_in, sum(length(words[at])) AS chars_in FROM (
-    SELECT DISTINCT w.doc_id, w.words, unnest(range(f.at, f.at + {n})) AS at
-    FROM w JOIN (
-      SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, g) AS times FROM (
-        SELECT doc_id, unnest(range(1, len(words) - {n - 2})) AS at,
+  SELECT x.doc_id, count(*) AS words_in, sum(length(words[x.pos])) AS chars_in FROM (
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + {n})) AS pos
+    FROM (
+      SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, g) AS times FROM (
+        SELECT doc_id, unnest(range(1, len(words) - {n - 2})) AS pos,
           unnest(list_transform(range(1, len(words) - {n - 2}), lambda i: words[i:i + {n - 1}])) AS g
-        FROM w WHERE len(words) >= {n})) f
-    ON f.doc_id = w.doc_id AND f.times > 1) GROUP BY doc_id)"""
+        FROM w WHERE len(words) >= {n}))
+    WHERE times > 1) x JOIN w ON w.doc_id = x.doc_id GROUP BY x.doc_id)"""
 
 
 def _repetition_sql() -> str:
