@@ -13,34 +13,26 @@ from txnfeatures.checks import tables as t
 from txnfeatures.checks.evaluation import ORACLES as EVALUATION_SQL
 from txnfeatures.checks.features import datasets_sql, universal, universal_sql
 from txnfeatures.operators.evaluation import evaluate
-from txnfeatures.operators.sampling import (
-    HASH_MODULUS,
-    HASH_MULTIPLIER,
-    cap_rows,
-    cap_rows_by_source,
-    head,
-    stratified_split,
-)
+from txnfeatures.operators.sampling import cap_rows, cap_rows_by_source, head, stratified_split
 from txnfeatures.schema import FINANCIAL
 from txnfeatures.sources import readers as R
 from txnfeatures.sources import writers as W
 
 
-def _financial_csv(spark, sf_dir):
-    """The financial relation as a CSV file set, columns in another order."""
+def _financial_csv(spark, sf_dir, mixed=False):
+    """The financial relation as a CSV file set; ``mixed``: half of the files have their columns in another order."""
     uri = W.scratch_uri(spark, "financial-csv")
-    t.financial(spark, sf_dir).select(
-        F.col("row_id").alias("transaction_id"),
-        "amount",
-        F.col("timestamp").cast("string").alias("timestamp"),
-        "sender_account",
-        "is_fraud",
-    ).write.option("header", True).csv(uri)
+    columns = ["transaction_id", "amount", "timestamp", "sender_account", "is_fraud"]
+    rows = t.financial(spark, sf_dir).withColumnRenamed("row_id", "transaction_id").withColumn("timestamp", F.col("timestamp").cast("string"))
+    for i, order in enumerate([columns, columns[::-1]] if mixed else [columns]):
+        part = rows.where(F.col("transaction_id") % 2 == i) if mixed else rows
+        part.select(*order).write.mode("append").option("header", True).csv(uri)
     return uri
 
 
 def scan_csv(spark, sf_dir):
-    df = R.read_source(spark, FINANCIAL.at(_financial_csv(spark, sf_dir)))
+    spec = FINANCIAL.at(_financial_csv(spark, sf_dir, mixed=True))
+    df = R.read_source(spark, spec, mixed_headers=True).select("transaction_id", "Amount", "timestamp", "sender_account", "is_fraud")
     return t.rounded(df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
 
 
@@ -73,10 +65,12 @@ def row_cap(spark, sf_dir):
 
 
 def row_cap_by_source(spark, sf_dir):
-    """Cap to half of the rows, shares kept; the kept rows per source."""
+    """Cap to half of the rows: per source, whether the kept part is half of it within six deviations, and if all kept rows are its own."""
     df = t.card_fraud(spark, sf_dir).select("row_id", F.col("IsFraud").cast("string").alias("source"))
-    capped = cap_rows_by_source(df, df.count() // 2, "row_id")
-    return capped.groupBy("source").agg(F.count("*").alias("n_rows"), F.sum("row_id").alias("sum_row_id"))
+    capped = cap_rows_by_source(df, df.count() // 2, "row_id").withColumn("kept", F.lit(1))
+    both = df.join(capped, ["row_id", "source"], "full")
+    n, kept = F.count("*"), F.count("kept")
+    return both.groupBy("source").agg(n.alias("n_rows"), (F.abs(2 * kept - n) <= 6 * F.sqrt(n)).alias("kept_half"))
 
 
 def write_scores(spark, sf_dir):
@@ -115,8 +109,13 @@ def head_rows(spark, sf_dir):
 
 
 def split(spark, sf_dir):
+    """Rows of each class, on each side."""
     df = t.card_fraud(spark, sf_dir).select("row_id", F.col("IsFraud").alias("label"))
-    return stratified_split(df, "row_id")
+    out = stratified_split(df, "row_id")
+    sides = out.groupBy("label").agg(
+        F.count_if(F.col("is_test") == 1).alias("n_test"), F.count_if(F.col("is_test") == 0).alias("n_train"), F.countDistinct("row_id").alias("n_rows")
+    )
+    return sides
 
 
 QUERIES = {
@@ -136,10 +135,6 @@ QUERIES = {
 }
 
 
-def hash_sql(key: str, seed: int) -> str:
-    once = f"((({key} + {seed}) % {HASH_MODULUS}) * {HASH_MULTIPLIER}) % {HASH_MODULUS}"
-    return f"((({once}) + {seed}) * {HASH_MULTIPLIER}) % {HASH_MODULUS}"
-
 ORACLES = {
     "scan_csv": """SELECT CAST(event_id AS VARCHAR) AS transaction_id, value AS "Amount", ts AS "timestamp",
       CAST(user_id AS VARCHAR) AS sender_account, event_type = 'error' AS is_fraud FROM events""",
@@ -148,9 +143,8 @@ ORACLES = {
       SELECT source, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_fraud FROM u GROUP BY 1""",
     "scan_features": f"WITH {t.CARD_FRAUD_SQL} {datasets_sql()['card_fraud']}",
     "row_cap": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1200",
-    "row_cap_by_source": f"""WITH {t.CARD_FRAUD_SQL}, n AS (SELECT count(*) AS n FROM card_fraud)
-      SELECT CAST(IsFraud AS VARCHAR) AS source, count(*) AS n_rows, CAST(sum(row_id) AS BIGINT) AS sum_row_id
-      FROM card_fraud, n WHERE {hash_sql("row_id", 7919)} < CAST(floor((n // 2) / n * {HASH_MODULUS}) AS BIGINT) GROUP BY 1""",
+    "row_cap_by_source": f"""WITH {t.CARD_FRAUD_SQL}
+      SELECT CAST(IsFraud AS VARCHAR) AS source, count(*) AS n_rows, TRUE AS kept_half FROM card_fraud GROUP BY 1""",
     "scan_score_input": 'SELECT CAST(event_id AS INTEGER) AS transaction_id, value AS "Amount" FROM events',
     "write_scores": f"WITH {t.SCORED_SQL} SELECT label, round(probability, 6) AS probability, prediction FROM scored",
     "write_metrics": EVALUATION_SQL["evaluation_metrics"],
@@ -160,7 +154,7 @@ ORACLES = {
       UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders""",
     "head": """SELECT event_id AS row_id, value AS amount, event_type = 'error' AS is_fraud
       FROM events ORDER BY event_id LIMIT 10""",
-    "stratified_split": f"""WITH {t.CARD_FRAUD_SQL} SELECT row_id, IsFraud AS label,
-      CAST(CASE WHEN {hash_sql("row_id", 42)} < {int(0.2 * HASH_MODULUS)} THEN 1 ELSE 0 END AS INTEGER) AS is_test
-      FROM card_fraud""",
+    "stratified_split": f"""WITH {t.CARD_FRAUD_SQL}, c AS (SELECT IsFraud AS label, count(*) AS n_rows FROM card_fraud GROUP BY 1)
+      SELECT label, CAST(round_even(0.2 * n_rows, 0) AS BIGINT) AS n_test,
+        CAST(n_rows - round_even(0.2 * n_rows, 0) AS BIGINT) AS n_train, n_rows FROM c""",
 }

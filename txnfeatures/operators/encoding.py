@@ -18,20 +18,27 @@ def fit_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {c: 0.0 if m is None else m for c, m in found.items()}
 
 
+def _finite(c: str):
+    return finite_or_null(F.col(f"`{c}`").cast("double"))
+
+
 def impute_median(df: DataFrame, columns: list[str], medians: dict[str, float] | None = None) -> DataFrame:
-    medians = medians or fit_medians(df, columns)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in columns})
+    """Fill null, NaN and infinite values with the column's median."""
+    if medians is None:
+        medians = fit_medians(df.select(*[_finite(c).alias(c) for c in columns]), columns)
+    return df.withColumns({c: F.coalesce(_finite(c), F.lit(medians[c])) for c in columns})
 
 
 def fit_scales(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Population deviations; 1 where there is none."""
-    row = df.agg(*[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    """Population deviations of the finite values; 1 where there is none."""
+    row = df.agg(*[F.stddev_pop(_finite(c)).alias(f"s{i}") for i, c in enumerate(columns)]).first()
     return {c: row[i] or 1.0 for i, c in enumerate(columns)}
 
 
 def scale_std(df: DataFrame, columns: list[str], scales: dict[str, float] | None = None) -> DataFrame:
     """Divide by the deviation, without centring."""
-    scales = scales or fit_scales(df, columns)
+    if scales is None:
+        scales = fit_scales(df, columns)
     return df.withColumns({c: F.col(c) / F.lit(scales[c]) for c in columns})
 
 

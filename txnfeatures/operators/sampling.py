@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from txnfeatures.operators.ranks import value_at_rank
 
-# Multiplier and modulus of the row-number hash.
-HASH_MULTIPLIER = 48271
-HASH_MODULUS = 2147483647
+# Row hashes lie in [0, HASH_RANGE), where doubles are exact.
+HASH_RANGE = 2**53
 
 
 def key_cut(df: DataFrame, n: int, key: str) -> float | int | None:
@@ -38,43 +37,45 @@ def cap_rows(df: DataFrame, n: int, order_key: str) -> DataFrame:
 
 
 def cap_rows_by_source(df: DataFrame, n: int, order_key: str, source: str = "source") -> DataFrame:
-    """About ``n`` rows with the shares of the sources kept.
+    """About ``n`` rows with about the sources' shares.
 
-    Keeps rows whose hashed key falls below the wanted share: no shuffle, and
-    the same rows every time.
+    Keeps rows whose hashed source and key fall below the wanted share: no
+    shuffle, and the same rows every time.  Sources are drawn independently.
     """
     total = df.count()
     share = min(1.0, n / total) if total else 1.0
-    return df.where(row_hash(order_key, 7919) < F.lit(int(share * HASH_MODULUS)))
+    return df.where(row_hash(source, order_key, seed=7919) < F.lit(int(share * HASH_RANGE)))
 
 
-def row_hash(key: str, seed: int = 42) -> Column:
-    """Hash of a whole-number key in [0, 2^31 - 1), by plain arithmetic."""
-    mixed = F.pmod(F.col(key).cast("bigint") + F.lit(seed), F.lit(HASH_MODULUS)) * F.lit(HASH_MULTIPLIER)
-    again = (F.pmod(mixed, F.lit(HASH_MODULUS)) + F.lit(seed)) * F.lit(HASH_MULTIPLIER)
-    return F.pmod(again, F.lit(HASH_MODULUS))
+def row_hash(*keys: str, seed: int = 42) -> Column:
+    """Hash of the key columns in [0, ``HASH_RANGE``)."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11)
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str = "label", test_share: float = 0.2, seed: int = 42, name: str = "is_test", exact: bool = False
+    df: DataFrame, key: str, label: str = "label", test_share: float = 0.2, seed: int = 42, name: str = "is_test", exact: bool = True
 ) -> DataFrame:
-    """Mark about ``test_share`` of each class as test rows.
+    """Mark ``test_share`` of the rows as test rows, every row 0 or 1.
 
-    A row's side depends on its key alone: no shuffle, and the same split on
-    every run.  ``exact`` cuts each class at the order statistic of its hashes,
-    which makes the shares exact to one row at the price of a few more scans.
+    With exactly two classes each is cut at the order statistic of its rows'
+    hashes, so shares are exact to one row (``key`` unique); with any other
+    number of classes, or rows without one, all rows are cut together.  A row's
+    side depends on its key: the same split on every run.  ``exact=False`` marks
+    rows by hash alone, without a job, and does not look at the label.
     """
-    h = row_hash(key, seed)
+    h = row_hash(key, seed=seed)
     if not exact:
-        return df.withColumn(name, (h < F.lit(int(test_share * HASH_MODULUS))).cast("int"))
+        return df.withColumn(name, (h < F.lit(int(test_share * HASH_RANGE))).cast("int"))
     hashed = df.select(h.alias("h"), F.col(label).alias("y"))
-    out = F.lit(None).cast("int")
-    for y in (0, 1):
-        mine = hashed.where(F.col("y") == y)
+    classes = [r["y"] for r in hashed.groupBy("y").agg(F.count("*").alias("n")).limit(3).collect()]
+    strata = [F.col(label) == y for y in classes] if len(classes) == 2 and None not in classes else [F.lit(True)]
+    out = F.lit(0)
+    for i, stratum in enumerate(strata):
+        mine = hashed.where(F.col("y") == classes[i]) if len(strata) == 2 else hashed
         n = mine.count()
         cut = value_at_rank(mine, "h", round(n * test_share)) if n else None
-        hit = F.lit(0) if cut is None else (h <= F.lit(cut)).cast("int")
-        out = F.when(F.col(label) == y, hit).otherwise(out)
+        hit = F.lit(0) if cut is None else (h <= F.lit(int(cut))).cast("int")
+        out = F.when(stratum, hit).otherwise(out)
     return df.withColumn(name, out)
 
 

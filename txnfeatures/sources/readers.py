@@ -13,14 +13,29 @@ from txnfeatures.functions.cleaning import rename_ci
 from txnfeatures.schema import SourceSpec
 
 
-def read_csv(spark: SparkSession, uri: str, types: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, uri: str, types: str | None = None, mixed_headers: bool = False) -> DataFrame:
     """CSV with a header.
 
-    With ``types`` (a DDL list) only the header line is looked at first: listed
-    columns get their types by name, in whatever order the file has them, and
+    With ``types`` (a DDL list) only a header line is looked at first: listed
+    columns get their types by name, in whatever order the files have them, and
     others are text.  Without, types are inferred, which reads all text once more.
+
+    All files must have the same header: a file that differs fails the read, it
+    is never taken by position.  ``mixed_headers`` looks at every file's header
+    (one small job for each file) and joins files of different headers by name;
+    a column that a file lacks is null there.
     """
-    reader = spark.read.option("header", True)
+    if mixed_headers:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(uri).select("path")
+        layouts: dict[tuple, list[str]] = {}
+        for (path,) in listed.toLocalIterator():
+            layouts.setdefault(tuple(spark.read.option("header", True).csv(path).columns), []).append(path)
+        return concat_by_name([_one_layout(spark, paths, types) for paths in layouts.values()])
+    return _one_layout(spark, uri, types)
+
+
+def _one_layout(spark: SparkSession, uri: str | list[str], types: str | None) -> DataFrame:
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if types is None:
         return reader.option("inferSchema", True).csv(uri)
     known = {f.name.lower(): f.dataType for f in T.StructType.fromDDL(types)}
@@ -29,13 +44,13 @@ def read_csv(spark: SparkSession, uri: str, types: str | None = None) -> DataFra
     return reader.schema(schema).csv(uri)
 
 
-def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def read_source(spark: SparkSession, spec: SourceSpec, mixed_headers: bool = False) -> DataFrame:
     """One dataset as its spec describes it, column names normalised.
 
     Plain text is split by ``spark.sql.files.maxPartitionBytes`` already, so
     ``repartition`` is for inputs that cannot be split.
     """
-    df = rename_ci(read_csv(spark, spec.uri, spec.types), spec.renames)
+    df = rename_ci(read_csv(spark, spec.uri, spec.types, mixed_headers), spec.renames)
     return df.repartition(spec.repartition) if spec.repartition else df
 
 
@@ -45,6 +60,8 @@ def read_features(spark: SparkSession, uri: str, sources: list[str] | None = Non
     try:
         df = spark.read.parquet(uri)
     except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise FileNotFoundError(f"no feature files under {uri}: has the feature job completed?") from e
     return df.where(F.col("source").isin(*sources)) if sources else df
 

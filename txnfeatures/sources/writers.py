@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,13 +12,11 @@ from pyspark.sql import functions as F
 def scratch_uri(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the session names for checkpoints.
 
-    Only a session on one machine may do without: it gets a temporary folder.
+    Where none is named it lies in the warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
