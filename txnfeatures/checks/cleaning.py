@@ -73,10 +73,13 @@ QUERIES = {
     "normalize_columns": lambda s, d: C.rename_ci(
         t.financial(s, d).withColumnRenamed("amount", "AMOUNT"), {"amount": "Amount"}
     ).select("row_id", "Amount"),
-    "cast_numeric": lambda s, d: t.table(s, d, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
-        F.col("l_linenumber").cast("double").alias("as_double"),
-        F.col("l_quantity").cast("int").alias("as_int"),
+    "cast_numeric": lambda s, d: C.cast_columns(
+        t.table(s, d, "lineitem").select(
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+            F.col("l_linenumber").cast("string").alias("as_double"),
+            F.col("l_quantity").alias("as_int"),
+        ),
+        {"as_double": "double", "as_int": "int"},
     ),
     "label_bool": _untidy_query(lambda df: df.select("event_id", C.label("is_fraud", "bool").alias("label"))),
     "label_int": _untidy_query(lambda df: df.select("event_id", C.label("label", "int").alias("label"))),

@@ -10,22 +10,27 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txnfeatures.checks import tables as t
-from txnfeatures.checks.features import clock_sql, select_sql, universal
+from txnfeatures.checks.features import clock_sql, select_sql, universal, universal_sql
 from txnfeatures.operators import encoding as N
 from txnfeatures.operators import learning as L
 from txnfeatures.operators.sampling import stratified_split
 from txnfeatures.operators.smote import smote
 from txnfeatures.operators.stats import fit_amount_stats, user_stats_serving
-from txnfeatures.plans.scoring import score_all_sources, score_source
+from txnfeatures.plans.scoring import score_all_sources, score_and_summarise, score_source
 from txnfeatures.plans.serving import extract_features_serving
+from txnfeatures.plans.training import train_baseline as train_baseline_plan
+from txnfeatures.plans.training import train_universal as train_universal_plan
 from txnfeatures.schema import FEATURE_COLS
 from txnfeatures.sources.readers import read_features
 from txnfeatures.sources.writers import scratch_uri, write_features
 from txnfeatures.streaming.scoring import stream_score
 from txnfeatures.streaming.velocity import stream_velocity
 
+# Queries about applying and storing a model share one of a few trees; training
+# itself is checked at the trainer's full settings.
 TREES = {"maxIter": 3, "maxDepth": 3}
 _models: dict = {}
+_trained: dict = {}
 
 
 def stored_features(spark, sf_dir):
@@ -42,6 +47,15 @@ def small_model(spark, sf_dir):
     return _models[key]
 
 
+def full_training(spark, sf_dir):
+    """The training plan at full settings (300 trees of depth 6), run once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _trained:
+        stores = [scratch_uri(spark, "primary-model"), scratch_uri(spark, "secondary-model")]
+        _trained[key] = train_universal_plan(stored_features(spark, sf_dir), uris=stores), stores
+    return _trained[key]
+
+
 def mixed_features(spark, sf_dir, **options):
     return extract_features_serving(
         t.mixed(spark, sf_dir), "Amount", time="timestamp", user="sender_account", **options
@@ -87,10 +101,58 @@ def smote_classes(spark, sf_dir):
 
 
 def train(spark, sf_dir):
-    """The importance each feature has in the fitted trees."""
-    model = small_model(spark, sf_dir)
-    shares = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(L.feature_names(model), shares)), "feature string, importance double")
+    """Facts of the model fitted at full settings, beside the labelled rows it was split from."""
+    trained, _ = full_training(spark, sf_dir)
+    trees = trained.model.stages[-1]
+    facts = (
+        L.n_trees(trained.model),
+        max(tree.depth for tree in trees.trees) <= 6,
+        len(L.feature_names(trained.model)),
+        abs(sum(trees.featureImportances.toArray()) - 1) < 1e-6,
+        trained.n_train + trained.n_test,
+    )
+    return spark.createDataFrame(
+        [facts], "n_trees bigint, depth_within boolean, n_features bigint, importances_sum_to_one boolean, n_rows bigint"
+    )
+
+
+def train_universal(spark, sf_dir):
+    """The whole training job: test share, what the stores hold, and what a reloaded model gives."""
+    trained, stores = full_training(spark, sf_dir)
+    again = L.predict(L.load_model(f"{stores[1]}/model"), trained.test, probability="again", prediction="again_class")
+    same = again.agg(F.count("*").alias("n"), F.count_if(F.col("again") == F.col("fraud_probability")).alias("same")).first()
+    types = "roc_auc double, pr_auc double, n_test bigint, n_fraud bigint, features int"
+    kept = [spark.read.schema(types).json(f"{uri}/metrics").first() for uri in stores]
+    n = trained.n_train + trained.n_test
+    facts = (
+        n,
+        abs(trained.n_test - 0.2 * n) <= 0.01 * n,
+        same["n"] == trained.n_test == same["same"],
+        kept[0] == kept[1] and kept[0]["n_test"] == trained.n_test and 0.5 < kept[0]["roc_auc"] <= 1,
+        trained.stores.where("ok").count(),
+    )
+    return spark.createDataFrame(
+        [facts], "n_rows bigint, fifth_for_test boolean, reloaded_equal boolean, metrics_stored boolean, n_stores bigint"
+    )
+
+
+def train_baseline(spark, sf_dir):
+    """The older trainer over a table with text columns, a listed column to drop and a label to find."""
+    df = t.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("transaction_id"),
+        F.col("o_totalprice").alias("amount"),
+        (F.datediff("o_orderdate", F.lit("1992-01-01")) / 365.0).alias("years"),
+        "o_orderpriority",
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("is_fraud"),
+    )
+    trained = train_baseline_plan(df, **TREES)
+    names = ",".join(sorted(L.feature_names(trained.model)))
+    n = trained.n_train + trained.n_test
+    scored = trained.test.count()
+    return spark.createDataFrame(
+        [(n, abs(trained.n_test - 0.2 * n) <= 0.01 * n, scored == trained.n_test, names)],
+        "n_rows bigint, fifth_for_test boolean, all_scored boolean, features string",
+    )
 
 
 def early_stopping(spark, sf_dir):
@@ -101,10 +163,10 @@ def early_stopping(spark, sf_dir):
     return df.agg(F.count("*").alias("n_rows")).withColumn("stopped_early", F.lit(L.n_trees(model) < 8))
 
 
-def _scored_facts(df):
+def _scored_facts(df, *more):
     p = F.col("fraud_probability")
     valid = (p >= 0) & (p <= 1) & (F.col("fraud_predicted") == (p >= 0.5).cast("int"))
-    return df.agg(F.count("*").alias("n_rows"), F.count_if(valid).alias("n_valid"))
+    return df.agg(F.count("*").alias("n_rows"), F.count_if(valid).alias("n_valid"), *more)
 
 
 def predict(spark, sf_dir):
@@ -140,9 +202,20 @@ def score_table(spark, sf_dir):
 
 
 def score_stored(spark, sf_dir):
+    """What was stored, its summary from the write, and the sum of probabilities there and in the returned scores."""
     uri = scratch_uri(spark, "predictions")
-    score_mixed(spark, sf_dir, uri=uri)
-    return _scored_facts(spark.read.option("header", True).option("inferSchema", True).csv(uri))
+    scored = score_and_summarise(
+        small_model(spark, sf_dir), t.mixed(spark, sf_dir), "Amount", "timestamp", user="sender_account", uri=uri
+    )
+    stored = spark.read.option("header", True).option("inferSchema", True).csv(uri)
+    again = score_mixed(spark, sf_dir).agg(F.sum("fraud_probability").alias("p"), F.sum("fraud_predicted").alias("hit")).first()
+    off = F.abs(F.sum("fraud_probability") - again["p"]).alias("off")
+    return _scored_facts(stored, off, F.sum("fraud_predicted").alias("hit")).select(
+        "n_rows",
+        "n_valid",
+        (F.col("off") < 1e-6 * F.col("n_rows")).alias("same_probabilities"),
+        (F.col("hit").eqNullSafe(F.lit(again["hit"])) & F.lit(scored.summary["n_predicted"] == again["hit"])).alias("same_summary"),
+    )
 
 
 def score_all(spark, sf_dir):
@@ -206,6 +279,8 @@ QUERIES = {
     "class_weighting": class_weighting,
     "smote": smote_classes,
     "train_gbt": train,
+    "train_universal": train_universal,
+    "train_baseline": train_baseline,
     "early_stopping": early_stopping,
     "predict": predict,
     "model_store": model_store,
@@ -261,11 +336,17 @@ ORACLES = {
     "smote": f"""WITH {t.CARD_FRAUD_SQL}, c AS (SELECT IsFraud AS label, count(*) AS n FROM card_fraud GROUP BY 1)
       SELECT label, FALSE AS synthetic, n AS n_rows FROM c
       UNION ALL SELECT label, TRUE, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""",
+    "train_gbt": f"""WITH u AS ({universal_sql()}) SELECT CAST(300 AS BIGINT) AS n_trees, TRUE AS depth_within,
+      CAST({len(FEATURE_COLS)} AS BIGINT) AS n_features, TRUE AS importances_sum_to_one, count(*) AS n_rows FROM u WHERE label IN (0, 1)""",
+    "train_universal": f"""WITH u AS ({universal_sql()}) SELECT count(*) AS n_rows, TRUE AS fifth_for_test,
+      TRUE AS reloaded_equal, TRUE AS metrics_stored, CAST(2 AS BIGINT) AS n_stores FROM u WHERE label IN (0, 1)""",
+    "train_baseline": """SELECT count(*) AS n_rows, TRUE AS fifth_for_test, TRUE AS all_scored,
+      'amount,o_orderpriority_level,years' AS features FROM orders""",
     "early_stopping": "SELECT count(*) AS n_rows, TRUE AS stopped_early FROM orders",
     "predict": "SELECT count(*) AS n_rows, count(*) AS n_valid FROM lineitem",
     "model_store": "SELECT count(*) AS n_rows, count(*) AS n_equal FROM lineitem",
     "score_table": f"WITH {t.MIXED_SQL} SELECT * FROM mixed",
-    "score_source": "SELECT count(*) AS n_rows, count(*) AS n_valid FROM lineitem",
+    "score_source": "SELECT count(*) AS n_rows, count(*) AS n_valid, TRUE AS same_probabilities, TRUE AS same_summary FROM lineitem",
     "score_all_sources": f"""WITH {t.MIXED_SQL}
       SELECT 'class ' || CAST(IsFraud AS VARCHAR) AS name, count(*) AS n_rows FROM mixed GROUP BY 1
       UNION ALL SELECT 'mixed_1M', count(*) FROM lineitem UNION ALL SELECT 'financial', count(*) FROM events

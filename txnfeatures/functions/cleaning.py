@@ -85,6 +85,11 @@ def finite_or_null(c) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
 
 
+def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns in new types; what cannot be read in its type becomes null."""
+    return df.withColumns({c: _c(c).try_cast(kind) for c, kind in types.items()})
+
+
 def fill_missing(df: DataFrame, cols: list[str] | None = None, value: float = 0) -> DataFrame:
     return df.fillna(value, subset=cols)
 

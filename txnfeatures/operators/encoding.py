@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnfeatures.functions.cleaning import finite_or_null
+from txnfeatures.operators.joins import attach_by_key
 from txnfeatures.operators.quantiles import exact_quantiles
+from txnfeatures.operators.ranks import running_totals
 
 SCALED = "_scaled"
 
@@ -61,6 +63,28 @@ def fit_preprocess(df: DataFrame, columns: list[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 
 
+def index_levels(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
+    """Replace text columns by the rank of their value by frequency, then text (1 is the most frequent; null and new values 0).
+
+    The levels are a table joined on, not literals of the plan, so their number
+    has no limit; hot levels go by a bounded broadcast.  Returns the rows and the new columns' names.
+    """
+    names = []
+    for c in columns:
+        counts = df.where(F.col(f"`{c}`").isNotNull()).groupBy(F.col(f"`{c}`").alias(c)).agg(F.count("*").alias("_n"))
+        # Rank by frequency: levels of the same count share a block, ordered by text.
+        blocks, _ = running_totals(counts, "_n", {"_levels": F.count("*")})
+        inside = F.row_number().over(Window.partitionBy("_n").orderBy(c))
+        total = F.lit(counts.count())
+        ranked = counts.withColumn("_inside", inside).join(blocks, "_n")
+        rank = (total - F.col("_levels_before") - F.col("_levels") + F.col("_inside")).cast("double")
+        name = f"{c}_level"
+        df = attach_by_key(df, ranked.select(c, "_n", rank.alias(name)), c, "_n", [name]).drop(c)
+        df = df.withColumn(name, F.coalesce(name, F.lit(0.0)))
+        names.append(name)
+    return df, names
+
+
 def category_levels(df: DataFrame, column: str, max_levels: int = 1000) -> list[str]:
     """Sorted distinct values; refuses a column with more than ``max_levels``."""
     found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_levels + 1).collect()
@@ -75,6 +99,6 @@ def one_hot_drop_first(
     """Replace string columns by 0/1 indicators per level but the first."""
     levels = levels or {c: category_levels(df, c, max_levels) for c in columns}
     flags = [
-        F.when(F.col(c) == level, 1).otherwise(0).alias(f"{c}_{level}") for c in columns for level in levels[c][1:]
+        F.when(F.col(f"`{c}`") == level, 1).otherwise(0).alias(f"{c}_{level}") for c in columns for level in levels[c][1:]
     ]
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], *flags)
