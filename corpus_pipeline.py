@@ -8,6 +8,7 @@ sf_dir) and, but for the last, returns the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnfeatures.llm.decontaminate import matches
 from txnfeatures.llm.minhash import near_duplicates
@@ -17,21 +18,33 @@ from txnfeatures.llm.shuffle import shuffle_into_shards
 from txnfeatures.llm.store import stored
 
 
+def _named(found: DataFrame) -> DataFrame:
+    """Documents by id and text: ids may be missing or shared."""
+    return found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")).distinct()
+
+
+def _same(docs: DataFrame):
+    return docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_text"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
-    kept = near_duplicates(docs, shingle=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
+
+    Rows equal in id and text are one document and stay together.
+    """
+    kept = near_duplicates(docs, shingle=5, percent=80).where("kept")
+    return docs.join(_named(kept), _same(docs), "left_semi")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(stored(found, "leaks"), "doc_id", "left_anti")
+    found = matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(stored(_named(found), "leaks"), _same(docs), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,7 +130,7 @@ def _matching(shared, least_percent: int):
         items = shared.value
         lengths = np.array([len(w) for w in items.words], dtype=np.int64)
         for batch in batches:
-            docs = batch.column(0)
+            docs = batch.column(0), batch.column(2)
             for first, rows, data, offsets in text_chunks(batch.column(1)):
                 words, hashes, grams, at = text_grams(data, offsets)
                 left = np.searchsorted(items.gram, grams, side="left")
@@ -178,9 +178,9 @@ def _aligned(docs, first, words, hashes, items, text, item, low, high, least_per
     if out:
         row, one, best, full, end = zip(*out)
         yield pa.RecordBatch.from_arrays(
-            [docs.take(pa.array(row)), pa.array(items.ids[list(one)], pa.int64()), pa.array(best, pa.int64()),
+            [*(c.take(pa.array(row)) for c in docs), pa.array(items.ids[list(one)], pa.int64()), pa.array(best, pa.int64()),
              pa.array(full, pa.int64()), pa.array(end, pa.int64())],
-            names=["doc", "item", "score", "full_score", "end_word"],
+            names=["doc", "seen", "item", "score", "full_score", "end_word"],
         )
 
 
@@ -213,7 +213,7 @@ def matches(
     least_percent: int = LEAST_PERCENT,
     item_block: int = ITEM_BLOCK,
 ) -> DataFrame:
-    """Places where a text of ``docs`` holds a test item: id, ``item_id``, ``score``, ``full_score``, ``end_word``.
+    """Places where a text of ``docs`` holds a test item: id, ``item_id``, ``score``, ``full_score``, ``end_word``, ``text_hash``.
 
     A row for each (row of ``docs``, item, place) whose alignment score is at
     least ``least_percent`` of that of an exact copy of the item; ``end_word``
@@ -222,9 +222,9 @@ def matches(
     null id are passed over, ids may repeat.  Other columns are ignored.
     """
     spark, out = docs.sparkSession, None
-    source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("seen"))
     kind = source.schema["doc"].dataType.simpleString()
-    schema = f"doc {kind}, item bigint, score bigint, full_score bigint, end_word bigint"
+    schema = f"doc {kind}, seen bigint, item bigint, score bigint, full_score bigint, end_word bigint"
     for ids, texts in item_blocks(benchmark, item_col, item_text_col, item_block):
         items = Items(ids, texts)
         found = (
@@ -239,4 +239,4 @@ def matches(
         out = part if out is None else out.union(part)
     if out is None:
         out = spark.createDataFrame([], schema)
-    return out.select(F.col("doc").alias(id_col), F.col("item").alias("item_id"), "score", "full_score", "end_word")
+    return out.select(F.col("doc").alias(id_col), F.col("item").alias("item_id"), "score", "full_score", "end_word", F.col("seen").alias("text_hash"))

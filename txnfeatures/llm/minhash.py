@@ -235,7 +235,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``, ``text_hash`` (xxhash64 of the text).
 
     Texts are lower-cased (A-Z); the set of a text is its distinct runs of
     ``shingle`` words, or the whole text where it has fewer words.  Two texts are
@@ -291,6 +291,7 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc")).alias("kept"),
+        F.col("seen").alias("text_hash"),
     )
 
 

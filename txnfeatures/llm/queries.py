@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_minmax_near_dedup(spark, sf_dir):
     from txnfeatures.llm.minhash import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op2_hidden_markov_lm(spark, sf_dir):
@@ -68,7 +68,7 @@ def op6_pivotal_mixing(spark, sf_dir):
 def op8_seeded_alignment(spark, sf_dir):
     from txnfeatures.llm.decontaminate import matches
 
-    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 def op7_template_lines(spark, sf_dir):
