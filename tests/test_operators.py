@@ -271,8 +271,27 @@ def test_smote_lies_between_neighbours(spark):
 def test_smote_leaves_hopeless_input_alone(spark):
     df = spark.createDataFrame([(i, int(i < 4), float(i)) for i in range(20)], "id bigint, label int, a double")
     assert smote(df, ["a"], "id").count() == 20
-    gap = df.withColumn("a", F.when(F.col("id") != 7, F.col("a")))
-    assert smote(gap, ["a"], "id", k=2).where("synthetic").count() == 0
+    gap = df.withColumn("a", F.when(F.col("id") != 2, F.col("a")))
+    with pytest.warns(UserWarning, match="missing values"):
+        assert smote(gap, ["a"], "id", k=2).where("synthetic").count() == 0
+    # A gap among the many is no obstacle.
+    other = df.withColumn("a", F.when(F.col("id") != 7, F.col("a")))
+    assert smote(other, ["a"], "id", k=2).where("synthetic").count() == 12
+
+
+def test_tree_neighbours_in_many_dimensions(spark):
+    x = RNG.normal(size=(3000, 18)) * np.linspace(3, 0.2, 18)
+    df = spark.createDataFrame([(i, 1, [float(v) for v in p]) for i, p in enumerate(x)], NB.POINT).repartition(4)
+    got = {r["pid"]: [n["near"] for n in r["near"]] for r in NB.tree_neighbours(df, 5, trees=6, leaf=300).collect()}
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1)[:, :5]
+    assert len(got) == len(x) and all(len(n) == 5 for n in got.values())
+    recall = np.mean([len(set(got[i]) & set(want[i])) / 5 for i in range(len(x))])
+    assert recall > 0.4
+    sizes = NB._leaves(df, 0, 1, 10, 7).groupBy("leaf").count().collect()
+    # Candidates of a point are bounded by its leaves, not by the number of points.
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 400
 
 
 def test_reading_nothing_is_an_error(spark, tmp_path):

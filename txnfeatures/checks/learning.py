@@ -16,6 +16,7 @@ from txnfeatures.operators import learning as L
 from txnfeatures.operators.sampling import stratified_split
 from txnfeatures.operators.smote import smote
 from txnfeatures.operators.stats import fit_amount_stats, user_stats_serving
+from txnfeatures.plans import features as P
 from txnfeatures.plans.scoring import score_all_sources, score_and_summarise, score_source
 from txnfeatures.plans.serving import extract_features_serving
 from txnfeatures.plans.training import train_baseline as train_baseline_plan
@@ -89,15 +90,25 @@ def class_weighting(spark, sf_dir):
 
 
 def smote_classes(spark, sf_dir):
-    """Rows per class after balancing, given and new ones apart."""
-    df = t.card_fraud(spark, sf_dir).select(
-        "row_id",
-        F.col("IsFraud").alias("label"),
-        F.log1p("Amount").alias("log_amount"),
-        (F.datediff("TransactionDate", F.lit("1992-01-01")) / 365.0).alias("years"),
-    )
-    out = smote(df, ["log_amount", "years"], "row_id")
-    return out.groupBy("label", "synthetic").agg(F.count("*").alias("n_rows"))
+    """Universal features of one dataset, balanced: rows per class, given and new
+    ones apart, and how many of them lie where they should (new ones between two
+    given rows of their class)."""
+    rows = P.features_card_fraud(t.card_fraud(spark, sf_dir))
+    filled = rows.select(F.monotonically_increasing_id().alias("row_id"), "label", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in FEATURE_COLS])
+    uri = scratch_uri(spark, "to-balance")
+    filled.write.parquet(uri)
+    df = spark.read.parquet(uri)
+    out = smote(df, FEATURE_COLS, "row_id", trace=True)
+    given = df.select("label", F.array(*FEATURE_COLS).alias("given")).distinct()
+    new = out.where("synthetic").withColumn("x", F.array(*FEATURE_COLS))
+    for end in ("_from", "_to"):
+        new = new.join(given.withColumnRenamed("given", f"{end}_given").withColumnRenamed("label", f"{end}_label"), (F.col("label") == F.col(f"{end}_label")) & (F.col(end) == F.col(f"{end}_given")))
+    gap = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
+    whole = gap("_from", "_to")
+    between = F.abs(gap("_from", "x") + gap("x", "_to") - whole) <= 1e-6 * (1 + whole)
+    good = new.groupBy("label").agg(F.count("*").alias("n_rows"), F.count_if(between).alias("n_in_place"))
+    old = out.where("NOT synthetic").groupBy("label").agg(F.count("*").alias("n_rows"), F.count("*").alias("n_in_place"))
+    return old.withColumn("synthetic", F.lit(False)).unionByName(good.withColumn("synthetic", F.lit(True)))
 
 
 def train(spark, sf_dir):
@@ -334,8 +345,8 @@ ORACLES = {
       SELECT row_id, IsFraud AS label, round(CASE IsFraud WHEN 1 THEN n / (2 * p) * greatest(1, floor((n - p) / p))
         ELSE n / (2 * (n - p)) END, 6) AS weight FROM card_fraud, c""",
     "smote": f"""WITH {t.CARD_FRAUD_SQL}, c AS (SELECT IsFraud AS label, count(*) AS n FROM card_fraud GROUP BY 1)
-      SELECT label, FALSE AS synthetic, n AS n_rows FROM c
-      UNION ALL SELECT label, TRUE, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""",
+      SELECT label, FALSE AS synthetic, n AS n_rows, n AS n_in_place FROM c
+      UNION ALL SELECT label, TRUE, (SELECT max(n) FROM c) - n, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""",
     "train_gbt": f"""WITH u AS ({universal_sql()}) SELECT CAST(300 AS BIGINT) AS n_trees, TRUE AS depth_within,
       CAST({len(FEATURE_COLS)} AS BIGINT) AS n_features, TRUE AS importances_sum_to_one, count(*) AS n_rows FROM u WHERE label IN (0, 1)""",
     "train_universal": f"""WITH u AS ({universal_sql()}) SELECT count(*) AS n_rows, TRUE AS fifth_for_test,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnfeatures.operators.neighbours import nearest_neighbours
+from txnfeatures.operators.neighbours import nearest_neighbours, tree_neighbours
 from txnfeatures.operators.sampling import key_cut
 from txnfeatures.sources.writers import scratch_uri
 
@@ -16,7 +18,15 @@ def _unit(*parts):
 
 
 def smote(
-    df: DataFrame, features: list[str], key: str, label: str = "label", k: int = 5, seed: int = 42, pivots: int | None = None
+    df: DataFrame,
+    features: list[str],
+    key: str,
+    label: str = "label",
+    k: int = 5,
+    seed: int = 42,
+    pivots: int | None = None,
+    method: str = "trees",
+    trace: bool = False,
 ) -> DataFrame:
     """Add minority rows until both classes have the same number.
 
@@ -24,18 +34,31 @@ def smote(
     ``k`` nearest minority neighbours, exact copies counting as neighbours at
     distance zero.  Every minority row is drawn equally often, give or take one.
     ``key`` is a unique whole number.  Returns the features, the label and
-    ``synthetic``; the input comes back unchanged where the classes cannot be
-    balanced (one class only, ``k`` rows or fewer, missing values).
+    ``synthetic``.  The input comes back unchanged, with a warning that says why,
+    where the classes cannot be balanced: ``k`` minority rows or fewer, or
+    missing values among them.
+
+    ``method="trees"`` finds neighbours with random-projection trees, in work
+    linear in the rows at any number of features; ``"exact"`` finds all true
+    ones, which suits two or three features and compares nearly all pairs at
+    many.  ``trace`` adds ``_from`` and ``_to``, the rows a new one lies between.
     """
     original = df.select(*[F.col(c).cast("double").alias(c) for c in features], label, F.lit(False).alias("synthetic"))
-    missing = " OR ".join(f"`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE))" for c in features)
+    if trace:
+        original = original.withColumns({c: F.lit(None).cast("array<double>") for c in ("_from", "_to")})
+    missing = F.expr(" OR ".join(f"`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE))" for c in features))
     head = df.agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
-        F.count_if(F.expr(missing)).alias("bad"),
+        F.count_if(missing & (F.col(label) == 1)).alias("bad1"),
+        F.count_if(missing & (F.col(label) == 0)).alias("bad0"),
     ).first()
     minority, few, many = (1, head["pos"], head["neg"]) if head["pos"] <= head["neg"] else (0, head["neg"], head["pos"])
-    if few <= k or few == many or head["bad"]:
+    if few == many:
+        return original
+    if few <= k or head[f"bad{minority}"]:
+        reason = f"{few} rows" if few <= k else f"{head[f'bad{minority}']} rows with missing values"
+        warnings.warn(f"no synthetic rows: class {minority} has {reason}", stacklevel=2)
         return original
 
     spark = df.sparkSession
@@ -47,12 +70,15 @@ def smote(
     rows.groupBy("x").agg(F.min("id").alias("pid"), F.count("*").alias("copies")).write.parquet(uri)
     points = spark.read.parquet(uri)
 
+    if method not in ("trees", "exact"):
+        raise ValueError(f"method must be 'trees' or 'exact', not {method!r}")
+    found = nearest_neighbours(points, k, pivots) if method == "exact" else tree_neighbours(points, k, seed=seed)
     # Up to k neighbours as plain vectors: own copies first, then the others
     # as often as they occur.
     others = F.flatten(F.transform("near", lambda t: F.array_repeat(t["near_x"], F.least(t["near_copies"], F.lit(k)).cast("int"))))
     own = F.array_repeat(F.col("x"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
     near = (
-        points.join(nearest_neighbours(points, k, pivots), "pid", "left")
+        points.join(found, "pid", "left")
         .select("pid", "x", "copies", F.coalesce(others, F.array().cast("array<array<double>>")).alias("others"))
         .select("pid", "x", "copies", F.slice(F.concat(own, "others"), 1, k).alias("options"))
     )
@@ -62,10 +88,10 @@ def smote(
     each, extra = divmod(wanted, few)
     last = key_cut(rows, extra, "id") if extra else None
     draws = F.lit(each) if last is None else F.lit(each) + (F.col("id") <= F.lit(last)).cast("int")
-    return original.unionByName(_synthesise(rows, near, draws, features, label, minority, seed))
+    return original.unionByName(_synthesise(rows, near, draws, features, label, minority, seed, trace))
 
 
-def _synthesise(rows, near, draws, features, label, minority, seed):
+def _synthesise(rows, near, draws, features, label, minority, seed, trace):
     """New rows per point: draws of all its copies are numbered through."""
     per_point = rows.groupBy("x").agg(F.sum(draws).alias("draws")).where("draws > 0")
     drawn = (
@@ -83,4 +109,5 @@ def _synthesise(rows, near, draws, features, label, minority, seed):
         *[(F.col("x")[i] + F.col("gap") * (F.col("other")[i] - F.col("x")[i])).alias(c) for i, c in enumerate(features)],
         F.lit(minority).alias(label),
         F.lit(True).alias("synthetic"),
+        *([F.col("x").alias("_from"), F.col("other").alias("_to")] if trace else []),
     )
