@@ -130,11 +130,25 @@ def test_encoder_equals_the_library():
     plain = Tokenizer.from_file(path)
     plain.encode_special_tokens = True
     rng = random.Random(5)
-    bits = ["a", " ", "  ", "é", "\n", "\t", "don't", "12", "ß ", " x", " ", "　", "!?", "<|endoftext|>", " \n", "汉字", "\x1c", "\x00", "'s", " "]
-    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(4000)] + [x or "" for x in TEXTS]
-    got = dac.Encoder(path)(texts)
-    for text, ids in zip(texts, got):
-        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    bits = ["a", "a.", "b,", ".", ",", " ", "  ", "é", "\n", "\n\n", "\r", "\t", "don't", "12", "ß ", " x", " ", "　", "!?", "<|endoftext|>", " \n", "汉字", "\x1c", "\x00", "'s", " "]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(12000)] + [x or "" for x in TEXTS]
+    encode, n = dac.Encoder(path), 0
+    for _, rows, data, offsets in text_chunks(pa.array(texts), 3000):
+        ids, at = encode(data, offsets)
+        for i in range(rows):
+            assert ids[at[i] : at[i + 1]].tolist() == plain.encode(texts[n], add_special_tokens=False).ids, repr(texts[n])
+            n += 1
+    assert n == len(texts)
+
+
+def test_units_are_confirmed_byte_by_byte(monkeypatch):
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    ((_, _, data, offsets),) = text_chunks(pa.array(["one two three", "", "two four"]))
+    encode = dac.Encoder(path)
+    want = encode(data, offsets)
+    monkeypatch.setattr(dac, "span_hashes", lambda data, starts, ends, values: np.zeros(len(starts), np.uint64))
+    got = dac.Encoder(path)(data, offsets)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
 
 
 def test_trades_keep_mass_and_end_in_an_integer():

@@ -13,10 +13,10 @@ doc_tokens, payload)``, ``payload`` being the codes of all ids of a segment.
 
 from __future__ import annotations
 
-import re
 import struct
 import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from txnfeatures.llm.positions import running
+from txnfeatures.llm.words import PLAIN, span_hashes, text_chunks
 from txnfeatures.sources.writers import scratch_uri
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,8 +39,9 @@ BLOCK = 512
 SEGMENT_TOKENS = 1 << 18
 MAGIC = b"DAC1"
 END_ID = 0
-#: Cached units of text of one worker.
-CACHE = 400_000
+#: Units of text that a task remembers, bytes of text encoded at once.
+CACHE = 500_000
+ENCODE_BYTES = 4 << 20
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -107,15 +109,20 @@ class Codes:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes, with a bounded memory of units met before.
-
-    A byte-level vocabulary never merges across the start of `` x`` (one space,
-    then something that is not white space), so text is cut there and units are
-    encoded once.  A text with other white space after a space, or white space
-    beyond ASCII, is encoded in one piece.
+    """Ids of whole texts, each distinct unit of text encoded once.
+
+    The vocabulary first splits text by a pattern into pieces and never merges
+    across their edges.  Some edges show in the bytes around them: before a
+    space and what is not white space, around a single line feed, before a full
+    stop or comma after a letter.  Text is cut into units there, on the bytes of
+    many texts at once; the library encodes units not met before (a bounded
+    memory holds those that were), and ids are put together by position.
+    A text with unusual white space is one unit.
     """
 
-    WHOLE = re.compile("[ ](?=\\s|\\Z)|[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    #: White space of Unicode beyond space, tab, line feed and carriage return; lead bytes that it can have.
+    UNUSUAL = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+    LEADS = b"\x0b\x0c\x1c\x1d\x1e\x1f\xc2\xe1\xe2\xe3"
 
     def __init__(self, path: str):
         import os
@@ -125,58 +132,88 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in batch(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+        self.known: dict[bytes, bytes] = {}
+
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """First byte of each unit."""
+        white, letter, lead = (np.zeros(256, dtype=bool) for _ in range(3))
+        white[list(b" \t\n\r")] = True
+        letter[list(range(65, 91)) + list(range(97, 123))] = True
+        lead[list(self.LEADS)] = True
+        at = offsets[:-1][np.diff(offsets) > 0]
+        last = offsets[1:][np.diff(offsets) > 0] - 1
+        is_white = white[data]
+        before, after = np.roll(is_white, 1), np.roll(is_white, -1)
+        before[at], after[last] = True, True
+        feed = (data == 10) & ~before
+        cut = ((data == 32) & ~after) | feed
+        cut[1:] |= feed[:-1] & ~is_white[1:]
+        cut[1:] |= ((data[1:] == 46) | (data[1:] == 44)) & letter[data[:-1]]
+        cut[at] = True
+        if lead[data].any():
+            for a, b in zip(at, last + 1):
+                if lead[data[a:b]].any():
+                    text = bytes(data[a:b]).decode()
+                    if any(c in text for c in self.UNUSUAL):
+                        cut[a + 1 : b] = False
+        return np.flatnonzero(cut)
+
+    def distinct(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One unit of each kind, and the kind of each unit; equal by hash, then confirmed byte by byte."""
+        _, index, kind = np.unique(span_hashes(data, starts, ends, PLAIN), return_index=True, return_inverse=True)
+        lengths, shift = ends - starts, starts - starts[index][kind]
+        if (lengths == lengths[index][kind]).all() and (data[np.arange(len(data)) - np.repeat(shift, lengths)] == data).all():
+            return index, kind
+        seen: dict[bytes, int] = {}
+        kind = np.array([seen.setdefault(bytes(data[a:b]), len(seen)) for a, b in zip(starts, ends)])
+        return np.unique(kind, return_index=True)[1], kind
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as bytes and offsets, and the ids' offsets by text."""
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        starts = self.cuts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        index, kind = self.distinct(data, starts, ends)
+        raw = data.tobytes()
+        units = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())]
         if len(self.known) > CACHE:
             self.known.clear()
-        known, out, cut = self.known, [b""] * len(texts), []
-        missing: dict[str, None] = {}
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if self.WHOLE.search(text):
-                out[i] = self.ids([text])[0]
-                continue
-            # Units after the first are kept without their space; the first gets a mark no unit can start with.
-            units = text.split(" ")
-            units[0] = " " + units[0]
-            cut.append((i, units))
-            missing.update(dict.fromkeys(u for u in units if u not in known))
-        if missing:
-            fresh = list(missing)
-            known.update(zip(fresh, self.ids([u[1:] if u[0] == " " else " " + u for u in fresh])))
-        for i, units in cut:
-            out[i] = b"".join(map(known.__getitem__, units))
-        return out
+        fresh = [u for u in units if u not in self.known]
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        found = encode([u.decode() for u in fresh], add_special_tokens=False)
+        self.known.update((u, array("I", e.ids).tobytes()) for u, e in zip(fresh, found))
+        coded = [self.known[u] for u in units]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        heads = np.cumsum(sizes) - sizes
+        counts = sizes[kind]
+        ends_at = np.cumsum(counts)
+        ids = np.frombuffer(b"".join(coded), "<u4")[np.arange(ends_at[-1]) - np.repeat(ends_at - counts - heads[kind], counts)]
+        return ids, np.concatenate(([0], ends_at))[np.searchsorted(starts, offsets)]
 
 
 def _encoding(path: str, end_id: int, segment_tokens: int):
     def encoding(batches):
         encode = Encoder(path)
-        end = struct.pack("<I", end_id)
+        end = np.array([end_id], "<u4")
         docs, lengths, parts, size, seq = [], [], [], 0, 0
         part = TaskContext.get().partitionId()
 
         def close():
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([seq], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
-                 pa.array([lengths], pa.list_(pa.int64())), pa.array([pack(np.frombuffer(b"".join(parts), "<u4"))], pa.binary())],
+                 pa.array([lengths], pa.list_(pa.int64())), pa.array([pack(np.concatenate(parts))], pa.binary())],
                 names=["part", "seq", "doc_ids", "doc_tokens", "payload"],
             )
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                rows = batch.slice(first, 256)
-                texts = [x or "" for x in rows.column(1).to_pylist()]
-                for doc, ids in zip(rows.column(0).to_pylist(), encode(texts)):
-                    docs.append(doc)
-                    lengths.append(len(ids) // 4 + 1)
-                    parts += (ids, end)
+            ids_of = batch.column(0).to_pylist()
+            for first, rows, data, offsets in text_chunks(batch.column(1), ENCODE_BYTES):
+                ids, at = encode(data, offsets)
+                for i in range(rows):
+                    docs.append(ids_of[first + i])
+                    parts += (ids[at[i] : at[i + 1]], end)
+                    lengths.append(int(at[i + 1] - at[i]) + 1)
                     size += lengths[-1]
                     if size >= segment_tokens:
                         yield close()
