@@ -430,3 +430,35 @@ def test_percentile_takes_few_jobs(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     # Four passes: count, sketch (merged in two levels), counts of the probes, last step; each takes two or three jobs.
     assert 0 < len([j for j in jobs if j]) <= 10
+
+
+def test_training_job_stores_model_and_metrics(spark, sf_dir, tmp_path):
+    from txnfeatures.checks.learning import stored_features
+    from txnfeatures.plans.training import train_universal
+
+    (tmp_path / "file").write_text("in the way")
+    uris = [str(tmp_path / "a"), str(tmp_path / "file" / "b")]
+    trained = train_universal(stored_features(spark, sf_dir), uris=uris, maxIter=2, maxDepth=2)
+    assert [(r["ok"], r["error"] is None) for r in trained.stores.collect()] == [(True, True), (False, False)]
+    assert trained.n_test == trained.test.count() == trained.metrics.first()["n_test"]
+    again = L.predict(L.load_model(f"{uris[0]}/model"), trained.test, probability="again", prediction="again_class")
+    assert again.where("again <> fraud_probability").count() == 0
+
+
+def test_level_ranks_have_no_limit(spark):
+    rows = [("a",)] * 5 + [("b",)] * 3 + [("c",)] * 3 + [(None,)] + [(f"z{i:05d}",) for i in range(3000)]
+    out, names = N.index_levels(spark.createDataFrame(rows, "`x y` string"), ["x y"])
+    found = sorted(r[names[0]] for r in out.collect())
+    assert names == ["x y_level"] and out.columns == names
+    assert found == [0.0] + [1.0] * 5 + [2.0] * 3 + [3.0] * 3 + [float(i) for i in range(4, 3004)]
+
+
+def test_model_runs_once_when_scores_are_written(spark, sf_dir, tmp_path):
+    from txnfeatures.plans.scoring import score_and_summarise
+
+    df = t.mixed(spark, sf_dir)
+    out = score_and_summarise(small_model(spark, sf_dir), df, "Amount", "timestamp", user="sender_account", uri=str(tmp_path / "s"))
+    plan = out.scores._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "csv" in plan.lower()
+    assert out.summary["n_rows"] == df.count() == out.scores.count()
+    assert out.summary["n_predicted"] == out.scores.where("fraud_predicted = 1").count()
