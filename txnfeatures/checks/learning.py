@@ -119,7 +119,7 @@ def train(spark, sf_dir):
         L.n_trees(trained.model),
         max(tree.depth for tree in trees.trees) <= 6,
         len(L.feature_names(trained.model)),
-        abs(sum(trees.featureImportances.toArray()) - 1) < 1e-6,
+        bool(abs(sum(trees.featureImportances.toArray()) - 1) < 1e-6),
         trained.n_train + trained.n_test,
     )
     return spark.createDataFrame(
