@@ -217,8 +217,44 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+TEMPLATES = r"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
+tokens AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS tokens FROM lines),
+leafed AS (
+  SELECT doc_id, text, pos, tokens, array_to_string(tokens, ' ') AS line,
+    len(tokens) || ' ' || array_to_string(list_transform(tokens[1:3],
+      lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ') AS leaf
+  FROM tokens WHERE len(tokens) > 0),
+found AS (
+  SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text) >= 10)),
+parsed AS (
+  SELECT leaf, line, docs, unnest(range(len(tokens))) AS pos,
+    unnest(list_transform(tokens, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END)) AS token
+  FROM (SELECT leaf, line, count(DISTINCT text) AS docs, any_value(tokens) AS tokens FROM found GROUP BY 1, 2)),
+agreed AS (
+  SELECT leaf, pos, token FROM parsed WHERE token <> '<*>' GROUP BY 1, 2, 3 HAVING sum(docs) >= 10),
+templates AS (
+  SELECT p.leaf, p.line, string_agg(coalesce(a.token, '<*>'), ' ' ORDER BY p.pos) AS fields
+  FROM parsed p LEFT JOIN agreed a ON a.leaf = p.leaf AND a.pos = p.pos AND a.token = p.token
+  GROUP BY 1, 2 HAVING count(a.token) >= 3 AND 100 * count(a.token) >= 50 * count(*)),
+named AS (
+  SELECT f.doc_id, f.text, f.pos, t.leaf, t.fields FROM found f JOIN templates t ON t.leaf = f.leaf AND t.line = f.line),
+common AS (SELECT leaf, fields FROM named GROUP BY 1, 2 HAVING count(DISTINCT text) >= 10),
+gone AS (SELECT DISTINCT doc_id, text, pos FROM named JOIN common USING (leaf, fields)),
+kept AS (
+  SELECT l.doc_id, l.text, count(*) AS n_lines, count(g.pos) AS n_dropped,
+    coalesce(string_agg(CASE WHEN g.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos), '') AS rest
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.text = l.text AND g.pos = l.pos GROUP BY 1, 2)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, rest AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.text = d.text
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minmax_near_dedup": NEAR_DEDUP,
     "op4_repetition_coverage": _repetition_sql(),
+    "op7_template_lines": TEMPLATES,
     "op9_chat_segments": CHAT,
 }
