@@ -21,7 +21,7 @@ from txnfeatures.llm.words import PLAIN, Words, mix, run_hashes, runs, span_hash
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Words of a window, and the per cent of a text's word characters that repeated windows of this length may cover.
-COVERAGE = {5: 40, 8: 30, 13: 25}
+COVERAGE = {5: 50, 8: 40, 13: 40}
 #: Per cent of a text's characters that may lie in lines equal to an earlier one.
 LINE_COVERAGE = 30
 MIN_WORDS = 20
