@@ -1,5 +1,7 @@
 """Operators against brute force, with the large-data paths forced on."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -438,7 +440,10 @@ def test_training_job_stores_model_and_metrics(spark, sf_dir, tmp_path):
 
     (tmp_path / "file").write_text("in the way")
     uris = [str(tmp_path / "a"), str(tmp_path / "file" / "b")]
-    trained = train_universal(stored_features(spark, sf_dir), uris=uris, maxIter=2, maxDepth=2)
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    features, before = stored_features(spark, sf_dir), set(os.listdir(folder))
+    trained = train_universal(features, uris=uris, maxIter=2, maxDepth=2)
+    assert {x.split("-")[0] for x in set(os.listdir(folder)) - before} & {"test", "split", "ready"} == {"test"}
     assert [(r["ok"], r["error"] is None) for r in trained.stores.collect()] == [(True, True), (False, False)]
     assert trained.n_test == trained.test.count() == trained.metrics.first()["n_test"]
     again = L.predict(L.load_model(f"{uris[0]}/model"), trained.test, probability="again", prediction="again_class")

@@ -21,7 +21,7 @@ from txnfeatures.operators import encoding, evaluation, learning
 from txnfeatures.operators.sampling import row_hash, stratified_split
 from txnfeatures.operators.smote import smote
 from txnfeatures.schema import FEATURE_COLS
-from txnfeatures.sources.writers import replicate, scratch_uri, write_metrics
+from txnfeatures.sources.writers import replicate, scratch, scratch_uri, write_metrics
 
 ROW = "_row"
 TEST = "_is_test"
@@ -30,7 +30,8 @@ TEST = "_is_test"
 @dataclass
 class Trained:
     """A fitted model, its metrics on the test rows (one row), the scored test
-    rows, the numbers of rows on each side, and how storing went."""
+    rows (stored in scratch space; the caller's to delete), the numbers of rows
+    on each side, and how storing went."""
 
     model: PipelineModel
     metrics: DataFrame
@@ -40,13 +41,12 @@ class Trained:
     stores: DataFrame | None
 
 
-def _split(df: DataFrame, label: str, test_share: float, seed: int) -> DataFrame:
+def _split(df: DataFrame, label: str, test_share: float, seed: int, uri: str) -> DataFrame:
     """Rows with their side, stored: fit and test read the same files.
 
     The side follows a hash of the row, so equal rows never stand on both.
     """
     rows = df.withColumn(ROW, row_hash(*df.columns, seed=seed))
-    uri = scratch_uri(df.sparkSession, "split")
     stratified_split(rows, ROW, label, test_share, seed, TEST).write.parquet(uri)
     return df.sparkSession.read.parquet(uri)
 
@@ -89,10 +89,12 @@ def train_universal(
     ``settings`` go to the trainer; without any it fits 300 trees of depth 6.
     """
     rows = inf_to_null(align(features.where(F.col(label).isin(0, 1)), FEATURE_COLS, keep=(label,)))
-    split = _split(rows, label, test_share, seed)
-    model = learning.train_gbt(split.where(F.col(TEST) == 0), FEATURE_COLS, label, **settings)
-    test = split.where(F.col(TEST) == 1).drop(TEST, ROW)
-    return _stored(_measured(model, split, test, label, len(FEATURE_COLS), threshold), list(uris))
+    with scratch(features.sparkSession, "split") as uri:
+        split = _split(rows, label, test_share, seed, uri)
+        model = learning.train_gbt(split.where(F.col(TEST) == 0), FEATURE_COLS, label, **settings)
+        test = split.where(F.col(TEST) == 1).drop(TEST, ROW)
+        trained = _measured(model, split, test, label, len(FEATURE_COLS), threshold)
+    return _stored(trained, list(uris))
 
 
 def train_baseline(
@@ -119,17 +121,19 @@ def train_baseline(
     rows, encoded = encoding.index_levels(rows, text)
     numeric = [c for c in numeric_columns(rows) if c != label and c not in encoded]
     rows = inf_to_null(rows.select(*numeric, *encoded, F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1)))
-    split = _split(rows, label, test_share, seed)
-    train = split.where(F.col(TEST) == 0)
     names = [*numeric, *encoded]
-    medians = encoding.fit_medians(train, names)
-    scales = encoding.fit_scales(encoding.impute_median(train, names, medians), names)
-    ready = encoding.scale_std(encoding.impute_median(split, names, medians), names, scales)
-    uri = scratch_uri(df.sparkSession, "ready")
-    ready.withColumn("_id", F.monotonically_increasing_id()).write.parquet(uri)
-    ready = df.sparkSession.read.parquet(uri)
-    balanced = smote(ready.where(F.col(TEST) == 0), names, "_id", label, k, seed)
-    model = learning.train_gbt(balanced.drop("synthetic"), names, label, **settings)
-    test = ready.where(F.col(TEST) == 1).drop(TEST, ROW, "_id")
-    return _stored(_measured(model, split, test, label, len(names), threshold), list(uris))
+    spark = df.sparkSession
+    with scratch(spark, "split") as split_uri, scratch(spark, "ready") as ready_uri:
+        split = _split(rows, label, test_share, seed, split_uri)
+        train = split.where(F.col(TEST) == 0)
+        medians = encoding.fit_medians(train, names)
+        scales = encoding.fit_scales(encoding.impute_median(train, names, medians), names)
+        ready = encoding.scale_std(encoding.impute_median(split, names, medians), names, scales)
+        ready.withColumn("_id", F.monotonically_increasing_id()).write.parquet(ready_uri)
+        ready = spark.read.parquet(ready_uri)
+        balanced = smote(ready.where(F.col(TEST) == 0), names, "_id", label, k, seed)
+        model = learning.train_gbt(balanced.drop("synthetic"), names, label, **settings)
+        test = ready.where(F.col(TEST) == 1).drop(TEST, ROW, "_id")
+        trained = _measured(model, split, test, label, len(names), threshold)
+    return _stored(trained, list(uris))
 

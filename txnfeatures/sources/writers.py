@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,22 @@ def scratch_uri(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, uri: str) -> None:
+    """Delete what was written to a scratch path; nothing happens where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch path that is deleted on the way out: for tables needed only until a result is stored."""
+    uri = scratch_uri(spark, name)
+    try:
+        yield uri
+    finally:
+        discard(spark, uri)
+
+
 def write_features(
     df: DataFrame, uri: str, mode: str = "overwrite", dynamic: bool = False, rebalance: bool = False
 ) -> dict:
