@@ -13,7 +13,7 @@ def running(df: DataFrame, key: str, value: str, out: str, width: int = 4096) ->
     Two levels: totals of ``width`` neighbouring keys first, so the one window
     over all of them has a ``width``-th of the rows.
     """
-    span = F.floor(F.col(key) / width)
+    span = F.expr(f"`{key}` DIV {width}")
     totals = df.groupBy(span.alias("_span")).agg(F.sum(value).alias("_sum"))
     before = W.orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.select("_span", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_ahead"))

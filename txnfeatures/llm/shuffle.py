@@ -28,7 +28,8 @@ from txnfeatures.sources.writers import scratch_uri
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BUCKET_BYTES = 8 << 20
+#: Bytes of text of a bucket, and about how many a task deals.
+BUCKET_BYTES, TASK_BYTES = 8 << 20, 32 << 20
 
 
 def _deal(seed: int):
@@ -69,14 +70,17 @@ def shuffle_into_shards(
     counts = stored(hashed.groupBy("_bucket").agg(F.count("*").alias("_rows")), "buckets")
     places = running(counts, "_bucket", "_rows", "_before").drop("_rows")
     schema = T.StructType([*docs.schema, T.StructField("_at", T.LongType())])
-    dealt = hashed.groupBy("_bucket").cogroup(places.groupBy("_bucket")).applyInArrow(_deal(seed), schema)
+    # Tasks follow the data, not a setting: some buckets each, one of them in memory at a time.
+    parallelism = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-total["bytes"] // max(TASK_BYTES, bucket_bytes)), min(buckets, 2 * parallelism))
+    left, right = (df.repartition(tasks, "_bucket").groupBy("_bucket") for df in (hashed, places))
+    dealt = left.cogroup(right).applyInArrow(_deal(seed), schema)
     small, longer = divmod(total["rows"], shards)
     edge = longer * (small + 1)
-    at, past = F.col("_at"), F.col("_at") - edge
-    in_long = at < edge
-    whole = lambda a, n: F.floor(a / n)
-    shard = F.when(in_long, whole(at, small + 1)).otherwise(longer + whole(past, max(small, 1))).cast("int")
-    slot = F.when(in_long, at % (small + 1)).otherwise(past % max(small, 1))
+    # The first ``longer`` shards have a row more than the others.
+    least = max(small, 1)
+    shard = F.expr(f"IF(_at < {edge}, _at DIV {small + 1}, {longer} + (_at - {edge}) DIV {least})").cast("int")
+    slot = F.expr(f"IF(_at < {edge}, _at % {small + 1}, (_at - {edge}) % {least})")
     out = dealt.withColumns({"shard": shard, "slot": slot.cast("bigint")}).drop("_at")
     uri = uri or scratch_uri(docs.sparkSession, "shards")
     out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(uri)
