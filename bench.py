@@ -65,7 +65,7 @@ def headline(spark):
         "roc_auc": lambda: E.roc_auc(t.scored(spark, SF_DIR)).collect(),
         "classification_report": lambda: E.classification_report(t.scored(spark, SF_DIR)).collect(),
         "serving_features": lambda: sink(mixed_features(spark, SF_DIR)),
-        "score_source": lambda: sink(score_mixed(spark, SF_DIR)),
+        "score_source": lambda: sink(score_mixed(spark, SF_DIR, small_model(spark, SF_DIR))),
         "csv_write_read": lambda: csv_round_trip(spark),
         "write_features": lambda: stored_features(spark, SF_DIR),
         "smote": lambda: smote_classes(spark, SF_DIR).collect(),
