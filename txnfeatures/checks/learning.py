@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from txnfeatures.checks import tables as t
-from txnfeatures.checks.features import clock_sql, select_sql, universal, universal_sql
+from txnfeatures.checks.features import clock_sql, datasets_sql, select_sql, universal, universal_sql
 from txnfeatures.operators import encoding as N
 from txnfeatures.operators import learning as L
 from txnfeatures.operators.sampling import stratified_split
 from txnfeatures.operators.smote import smote
 from txnfeatures.operators.stats import fit_amount_stats, user_stats_serving
 from txnfeatures.plans import features as P
+from txnfeatures.plans.parity import train_serve_report
 from txnfeatures.plans.scoring import score_all_sources, score_and_summarise, score_source
 from txnfeatures.plans.serving import extract_features_serving
 from txnfeatures.plans.training import train_baseline as train_baseline_plan
@@ -286,7 +287,18 @@ def score_stream(spark, sf_dir):
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("live") - F.col("fraud_probability")) < 1e-9).alias("n_equal"))
 
 
+def parity(spark, sf_dir):
+    """Both feature plans over the financial rows."""
+    report = train_serve_report(
+        t.financial(spark, sf_dir),
+        P.features_financial,
+        lambda df: extract_features_serving(df.withColumnRenamed("amount", "Amount"), "Amount", time="timestamp", user="sender_account"),
+    )
+    return t.rounded(report)
+
+
 QUERIES = {
+    "train_serve_report": parity,
     "extract_features_serving": lambda s, d: t.rounded(mixed_features(s, d)),
     "impute_median": impute_median,
     "scale_std": scale_std,
@@ -324,16 +336,28 @@ SERVING = {
     "pca_mean": "CAST(0 AS DOUBLE)",
 }
 
-SERVING_SQL = f"""WITH {t.MIXED_SQL}, st AS (
+def serving_sql(views: str) -> str:
+    return f"""WITH {views}, st AS (
     SELECT avg("Amount") AS m, stddev_samp("Amount") AS s, quantile_cont("Amount", 0.95) AS p FROM mixed),
   u AS (SELECT sender_account AS k, avg("Amount") AS um, coalesce(stddev_samp("Amount"), 1) AS us,
     count("Amount") AS un FROM mixed GROUP BY 1),
   r AS (SELECT "Amount" AS a, "timestamp" AS ts, st.*, u.* FROM mixed LEFT JOIN u ON sender_account = k CROSS JOIN st)
   SELECT {select_sql({c: SERVING[c] for c in FEATURE_COLS})} FROM r"""
 
+
+SERVING_SQL = serving_sql(t.MIXED_SQL)
+AS_MIXED = f"""{t.FINANCIAL_SQL}, mixed AS (
+  SELECT row_id, amount AS "Amount", "timestamp", sender_account FROM financial)"""
+PARITY_SQL = f"""WITH {t.FINANCIAL_SQL}, tr AS ({datasets_sql()["financial"]}), se AS ({serving_sql(AS_MIXED)}),
+  a AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, avg({c}) AS m, count(*) - count({c}) AS n FROM tr" for c in FEATURE_COLS)}),
+  b AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, avg({c}) AS m, count(*) - count({c}) AS n FROM se" for c in FEATURE_COLS)})
+  SELECT feature, round(a.m, 6) AS train_mean, a.n AS train_missing, round(b.m, 6) AS serve_mean, b.n AS serve_missing,
+    round(abs(a.m - b.m), 6) AS gap FROM a JOIN b USING (feature)"""
+
 PRIORITIES = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 ORACLES = {
+    "train_serve_report": PARITY_SQL,
     "extract_features_serving": SERVING_SQL,
     "impute_median": """WITH e AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS v FROM events)
       SELECT event_id, round(coalesce(v, (SELECT quantile_cont(v, 0.5) FROM e)), 6) AS value FROM e""",
