@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept boolean, size int, shard string, key string"
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, kept boolean, size int, shard string, key string, "
+    "_row int, _hash string, _bucket string, _key string, _rate string, _size string, doc string, seen string, node string"
+)
 
 
 def prose(rng, n, alphabet=400):
@@ -37,7 +40,7 @@ def rows():
 
 @pytest.fixture(scope="module")
 def docs(spark, rows):
-    full = [(d, t, "en", None if i % 11 == 0 else f"s{i % 3}", None, i % 2 == 0, 1, "x", "k") for i, (d, t) in enumerate(rows)]
+    full = [(d, t, "en", None if i % 11 == 0 else f"s{i % 3}", None, i % 2 == 0, 1, "x", "k", 5, *"abcdefgh") for i, (d, t) in enumerate(rows)]
     return spark.createDataFrame(full, SCHEMA).repartition(5)
 
 

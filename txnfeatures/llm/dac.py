@@ -13,6 +13,7 @@ doc_tokens, payload)``, ``payload`` being the codes of all ids of a segment.
 
 from __future__ import annotations
 
+import gc
 import struct
 import sys
 import zlib
@@ -41,7 +42,7 @@ MAGIC = b"DAC1"
 END_ID = 0
 #: Units of text that a task remembers, bytes of text encoded at once.
 CACHE = 500_000
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -181,8 +182,13 @@ class Encoder:
             self.known.clear()
         fresh = [u for u in units if u not in self.known]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        found = encode([u.decode() for u in fresh], add_special_tokens=False)
-        self.known.update((u, array("I", e.ids).tobytes()) for u, e in zip(fresh, found))
+        # Hundreds of thousands of small objects without cycles: collecting garbage meanwhile only costs time.
+        gc.disable()
+        try:
+            found = encode([u.decode() for u in fresh], add_special_tokens=False)
+            self.known.update((u, array("I", e.ids).tobytes()) for u, e in zip(fresh, found))
+        finally:
+            gc.enable()
         coded = [self.known[u] for u in units]
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         heads = np.cumsum(sizes) - sizes

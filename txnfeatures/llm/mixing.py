@@ -20,6 +20,7 @@ import sys
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Documents in a bucket, buckets met in one step of the tree.
 BUCKET, FAN = 8192, 64
+ADDED = ["_size", "_source_size", "_target", "_copies"]
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 MASK = (1 << 64) - 1
@@ -55,26 +57,23 @@ def trade(p: float, wp: float, q: float, wq: float, u: float) -> tuple[float, fl
     return snap(p), snap(q)
 
 
-def _sizing(text_col: str, drop: bool):
+def _sizing(text_field: str | None):
+    """Add ``_size``, the words of the text: field ``text_field`` of ``_row``, or the last column, which then goes."""
+
     def sizing(batches):
         for batch in batches:
-            i = batch.schema.names.index(text_col)
-            counts = [Words(data, offsets).counts for _, _, data, offsets in text_chunks(batch.column(i))]
+            columns, names = batch.columns, batch.schema.names
+            if text_field is None:
+                text, columns, names = columns[-1], columns[:-1], names[:-1]
+            else:
+                text = pc.struct_field(columns[names.index("_row")], [text_field])
+            counts = [Words(data, offsets).counts for _, _, data, offsets in text_chunks(text)]
             size = pa.array(np.concatenate(counts) if counts else np.zeros(0), pa.int64())
-            columns = [c for j, c in enumerate(batch.columns) if not (drop and j == i)]
-            names = [c for j, c in enumerate(batch.schema.names) if not (drop and j == i)]
             yield pa.RecordBatch.from_arrays([*columns, size], names=[*names, "_size"])
 
     return sizing
 
 
-def sized(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """The columns of ``keep`` and ``_size``, the words of the text; computed before anything is shuffled."""
-    out = docs.select(*keep, *([] if text_col in keep else [text_col]))
-    schema = T.StructType([*out.select(*keep).schema, T.StructField("_size", T.LongType())])
-    return out.mapInArrow(_sizing(text_col, text_col not in keep), schema)
-
-
 def targets(sizes: DataFrame) -> DataFrame:
     """Add ``target`` to (key, source, source_size), one row for each source.
 
@@ -202,12 +201,20 @@ def mix(
     equal rows are each a document; equal ones may get different copies.
     Existing columns of these four names are replaced.
     """
-    added = ["_size", "_source_size", "_target", "_copies"]
-    keep = [c for c in (keep or docs.columns) if c not in added]
+    keep = [c for c in (keep or docs.columns) if c not in ADDED]
+    return _mixed_rows(docs, source_col, id_col, text_col, keep, seed).select("_row.*", *ADDED)
+
+
+def _mixed_rows(docs: DataFrame, source_col: str, id_col: str, text_col: str, keep: list[str], seed: int) -> DataFrame:
+    """``_row``, a struct of the columns of ``keep``, and ``ADDED``."""
     key = F.when(F.col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source_col).cast("string")))
-    text = [] if text_col in keep else [text_col]
-    named = docs.select(*keep, *text, key.alias("_key"), F.xxhash64(F.lit(seed), id_col, text_col).alias("_hash"))
-    rows = sized(named, text_col, [*keep, "_key", "_hash"])
+    # The row travels as one struct, so no name of a column can clash with those
+    # needed here; a text that is not kept goes before anything is shuffled.
+    row, hashed = F.struct(*keep).alias("_row"), F.xxhash64(F.lit(seed), id_col, text_col).alias("_hash")
+    text = [] if text_col in keep else [F.col(text_col).alias("_text")]
+    named = docs.select(row, key.alias("_key"), hashed, *text)
+    schema = T.StructType([*named.drop("_text").schema, T.StructField("_size", T.LongType())])
+    rows = named.mapInArrow(_sizing(None if text else text_col), schema)
     sizes = rows.groupBy(F.col("_key").alias("key")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("docs"))
     source = F.when(F.col("key") != "-", F.substring("key", 2, 1 << 30))
     sizes = stored(sizes.withColumn("source", source), "sizes")
@@ -244,12 +251,12 @@ def mix(
         adds = adds.union(more)
     adds = adds.select(F.col("key").alias("_key"), F.col("bucket").alias("_bucket"), F.col("fraction").cast("bigint").alias("_add"))
     settled = open_.join(adds, ["_key", "_bucket"]).withColumn("_copies", F.col("_copies") + F.col("_add"))
-    columns = [*keep, *added]
+    columns = ["_row", *ADDED]
     return rounded.where("_open = 0").select(columns).union(settled.select(columns))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
+def mixed(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", seed: int = 29) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, columns as they were."""
-    taken = mix(docs, **options)
+    taken = _mixed_rows(docs, source_col, id_col, text_col, docs.columns, seed)
     repeated = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
-    return taken.withColumn("_copy", repeated).select(docs.columns)
+    return taken.select("_row", repeated.alias("_copy")).select("_row.*")

@@ -59,17 +59,17 @@ def shuffle_into_shards(
     added and replace columns of these names.  Numbers of rows differ by at most
     one between shards.  Null ids and texts are hashed as such; rows that share
     an id or are equal are all kept.  An empty table gives an empty result.
-    Columns whose names start with an underscore are kept but for ``_hash``, ``_bucket``, ``_at``.
     """
     docs = docs.drop("shard", "slot")
     size = F.coalesce(F.octet_length(text_col), F.lit(0)) + 1
     total = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     buckets = max(1, -(-total["bytes"] // bucket_bytes))
-    hashed = docs.withColumn("_hash", F.xxhash64(F.lit(seed), id_col, text_col))
+    # The row travels as one struct, so no name of a column can clash with those needed here.
+    hashed = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(F.lit(seed), id_col, text_col).alias("_hash"))
     hashed = hashed.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "_hash"), F.lit(buckets)))
     counts = stored(hashed.groupBy("_bucket").agg(F.count("*").alias("_rows")), "buckets")
     places = running(counts, "_bucket", "_rows", "_before").drop("_rows")
-    schema = T.StructType([*docs.schema, T.StructField("_at", T.LongType())])
+    schema = T.StructType([T.StructField("_row", docs.schema), T.StructField("_at", T.LongType())])
     # Tasks follow the data, not a setting: some buckets each, one of them in memory at a time.
     parallelism = docs.sparkSession.sparkContext.defaultParallelism
     tasks = max(-(-total["bytes"] // max(TASK_BYTES, bucket_bytes)), min(buckets, 2 * parallelism))
@@ -81,7 +81,7 @@ def shuffle_into_shards(
     least = max(small, 1)
     shard = F.expr(f"IF(_at < {edge}, _at DIV {small + 1}, {longer} + (_at - {edge}) DIV {least})").cast("int")
     slot = F.expr(f"IF(_at < {edge}, _at % {small + 1}, (_at - {edge}) % {least})")
-    out = dealt.withColumns({"shard": shard, "slot": slot.cast("bigint")}).drop("_at")
+    out = dealt.select("_row.*", shard.alias("shard"), slot.cast("bigint").alias("slot"))
     uri = uri or scratch_uri(docs.sparkSession, "shards")
     out.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(uri)
     return docs.sparkSession.read.schema(out.schema).parquet(uri)
