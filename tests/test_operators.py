@@ -467,3 +467,15 @@ def test_model_runs_once_when_scores_are_written(spark, sf_dir, tmp_path):
     assert "UDF" not in plan and "csv" in plan.lower()
     assert out.summary["n_rows"] == df.count() == out.scores.count()
     assert out.summary["n_predicted"] == out.scores.where("fraud_predicted = 1").count()
+
+
+def test_salts_spread_a_user_the_table_does_not_know_as_hot(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # User 1 holds most rows here and a thousandth of a thousandth of the table's.
+    df = spark.range(4000).select("id", F.when(F.col("id") % 10 < 8, 1).when(F.col("id") % 10 == 8, F.col("id")).alias("u"))
+    stats = spark.range(4000).select(F.col("id").alias("u"), F.lit(1).alias("n"), (F.col("id") * 2).alias("v"))
+    out = attach_by_key(df, stats, "u", "n", ["v"], salts=8)
+    rows = out.withColumn("p", F.spark_partition_id()).collect()
+    assert len(rows) == 4000 and all(r["v"] == (None if r["u"] is None else 2 * r["u"]) for r in rows)
+    assert len({r["p"] for r in rows if r["u"] == 1}) >= 4

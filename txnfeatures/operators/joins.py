@@ -13,7 +13,7 @@ SPREAD = 16384
 
 
 def attach_by_key(
-    df: DataFrame, stats: DataFrame, key: str, weight: str, values: list[str], total: int | None = None
+    df: DataFrame, stats: DataFrame, key: str, weight: str, values: list[str], total: int | None = None, salts: int = 1
 ) -> DataFrame:
     """Left join ``values`` of ``stats`` (unique ``key``; ``weight`` is its row
     count, at least 1; ``total`` is the sum of weights or more, if known).
@@ -26,6 +26,10 @@ def attach_by_key(
     sends every row where it went before.)  The salt is part of the join key on
     both sides, which also gives both sides an exchange of their own and lets
     adaptive execution split what is still uneven.
+
+    ``salts`` over 1 repeats each row of ``stats`` that often and spreads the
+    rows of every key over as many partitions: for plans that adaptive execution
+    does not reach, and rows whose keys weigh otherwise than ``stats`` says.
     """
     df = df.drop(*values)
     rows = ", ".join(f"`{c}`" for c in df.columns)
@@ -37,15 +41,17 @@ def attach_by_key(
     hot = keyed.where(is_hot).selectExpr(f"`{key}` AS _hot_key", *[f"`{v}` AS `_hot_{v}`" for v in values])
     cold = keyed.where(~is_hot).selectExpr(
         # Always 0, but not a literal: it has to stay part of the join key.
-        f"`{key}` AS _cold_key", f"IF(`{key}` IS NULL, 1, 0) AS _cold_spread", *[f"`{v}` AS `_cold_{v}`" for v in values]
+        f"`{key}` AS _cold_key",
+        f"IF(`{key}` IS NULL, 1, 0) AS _cold_spread" if salts == 1 else f"explode(sequence(0, {salts - 1})) AS _cold_spread",
+        *[f"`{v}` AS `_cold_{v}`" for v in values],
     )
+    salt = lambda n: f"CAST(pmod(xxhash64({rows}, spark_partition_id()), {n}) AS INT)"
     return (
         df.join(F.broadcast(hot), F.expr(f"`{key}` = _hot_key"), "left")
         .selectExpr(
             "*",
             f"IF(_hot_key IS NULL, `{key}`, NULL) AS _open_key",
-            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, 0,"
-            f" CAST(pmod(xxhash64({rows}, spark_partition_id()), {SPREAD}) AS INT)) AS _spread",
+            f"IF(_hot_key IS NULL AND `{key}` IS NOT NULL, {0 if salts == 1 else salt(salts)}, {salt(SPREAD)}) AS _spread",
         )
         .join(cold, F.expr("_open_key = _cold_key AND _spread = _cold_spread"), "left")
         .selectExpr(*[f"`{c}`" for c in df.columns], *[f"coalesce(`_hot_{v}`, `_cold_{v}`) AS `{v}`" for v in values])

@@ -88,12 +88,17 @@ def user_stats_serving(df: DataFrame, user: str, amount: str = "Amount") -> Data
 
 
 def attach_user_stats(
-    df: DataFrame, user: str, amount: str = "Amount", stats: DataFrame | None = None, total: int | None = None
+    df: DataFrame,
+    user: str,
+    amount: str = "Amount",
+    stats: DataFrame | None = None,
+    total: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Left join the per-user table; rows without a user keep null values."""
     stats = user_stats(df, user, amount) if stats is None else stats
     weight = "user_rows" if "user_rows" in stats.columns else "user_txn_count"
-    return attach_by_key(df, stats, user, weight, USER_VALUES, total)
+    return attach_by_key(df, stats, user, weight, USER_VALUES, total, salts)
 
 
 # -- per five-minute bucket ---------------------------------------------------

@@ -28,12 +28,14 @@ def extract_features_serving(
     amount_stats: AmountStats | None = None,
     user_table: DataFrame | None = None,
     keep_raw: bool = False,
+    salts: int = 1,
 ) -> DataFrame:
     """The 18 model features of any table with an amount column.
 
     ``keep_raw`` carries the input row along as the struct ``_raw``.  Frozen
     ``amount_stats`` and ``user_table`` score against the training data; they
-    also make the plan free of actions, so that it works on a stream.
+    also make the plan free of actions, so that it works on a stream; ``salts``
+    spreads the rows of every user there.
     """
     time = time if time in df.columns else None
     user = user if user in df.columns else None
@@ -61,7 +63,7 @@ def extract_features_serving(
     if user:
         own = user_table is None
         table = user_stats_serving(out, "user", "user_amount") if own else user_table.withColumnRenamed(user, "user")
-        out = attach_user_stats(out, "user", "user_amount", table, rows if own else None)
+        out = attach_user_stats(out, "user", "user_amount", table, rows if own else None, salts)
 
     exprs = {
         "log_amount": S.log_amount("amount"),
