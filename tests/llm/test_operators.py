@@ -289,6 +289,35 @@ def test_decontamination(spark, empty):
     assert matches(frame, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_evenly_edited_copies(spark):
+    """Copies above the threshold that keep few or no 3-grams, one or many of them; against alignment of all pairs."""
+    from txnfeatures.llm.decontaminate import matches
+
+    rng = random.Random(11)
+    items = [(i, prose(rng, n, 3000)) for i, n in enumerate((40, 33, 16, 11, 10, 6, 5, 4, 2))] + [(None, prose(rng, 30, 3000))]
+    docs = []
+    for item, (_, text) in enumerate(items):
+        w = text.split()
+        copies = [[x if i % k else "zz" for i, x in enumerate(w, 1)] for k in (3, 4, 5, 6) for _ in range(3)]
+        copies += [[y for i, x in enumerate(w, 1) for y in ([x] if i % k else [x, "yy"])] for k in (1, 2, 3)]
+        copies += [[x for i, x in enumerate(w, 1) if i % k] for k in (3, 4, 5)]
+        for copy in copies:
+            around = prose(rng, 120, 3000).split()
+            around[60:60] = copy
+            docs.append((len(docs), " ".join(around)))
+    want = {
+        (d, i)
+        for d, t in docs
+        for i, x in items
+        if 100 * brute.smith_waterman(brute.words(x), brute.words(t)) >= 60 * 2 * len(x.split())
+    }
+    found = matches(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), item_block=4
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert sum(i == 0 for _, i in want) >= 12 and sum(i is None for _, i in want) >= 12
+
+
 def test_chat(spark):
     from txnfeatures.llm.chat import digest, format_turns, read_turns
 

@@ -1,13 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
-
-Test items are cut into blocks of a fixed number of seeds, which bounds what is
-broadcast; every block meets all documents, and texts are never shuffled.  One
-pass counts in how many documents each n-gram of the items occurs.  The rarer
-half of an item's n-grams are its seeds: relative to the item itself, so an item
-that was copied into a third of the corpus has seeds too.  A seed found in a
-text opens a window around the place where the item would lie, windows of the
-same item that overlap are merged, and Smith-Waterman alignment of the words
-scores the window.  Copies with words changed, left out or put in still align.
+"""Benchmark decontamination: word-pair seeds, then local alignment.
+
+Test items are cut into blocks of a fixed number of items, which bounds what is
+broadcast; every block meets all documents, and texts are never shuffled.  All
+pairs of neighbouring words of an item are its seeds.  An alignment that keeps
+``least_percent`` of the full score loses no more than the rest of it, and each
+pair it does not keep costs at least one point, so it keeps a known number of
+pairs on a stretch of known length: only places with that many hits open a
+window, and no alignment above the threshold is without one.  Items so short
+that no pair need be kept have single words as seeds.  Windows of the same item
+that overlap are merged, and Smith-Waterman alignment of the words scores the
+window.  Copies with words changed, left out or put in still align.
 """
 
 from __future__ import annotations
@@ -24,8 +26,7 @@ from txnfeatures.llm.words import Words, run_hashes, text_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Words in a seed; scores of equal words, of different words, of a word more or less.
-SEED_WORDS = 3
+#: Scores of equal words, of different words, of a word more or less.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least share, in per cent, of the score of an exact copy of the whole item.
 LEAST_PERCENT = 60
@@ -33,64 +34,40 @@ LEAST_PERCENT = 60
 ITEM_BLOCK = 20_000
 #: Windows aligned at once.
 AT_ONCE = 2048
+#: Seed hits looked at together; the hits of one text are never split.
+HITS = 1 << 21
 
 
 class Items:
-    """A block of test items as word hashes and seeds."""
+    """A block of test items as word hashes and seeds; ``times``: how often an item is in the benchmark."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
-        words, grams, at = [], [], []
+    def __init__(self, ids: list[int | None], texts: list[str], times: list[int], least_percent: int):
+        words, grams = [], {1: [], 2: []}
         for _, rows, data, offsets in text_chunks(pa.array(texts, pa.large_string())):
             w = Words(data, offsets)
             h = w.hashes()
-            g, places = run_hashes(h, w.first, SEED_WORDS, short=True)
-            for i in range(rows):
-                words.append(h[w.first[i] : w.first[i + 1]])
-                grams.append(g[places[i] : places[i + 1]])
-                at.append(np.arange(len(grams[-1])))
-        self.ids, self.words = np.array(ids), words
-        self.gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
-        self.at = np.concatenate(at) if at else np.zeros(0, np.int64)
-        self.distinct = np.unique(self.gram)
-
-    def keep_rare(self, found: dict[int, int]) -> None:
-        """Keep the rarer half of each item's n-grams as seeds, sorted by hash."""
-        counts = np.array([found.get(int(g), 0) for g in self.gram.view(np.int64)], dtype=np.int64)
-        order = np.lexsort((self.at, counts, self.item))
-        first = np.searchsorted(self.item[order], np.arange(len(self.ids)))
-        rank = np.arange(len(order)) - first[self.item[order]]
-        sizes = np.bincount(self.item, minlength=len(self.ids))
-        kept = order[rank < -(-sizes[self.item[order]] // 2)]
-        kept = kept[np.argsort(self.gram[kept], kind="stable")]
-        self.gram, self.item, self.at = self.gram[kept], self.item[kept], self.at[kept]
-
-
-def text_grams(data: np.ndarray, offsets: np.ndarray):
-    words = Words(data, offsets)
-    hashes = words.hashes()
-    grams, at = run_hashes(hashes, words.first, SEED_WORDS, short=True)
-    return words, hashes, grams, at
-
-
-def _frequencies(shared):
-    """(n-gram of an item, documents of this partition that have it)."""
-
-    def frequencies(batches):
-        wanted = shared.value.distinct
-        seen = np.zeros(len(wanted), dtype=np.int64)
-        for batch in batches:
-            for _, rows, data, offsets in text_chunks(batch.column(0)):
-                _, _, grams, at = text_grams(data, offsets)
-                place = np.minimum(np.searchsorted(wanted, grams), max(len(wanted) - 1, 0))
-                hit = np.flatnonzero(wanted[place] == grams) if len(wanted) else np.zeros(0, np.int64)
-                text = np.searchsorted(at, hit, side="right") - 1
-                pairs = np.unique(text * len(wanted) + place[hit])
-                seen += np.bincount(pairs % max(len(wanted), 1), minlength=len(wanted))
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[used].view(np.int64)), pa.array(seen[used])], names=["gram", "docs"])
-
-    return frequencies
+            words += [h[w.first[i] : w.first[i + 1]] for i in range(rows)]
+            for size in grams:
+                g, at = run_hashes(h, w.first, size)
+                grams[size] += [g[at[i] : at[i + 1]] for i in range(rows)]
+        self.ids, self.times, self.words = ids, times, words
+        self.lengths = np.array([len(w) for w in words], dtype=np.int64)
+        #: Most points an alignment may lose; each lost pair costs at least one.
+        self.loss = (100 - least_percent) * MATCH * self.lengths // 100
+        pairs = self.lengths - 1 - self.loss
+        size = np.where(pairs > 0, 2, 1)
+        #: Seeds that an alignment keeps at least.
+        self.need = np.where(pairs > 0, pairs, np.maximum(-(-least_percent * self.lengths // 100), 1))
+        self.seeds = {n: self._sorted([g if size[i] == n else g[:0] for i, g in enumerate(found)]) for n, found in grams.items()}
+
+    @staticmethod
+    def _sorted(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, item, place in the item), sorted by hash."""
+        gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
+        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
+        at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+        order = np.argsort(gram, kind="stable")
+        return gram[order], item[order], at[order]
 
 
 def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,31 +102,72 @@ def spans(text: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray)
     return text[at], item[at], low[at], np.maximum.reduceat(high, at)
 
 
+def _dense(items: Items, text: np.ndarray, item: np.ndarray, place: np.ndarray, at: np.ndarray):
+    """The hits that lie among as many of their item, on a stretch as short, as an alignment above the threshold has."""
+    order = np.lexsort((place, item, text))
+    text, item, place, at = text[order], item[order], place[order], at[order]
+    group = np.concatenate(([0], np.cumsum((np.diff(text) != 0) | (np.diff(item) != 0))))
+    # An alignment keeps each seed at a place of its own.
+    opens = np.concatenate(([True], (np.diff(group) != 0) | (np.diff(place) != 0)))
+    spot = np.cumsum(opens) - 1
+    first = np.flatnonzero(opens)
+    here, where, kind = group[first], place[first], item[first]
+    last = np.arange(len(first)) + items.need[kind] - 1
+    inside = np.flatnonzero(last < len(first))
+    to = last[inside]
+    near = (here[to] == here[inside]) & (where[to] - where[inside] <= (items.lengths + items.loss)[kind[inside]])
+    marks = np.zeros(len(first) + 1, dtype=np.int64)
+    np.add.at(marks, inside[near], 1)
+    np.add.at(marks, to[near] + 1, -1)
+    live = (np.cumsum(marks) > 0)[spot]
+    return text[live], item[live], place[live], at[live]
+
+
+def _windows(items: Items, size: int, hashes: np.ndarray, firsts: np.ndarray):
+    """(text, item, low, high) of the words to align, for some texts at a time."""
+    gram, of_item, at_item = items.seeds[size]
+    if not len(gram):
+        return
+    grams, at = run_hashes(hashes, firsts, size)
+    left = np.searchsorted(gram, grams, side="left")
+    many = np.searchsorted(gram, grams, side="right") - left
+    before = np.concatenate(([0], np.cumsum(many)))[at]
+    start, rows = 0, len(at) - 1
+    while start < rows:
+        stop = max(int(np.searchsorted(before, before[start] + HITS, side="right")) - 1, start + 1)
+        some, start_at, start = many[at[start] : at[stop]], at[start], stop
+        hit = np.repeat(np.arange(len(some)), some)
+        if not len(hit):
+            continue
+        seed = np.arange(len(hit)) - np.repeat(np.cumsum(some) - some, some) + left[start_at + hit]
+        text = np.searchsorted(at, start_at + hit, side="right") - 1
+        text, item, place, begin = _dense(items, text, of_item[seed], start_at + hit - at[text], at_item[seed])
+        if not len(text):
+            continue
+        # Where the item would begin, and half its length to either side for words put in or left out.
+        begin = place - begin
+        length = items.lengths[item]
+        slack = length // 2 + 1
+        n = np.diff(firsts)[text]
+        low, high = np.maximum(begin - slack, 0), np.minimum(begin + length + slack, n)
+        order = np.lexsort((low, item, text))
+        text, item, low, high = spans(text[order], item[order], low[order], high[order])
+        # All words put in may lie on one side.
+        more = np.maximum(items.loss[item] - items.lengths[item] // 2 - 1, 0)
+        yield text, item, np.maximum(low - more, 0), np.minimum(high + more, np.diff(firsts)[text])
+
+
 def _matching(shared, least_percent: int):
     def matching(batches):
         items = shared.value
-        lengths = np.array([len(w) for w in items.words], dtype=np.int64)
         for batch in batches:
             docs = batch.column(0), batch.column(2)
-            for first, rows, data, offsets in text_chunks(batch.column(1)):
-                words, hashes, grams, at = text_grams(data, offsets)
-                left = np.searchsorted(items.gram, grams, side="left")
-                many = np.searchsorted(items.gram, grams, side="right") - left
-                hit = np.repeat(np.arange(len(grams)), many)
-                if not len(hit):
-                    continue
-                seed = np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many) + left[hit]
-                text = np.searchsorted(at, hit, side="right") - 1
-                item = items.item[seed]
-                place = hit - at[text]
-                # Where the item would begin, and half its length to either side for words put in or left out.
-                begin = place - items.at[seed]
-                slack = lengths[item] // 2 + 1
-                n = np.diff(words.first)[text]
-                low, high = np.maximum(begin - slack, 0), np.minimum(begin + lengths[item] + slack, n)
-                order = np.lexsort((low, item, text))
-                text, item, low, high = spans(text[order], item[order], low[order], high[order])
-                yield from _aligned(docs, first, words, hashes, items, text, item, low, high, least_percent)
+            for first, _, data, offsets in text_chunks(batch.column(1)):
+                words = Words(data, offsets)
+                hashes = words.hashes()
+                for size in items.seeds:
+                    for found in _windows(items, size, hashes, words.first):
+                        yield from _aligned(docs, first, words, hashes, items, *found, least_percent)
 
     return matching
 
@@ -161,7 +179,7 @@ def _aligned(docs, first, words, hashes, items, text, item, low, high, least_per
         own, full = items.words[one], MATCH * len(items.words[one])
         # Windows of like width together; a merged window may be long, and is then aligned with fewer others.
         mine = mine[np.argsort((high - low)[mine], kind="stable")]
-        start = 0
+        start, seen = 0, set()
         while start < len(mine):
             stop = min(start + AT_ONCE, len(mine))
             while stop > start + 1 and (high - low)[mine[stop - 1]] > 2 * (high - low)[mine[start]]:
@@ -174,33 +192,36 @@ def _aligned(docs, first, words, hashes, items, text, item, low, high, least_per
             best, end = align(own, grid)
             good = np.flatnonzero(100 * best.astype(np.int64) >= least_percent * full)
             for g in good:
-                out.append((first + text[part[g]], one, int(best[g]), full, int(low[part[g]] + end[g] + 1)))
+                place = int(text[part[g]]), int(low[part[g]] + end[g] + 1)
+                if place not in seen:  # windows beside each other may reach the same alignment
+                    seen.add(place)
+                    out += [(first + place[0], one, int(best[g]), full, place[1])] * items.times[one]
     if out:
         row, one, best, full, end = zip(*out)
         yield pa.RecordBatch.from_arrays(
-            [*(c.take(pa.array(row)) for c in docs), pa.array(items.ids[list(one)], pa.int64()), pa.array(best, pa.int64()),
+            [*(c.take(pa.array(row)) for c in docs), pa.array([items.ids[i] for i in one], pa.int64()), pa.array(best, pa.int64()),
              pa.array(full, pa.int64()), pa.array(end, pa.int64())],
             names=["doc", "seen", "item", "score", "full_score", "end_word"],
         )
 
 
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int):
-    """Blocks of ``size`` items in item order, each fetched by itself."""
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text"))
-    low = None
+    """Blocks of ``size`` items (id, text, times) in order of id, those without one last, each fetched by itself."""
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    items, last = items.groupBy("item", "text").agg(F.count("*").alias("times")), None
     while True:
-        rest = items.where("item IS NOT NULL") if low is None else items.where(F.col("item") > low)
-        block = rest.orderBy("item", "text").limit(size).toArrow()
+        rest = items
+        if last is not None:
+            later = F.col("item").eqNullSafe(F.lit(last[0]).cast("bigint")) & (F.col("text") > F.lit(last[1]))
+            if last[0] is not None:
+                later |= F.col("item").isNull() | (F.col("item") > last[0])
+            rest = items.where(later)
+        block = rest.orderBy(F.col("item").asc_nulls_last(), "text").limit(size).toArrow()
         if not block.num_rows:
             return
-        ids = block.column("item").to_pylist()
-        if block.num_rows == size:
-            # Items that share the last id come whole, in this block.
-            same = items.where(F.col("item") == ids[-1]).toArrow()
-            keep = [i for i, x in enumerate(ids) if x != ids[-1]]
-            block = pa.concat_tables([block.take(pa.array(keep, pa.int64())), same])
-        low = ids[-1]
-        yield block.column("item").to_pylist(), block.column("text").to_pylist()
+        ids, texts, times = (block.column(c).to_pylist() for c in ("item", "text", "times"))
+        last = ids[-1], texts[-1]
+        yield ids, texts, times
 
 
 def matches(
@@ -219,22 +240,14 @@ def matches(
     least ``least_percent`` of that of an exact copy of the item; ``end_word``
     counts the text's words up to the end of the alignment.  Clean documents
     have no row.  Null and word-less texts and items match nothing, items with a
-    null id are passed over, ids may repeat.  Other columns are ignored.
+    null id match as ``item_id`` null, ids may repeat.  Other columns are ignored.
     """
     spark, out = docs.sparkSession, None
     source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("seen"))
     kind = source.schema["doc"].dataType.simpleString()
     schema = f"doc {kind}, seen bigint, item bigint, score bigint, full_score bigint, end_word bigint"
-    for ids, texts in item_blocks(benchmark, item_col, item_text_col, item_block):
-        items = Items(ids, texts)
-        found = (
-            source.select("text")
-            .mapInArrow(_frequencies(spark.sparkContext.broadcast(items)), "gram bigint, docs bigint")
-            .groupBy("gram")
-            .agg(F.sum("docs").alias("docs"))
-            .toArrow()
-        )
-        items.keep_rare(dict(zip(found.column("gram").to_pylist(), found.column("docs").to_pylist())))
+    for block in item_blocks(benchmark, item_col, item_text_col, item_block):
+        items = Items(*block, least_percent)
         part = source.mapInArrow(_matching(spark.sparkContext.broadcast(items), least_percent), schema)
         out = part if out is None else out.union(part)
     if out is None:
