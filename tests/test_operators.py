@@ -270,6 +270,22 @@ def test_smote_lies_between_neighbours(spark):
         assert ok, p
 
 
+def test_smote_by_default_lies_between_true_neighbours_in_many_dimensions(spark):
+    rng = np.random.default_rng(3)
+    n, names = 3000, [f"f{i}" for i in range(18)]
+    x = rng.normal(size=(n, 18)) * np.linspace(0.2, 2, 18)
+    few = [(i, 1, *map(float, v)) for i, v in enumerate(x)]
+    many = [(n + i, 0, *([0.0] * 18)) for i in range(2 * n)]
+    df = spark.createDataFrame(few + many, ["id", "label", *names])
+    out = smote(df, names, "id", trace=True).where("synthetic").select("_from", "_to").collect()
+    at = {tuple(v): i for i, v in enumerate(x.tolist())}
+    d = ((x[:, None, :] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    true = np.argsort(d, axis=1)[:, :5]
+    assert len(out) == n
+    assert all(at[tuple(r["_to"])] in true[at[tuple(r["_from"])]] for r in out)
+
+
 def test_smote_leaves_hopeless_input_alone(spark):
     df = spark.createDataFrame([(i, int(i < 4), float(i)) for i in range(20)], "id bigint, label int, a double")
     assert smote(df, ["a"], "id").count() == 20

@@ -25,7 +25,7 @@ def smote(
     k: int = 5,
     seed: int = 42,
     pivots: int | None = None,
-    method: str = "trees",
+    method: str = "exact",
     trace: bool = False,
 ) -> DataFrame:
     """Add minority rows until both classes have the same number.
@@ -38,10 +38,10 @@ def smote(
     where the classes cannot be balanced: ``k`` minority rows or fewer, or
     missing values among them.
 
-    ``method="trees"`` finds neighbours with random-projection trees, in work
-    linear in the rows at any number of features; ``"exact"`` finds all true
-    ones, which suits two or three features and compares nearly all pairs at
-    many.  ``trace`` adds ``_from`` and ``_to``, the rows a new one lies between.
+    ``method="exact"`` finds all true neighbours and compares nearly all pairs
+    of minority rows at many features.  ``"trees"`` works in time linear in the
+    rows with random-projection trees, but misses neighbours, and more of them
+    the more rows there are.  ``trace`` adds ``_from`` and ``_to``, the rows a new one lies between.
     """
     original = df.select(*[F.col(c).cast("double").alias(c) for c in features], label, F.lit(False).alias("synthetic"))
     if trace:
