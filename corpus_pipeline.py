@@ -33,12 +33,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
+    """One row of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
 
-    Rows equal in id and text are one document and stay together.
+    Rows are told apart by a number of their own, stored with them, so ids may
+    be missing or shared: of rows with equal ids the one with the smallest text
+    hash stays, and rows without an id only where no row of the group has one.
+    Rows without words are groups of their own.
     """
-    kept = near_duplicates(docs, shingle=5, percent=80).where("kept")
-    return docs.join(_named(kept), _same(docs), "left_semi")
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, id_col="_row", shingle=5, percent=80).select("_row", "component_id", "text_hash")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "_row")
+    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(first).alias("first"))
+    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").drop("_row")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

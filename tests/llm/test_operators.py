@@ -256,6 +256,21 @@ def test_templates(spark, empty):
     assert drop_templates(empty).count() == 0
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Rows equal in id and text, ids shared by different texts, and groups without ids."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 60, 3000) for _ in range(4))
+    docs = [(1, a)] * 5 + [(2, b), (2, b + " zz"), (3, b)] + [(None, c)] * 4 + [(None, c + " yy")] + [(None, d), (7, d), (6, d), (9, None), (9, ""), (8, prose(rng, 60, 3000))]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = corpus_pipeline.near_dedup(spark, frame, "")
+    assert out.columns == frame.columns
+    got = out.collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted([1, 2, None, 6, 8, 9, 9], key=str)
+    assert {r.text for r in got if r.doc_id is None} <= {c, c + " yy"}
+
+
 def test_decontamination(spark, empty):
     from txnfeatures.llm.decontaminate import matches
 
