@@ -106,6 +106,26 @@ def op10_anchor_expansion(spark, sf_dir):
     )
 
 
+def op11_byte_gru_language(spark, sf_dir):
+    from txnfeatures.llm.hmm import is_held_out
+    from txnfeatures.llm.langid import train_identifier
+
+    docs, held_out = table(spark, sf_dir, "documents"), is_held_out(parts=4)
+    return train_identifier(docs.where(~held_out)).predict(docs, held_out=held_out)
+
+
+def op12_trie_collocations(spark, sf_dir):
+    from txnfeatures.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_reduced_spelling(spark, sf_dir):
+    from txnfeatures.llm.spelling import group_variants
+
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -123,8 +143,12 @@ QUERIES = {
     "op8_seeded_alignment": op8_seeded_alignment,
     "op9_chat_segments": op9_chat_segments,
     "op10_anchor_expansion": op10_anchor_expansion,
+    "op11_byte_gru_language": op11_byte_gru_language,
+    "op12_trie_collocations": op12_trie_collocations,
+    "op13_reduced_spelling": op13_reduced_spelling,
     "pipeline": pipeline,
 }
+
 # SQL of DuckDB.  Operators that draw, train, align or encode have none; tests hold those against brute force.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -252,9 +276,77 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dr
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.text = d.text
 """
 
+COLLOCATIONS = rf"""
+WITH RECURSIVE pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (
+  SELECT lang, words FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces) WHERE len(words) > 0),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, length, unnest(list_transform(range(1, len(words) - length + 2), lambda i: array_to_string(words[i:i + length - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest(range(1, 6)) AS length) WHERE len(words) >= length),
+f AS (SELECT lang, phrase, length, count(*) AS a FROM grams GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE length > 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:length - 1], ' '), array_to_string(w[2:length], ' ')]) AS phrase
+    FROM candidates WHERE length > 2) GROUP BY 1, 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.w, c.length, unnest(range(1, c.length)) AS k
+  FROM candidates c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE i.longer IS NULL OR i.longer < c.a),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, t.n,
+    CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.length], ' ') JOIN totals t ON t.lang = c.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM worst)
+WHERE rank <= 2000
+"""
+
+#: crc32 has no function there: its table of 256 remainders, then one step per byte of the UTF-8 text (one or two bytes a letter).
+SPELLING = rf"""
+WITH RECURSIVE steps AS (
+  SELECT i AS byte, i AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1 FROM steps WHERE step < 8),
+remainders AS (SELECT list(c ORDER BY byte) AS t FROM steps WHERE step = 8),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head, unnest(regexp_extract_all({LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+counted AS (SELECT head, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY 1, 2),
+coded AS (
+  SELECT run, times, flatten(list_transform(string_split(head || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes FROM counted),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(bytes, lambda x: CAST(x AS BIGINT))),
+    lambda c, b: xor(c // 256, t[CAST(xor(c, b) % 256 AS BIGINT) + 1])), 4294967295) AS h FROM coded, remainders),
+typed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+cuts AS (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN v b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(n := -near_n, w := encode(near), near := near)) AS best FROM near GROUP BY word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 2 * v.n THEN best.near END AS form,
+    CASE WHEN -best.n >= 2 * v.n THEN -best.n END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word),
+chain AS (
+  SELECT word, word AS root, 0 AS hops FROM forms
+  UNION ALL SELECT c.word, f.form, hops + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, hops) AS root FROM chain GROUP BY word)
+SELECT forms.word, form, root, n, n_near, CAST(form_n AS BIGINT) AS form_n FROM forms JOIN roots ON roots.word = forms.word
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minmax_near_dedup": NEAR_DEDUP,
     "op4_repetition_coverage": _repetition_sql(),
     "op7_template_lines": TEMPLATES,
     "op9_chat_segments": CHAT,
+    "op12_trie_collocations": COLLOCATIONS,
+    "op13_reduced_spelling": SPELLING,
 }
