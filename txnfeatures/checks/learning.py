@@ -7,12 +7,16 @@ compute: how many rows there are and how many of them obey the definition.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from txnfeatures.checks import tables as t
 from txnfeatures.checks.features import clock_sql, datasets_sql, select_sql, universal, universal_sql
+from txnfeatures.operators import boosting as B
 from txnfeatures.operators import encoding as N
 from txnfeatures.operators import learning as L
+from txnfeatures.operators.evaluation import average_precision
 from txnfeatures.operators.sampling import stratified_split
 from txnfeatures.operators.smote import smote
 from txnfeatures.operators.stats import fit_amount_stats, user_stats_serving
@@ -28,8 +32,7 @@ from txnfeatures.sources.writers import scratch_uri, write_features
 from txnfeatures.streaming.scoring import stream_score
 from txnfeatures.streaming.velocity import stream_velocity
 
-# For tests, the bench and the baseline trainer's query; all other queries share
-# one model at the trainer's full settings.
+# For tests and the bench; queries train at the full settings.
 TREES = {"maxIter": 3, "maxDepth": 3}
 _models: dict = {}
 _trained: dict = {}
@@ -50,7 +53,7 @@ def small_model(spark, sf_dir):
 
 
 def full_training(spark, sf_dir):
-    """The training plan at full settings (300 trees of depth 6), run once per session."""
+    """The training plan at full settings (up to 300 trees of depth 6), run once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trained:
         stores = [scratch_uri(spark, "primary-model"), scratch_uri(spark, "secondary-model")]
@@ -116,19 +119,34 @@ def smote_classes(spark, sf_dir):
     return old.withColumn("synthetic", F.lit(False)).unionByName(good.withColumn("synthetic", F.lit(True)))
 
 
+def _growth(boosted):
+    """Whether growth ended as it should, and every tree kept to the columns drawn for it."""
+    within = lambda tree, drawn: set(tree.featureImportances.indices.tolist()) <= set(drawn)
+    share = max(map(len, boosted.columns)) <= B.COLUMN_SHARE * boosted.model.numFeatures
+    return (
+        boosted.rounds == B.ROUNDS or boosted.rounds - boosted.best_round == B.PATIENCE,
+        boosted.best_round == 1 + boosted.areas.index(max(boosted.areas)) == boosted.model.getNumTrees,
+        share and all(within(t, c) for t, c in zip(boosted.trees, boosted.columns)),
+    )
+
+
+GROWTH = "stopped_by_rule boolean, best_kept boolean, columns_within boolean"
+GROWTH_SQL = "TRUE AS stopped_by_rule, TRUE AS best_kept, TRUE AS columns_within"
+
+
 def train(spark, sf_dir):
     """Facts of the model fitted at full settings, beside the labelled rows it was split from."""
     trained, _ = full_training(spark, sf_dir)
     trees = trained.model.stages[-1]
     facts = (
-        L.n_trees(trained.model),
+        *_growth(trained.boosted),
         max(tree.depth for tree in trees.trees) <= 6,
         len(L.feature_names(trained.model)),
         bool(abs(sum(trees.featureImportances.toArray()) - 1) < 1e-6),
         trained.n_train + trained.n_test,
     )
     return spark.createDataFrame(
-        [facts], "n_trees bigint, depth_within boolean, n_features bigint, importances_sum_to_one boolean, n_rows bigint"
+        [facts], f"{GROWTH}, depth_within boolean, n_features bigint, importances_sum_to_one boolean, n_rows bigint"
     )
 
 
@@ -161,22 +179,38 @@ def train_baseline(spark, sf_dir):
         "o_orderpriority",
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("is_fraud"),
     )
-    trained = train_baseline_plan(df, **TREES)
+    trained = train_baseline_plan(df)
     names = ",".join(sorted(L.feature_names(trained.model)))
     n = trained.n_train + trained.n_test
     scored = trained.test.count()
     return spark.createDataFrame(
-        [(n, abs(trained.n_test - 0.2 * n) <= 0.01 * n, scored == trained.n_test, names)],
-        "n_rows bigint, fifth_for_test boolean, all_scored boolean, features string",
+        [(n, abs(trained.n_test - 0.2 * n) <= 0.01 * n, scored == trained.n_test, names, trained.boosted.model.numFeatures, *_growth(trained.boosted))],
+        f"n_rows bigint, fifth_for_test boolean, all_scored boolean, features string, width bigint, {GROWTH}",
     )
 
 
 def early_stopping(spark, sf_dir):
-    """Labels carry no signal here, so the held-out loss soon stops improving."""
-    df = t.card_fraud(spark, sf_dir).select(F.col("IsFraud").alias("label"), "row_id", "Amount")
-    df = stratified_split(df, "row_id").withColumn("held_out", F.col("is_test") == 1)
-    model = L.train_gbt(df, ["Amount"], validation="held_out", maxIter=8, maxDepth=2, stepSize=0.5)
-    return df.agg(F.count("*").alias("n_rows")).withColumn("stopped_early", F.lit(L.n_trees(model) < 8))
+    """Growth on all features at full settings, and the watched area of some rounds against that of the model cut there."""
+    rows = P.features_card_fraud(t.card_fraud(spark, sf_dir)).withColumn("row_id", F.monotonically_increasing_id())
+    uri = scratch_uri(spark, "to-stop")
+    stratified_split(rows, "row_id").withColumn("held_out", F.col("is_test") == 1).write.parquet(uri)
+    df = spark.read.parquet(uri)
+    model, boosted = L.train_boosted(df, validation="held_out")
+    ready, equal = PipelineModel(model.stages[:-1]).transform(df.where("held_out")), True
+    for rounds in {1, boosted.best_round, boosted.rounds}:
+        margin = F.round(2 * vector_to_array("rawPrediction")[1], B.DIGITS)
+        scored = boosted.prefix(rounds).transform(ready).select("label", margin.alias("probability"))
+        equal = equal and abs(average_precision(scored).first()[0] - boosted.areas[rounds - 1]) < 1e-9
+    facts = spark.createDataFrame([(*_growth(boosted), equal)], f"{GROWTH}, areas_equal boolean")
+    return facts.withColumn("n_rows", F.lit(df.count()))
+
+
+def sparse_indicators(spark, sf_dir):
+    """Where the ones of each row are, for a column of few levels and one with as many as customers."""
+    df = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_custkey").cast("string").alias("customer"))
+    rows, _ = N.sparse_indicators(df, ["o_orderpriority", "customer"])
+    vector = F.unwrap_udt("indicators")
+    return rows.select("o_orderkey", vector["size"].alias("size"), F.array_join(vector["indices"].cast("array<string>"), ",").alias("places"))
 
 
 def _scored_facts(df, *more):
@@ -303,6 +337,7 @@ QUERIES = {
     "impute_median": impute_median,
     "scale_std": scale_std,
     "one_hot_drop_first": one_hot,
+    "sparse_indicators": sparse_indicators,
     "class_weighting": class_weighting,
     "smote": smote_classes,
     "train_gbt": train,
@@ -375,13 +410,18 @@ ORACLES = {
     "smote": f"""WITH {t.CARD_FRAUD_SQL}, c AS (SELECT IsFraud AS label, count(*) AS n FROM card_fraud GROUP BY 1)
       SELECT label, FALSE AS synthetic, n AS n_rows, n AS n_in_place FROM c
       UNION ALL SELECT label, TRUE, (SELECT max(n) FROM c) - n, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""",
-    "train_gbt": f"""WITH u AS ({universal_sql()}) SELECT CAST(300 AS BIGINT) AS n_trees, TRUE AS depth_within,
+    "sparse_indicators": """WITH p AS (SELECT level, row_number() OVER (ORDER BY level) - 2 AS at FROM (SELECT DISTINCT o_orderpriority AS level FROM orders)),
+      c AS (SELECT level, row_number() OVER (ORDER BY level) - 2 AS at FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS level FROM orders))
+      SELECT o_orderkey, CAST((SELECT count(*) FROM p) + (SELECT count(*) FROM c) - 2 AS INTEGER) AS size,
+        concat_ws(',', CASE WHEN p.at >= 0 THEN p.at END, CASE WHEN c.at >= 0 THEN c.at + (SELECT count(*) FROM p) - 1 END) AS places
+      FROM orders JOIN p ON p.level = o_orderpriority JOIN c ON c.level = CAST(o_custkey AS VARCHAR)""",
+    "train_gbt": f"""WITH u AS ({universal_sql()}) SELECT {GROWTH_SQL}, TRUE AS depth_within,
       CAST({len(FEATURE_COLS)} AS BIGINT) AS n_features, TRUE AS importances_sum_to_one, count(*) AS n_rows FROM u WHERE label IN (0, 1)""",
     "train_universal": f"""WITH u AS ({universal_sql()}) SELECT count(*) AS n_rows, TRUE AS fifth_for_test,
       TRUE AS reloaded_equal, TRUE AS metrics_stored, CAST(2 AS BIGINT) AS n_stores FROM u WHERE label IN (0, 1)""",
-    "train_baseline": """SELECT count(*) AS n_rows, TRUE AS fifth_for_test, TRUE AS all_scored,
-      'amount,o_orderpriority_level,years' AS features FROM orders""",
-    "early_stopping": "SELECT count(*) AS n_rows, TRUE AS stopped_early FROM orders",
+    "train_baseline": f"""SELECT count(*) AS n_rows, TRUE AS fifth_for_test, TRUE AS all_scored,
+      'amount,indicators,years' AS features, 1 + count(DISTINCT o_orderpriority) AS width, {GROWTH_SQL} FROM orders""",
+    "early_stopping": f"SELECT {GROWTH_SQL}, TRUE AS areas_equal, CAST(count(*) AS INTEGER) AS n_rows FROM orders",
     "predict": "SELECT count(*) AS n_rows, count(*) AS n_valid FROM lineitem",
     "model_store": "SELECT count(*) AS n_rows, count(*) AS n_equal FROM lineitem",
     "score_table": f"WITH {t.MIXED_SQL} SELECT * FROM mixed",

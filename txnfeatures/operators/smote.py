@@ -19,7 +19,7 @@ def _unit(*parts):
 
 def smote(
     df: DataFrame,
-    features: list[str],
+    features: list[str] | str,
     key: str,
     label: str = "label",
     k: int = 5,
@@ -33,7 +33,8 @@ def smote(
     Each new row lies at a random point between a minority row and one of its
     ``k`` nearest minority neighbours, exact copies counting as neighbours at
     distance zero.  Every minority row is drawn equally often, give or take one.
-    ``key`` is a unique whole number.  Returns the features, the label and
+    ``key`` is a unique whole number.  ``features`` names number columns, or one
+    column with all of them as an array.  Returns the features, the label and
     ``synthetic``.  The input comes back unchanged, with a warning that says why,
     where the classes cannot be balanced: ``k`` minority rows or fewer, or
     missing values among them.
@@ -43,10 +44,17 @@ def smote(
     rows with random-projection trees, but misses neighbours, and more of them
     the more rows there are.  ``trace`` adds ``_from`` and ``_to``, the rows a new one lies between.
     """
-    original = df.select(*[F.col(c).cast("double").alias(c) for c in features], label, F.lit(False).alias("synthetic"))
+    if isinstance(features, str):
+        vector = F.col(features).cast("array<double>")
+        missing = F.exists(vector, lambda v: v.isNull() | F.isnan(v))
+        given = [vector.alias(features)]
+    else:
+        vector = F.array(*[F.col(c).cast("double") for c in features])
+        missing = F.expr(" OR ".join(f"`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE))" for c in features))
+        given = [F.col(c).cast("double").alias(c) for c in features]
+    original = df.select(*given, label, F.lit(False).alias("synthetic"))
     if trace:
         original = original.withColumns({c: F.lit(None).cast("array<double>") for c in ("_from", "_to")})
-    missing = F.expr(" OR ".join(f"`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE))" for c in features))
     head = df.agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
@@ -62,7 +70,6 @@ def smote(
         return original
 
     spark = df.sparkSession
-    vector = F.array(*[F.col(c).cast("double") for c in features])
     rows = df.where(F.col(label) == minority).select(F.col(key).cast("bigint").alias("id"), vector.alias("x"))
     # Copies are one point from here on, however many there are.  Stored,
     # because they are read again after the search.
@@ -105,8 +112,12 @@ def _synthesise(rows, near, draws, features, label, minority, seed, trace):
     pick = F.floor(_unit(F.col("pid"), F.col("j"), F.lit(seed)) * F.size("options")).cast("int")
     gap = _unit(F.col("pid"), F.col("j"), F.lit(seed + 1))
     new = drawn.select("x", F.col("options")[pick].alias("other"), gap.alias("gap"))
+    if isinstance(features, str):
+        between = [F.zip_with("x", "other", lambda a, b: a + F.col("gap") * (b - a)).alias(features)]
+    else:
+        between = [(F.col("x")[i] + F.col("gap") * (F.col("other")[i] - F.col("x")[i])).alias(c) for i, c in enumerate(features)]
     return new.select(
-        *[(F.col("x")[i] + F.col("gap") * (F.col("other")[i] - F.col("x")[i])).alias(c) for i, c in enumerate(features)],
+        *between,
         F.lit(minority).alias(label),
         F.lit(True).alias("synthetic"),
         *([F.col("x").alias("_from"), F.col("other").alias("_to")] if trace else []),
