@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Window
@@ -270,20 +271,44 @@ def test_smote_lies_between_neighbours(spark):
         assert ok, p
 
 
-def test_smote_by_default_lies_between_true_neighbours_in_many_dimensions(spark):
+@pytest.mark.parametrize("method, least", [("exact", 1.0), ("graph", 0.9)])
+def test_smote_lies_between_true_neighbours_in_many_dimensions(spark, method, least):
     rng = np.random.default_rng(3)
     n, names = 3000, [f"f{i}" for i in range(18)]
     x = rng.normal(size=(n, 18)) * np.linspace(0.2, 2, 18)
     few = [(i, 1, *map(float, v)) for i, v in enumerate(x)]
     many = [(n + i, 0, *([0.0] * 18)) for i in range(2 * n)]
     df = spark.createDataFrame(few + many, ["id", "label", *names])
-    out = smote(df, names, "id", trace=True).where("synthetic").select("_from", "_to").collect()
+    out = smote(df, names, "id", method=method, trace=True).where("synthetic").select("_from", "_to").collect()
     at = {tuple(v): i for i, v in enumerate(x.tolist())}
     d = ((x[:, None, :] - x[None]) ** 2).sum(2)
     np.fill_diagonal(d, np.inf)
     true = np.argsort(d, axis=1)[:, :5]
     assert len(out) == n
-    assert all(at[tuple(r["_to"])] in true[at[tuple(r["_from"])]] for r in out)
+    assert np.mean([at[tuple(r["_to"])] in true[at[tuple(r["_from"])]] for r in out]) >= least
+
+
+def test_graph_neighbours_of_a_hundred_thousand_points(spark):
+    n, rng = 100_000, np.random.default_rng(5)
+    x = rng.normal(size=(n, 18)) * np.linspace(0.2, 2, 18)
+    table = pa.table({"pid": np.arange(n), "copies": np.ones(n, dtype=np.int64), "x": list(x)})
+    shares = []
+    found = NB.graph_neighbours(spark.createDataFrame(table).repartition(16), 5, report=shares)
+    got = {r["pid"]: [a["near"] for a in r["near"]] for r in found.where("pid % 50 = 0").collect()}
+    hits = 0
+    for i in range(0, n, 50):
+        d = ((x - x[i]) ** 2).sum(1)
+        d[i] = np.inf
+        hits += len(set(np.argpartition(d, 5)[:5].tolist()) & set(got[i]))
+    assert len(got) == n // 50 and hits / (5 * len(got)) >= 0.9
+    assert shares[-1] < NB.SETTLED
+
+
+def test_graph_neighbours_of_few_points(spark):
+    rows = [(i, 1, [float(i), 0.0]) for i in range(4)]
+    got = {r["pid"]: [(a["near"], a["d"]) for a in r["near"]] for r in NB.graph_neighbours(spark.createDataFrame(rows, NB.POINT), 5).collect()}
+    assert got[0] == [(1, 1.0), (2, 2.0), (3, 3.0)] and got[1] == [(0, 1.0), (2, 1.0), (3, 2.0)] and len(got) == 4
+    assert NB.graph_neighbours(spark.createDataFrame(rows[:1], NB.POINT), 5).count() == 0
 
 
 def test_smote_leaves_hopeless_input_alone(spark):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txnfeatures.checks import tables as t
@@ -17,6 +18,7 @@ from txnfeatures.operators import boosting as B
 from txnfeatures.operators import encoding as N
 from txnfeatures.operators import learning as L
 from txnfeatures.operators.evaluation import average_precision
+from txnfeatures.operators.neighbours import graph_neighbours
 from txnfeatures.operators.sampling import stratified_split
 from txnfeatures.operators.smote import smote
 from txnfeatures.operators.stats import fit_amount_stats, user_stats_serving
@@ -119,6 +121,28 @@ def smote_classes(spark, sf_dir):
     return old.withColumn("synthetic", F.lit(False)).unionByName(good.withColumn("synthetic", F.lit(True)))
 
 
+def smote_neighbours(spark, sf_dir):
+    """Neighbours that new rows are drawn from, against all minority rows, for every point whose id is divisible by 50."""
+    k, rows = 5, P.features_card_fraud(t.card_fraud(spark, sf_dir)).where("label = 1")
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLS])
+    points = rows.groupBy(x.alias("x")).agg(F.count("*").alias("copies"))
+    uri = scratch_uri(spark, "points")
+    points.select(F.monotonically_increasing_id().alias("pid"), "copies", "x").write.parquet(uri)
+    points = spark.read.parquet(uri)
+    found = graph_neighbours(points, k).select("pid", F.col("near.near").alias("found"))
+    asked = points.where("pid % 50 = 0").select(F.col("pid").alias("of"), F.col("x").alias("y"))
+    apart = F.aggregate(F.zip_with("x", "y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    # The stated query set against all rows; a part of the rows hands on the k nearest, then those are compared.
+    near = points.crossJoin(F.broadcast(asked)).where("pid <> of").withColumn("part", F.spark_partition_id()).withColumn("d", apart)
+    for by in (["of", "part"], ["of"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("d", "pid"))
+        near = near.withColumn("place", place).where(F.col("place") <= k)
+    both = near.groupBy(F.col("of").alias("pid")).agg(F.collect_list("pid").alias("true")).join(found, "pid", "left")
+    hits = F.size(F.array_intersect("true", F.coalesce("found", F.array().cast("array<bigint>"))))
+    share = both.agg((F.sum(hits) / F.sum(F.size("true"))).alias("recall")).first()["recall"]
+    return points.agg(F.count("*").alias("n_points")).withColumn("recall_reached", F.lit(share is None or share >= 0.9))
+
+
 def _growth(boosted):
     """Whether growth ended as it should, and every tree kept to the columns drawn for it."""
     within = lambda tree, drawn: set(tree.featureImportances.indices.tolist()) <= set(drawn)
@@ -340,6 +364,7 @@ QUERIES = {
     "sparse_indicators": sparse_indicators,
     "class_weighting": class_weighting,
     "smote": smote_classes,
+    "smote_neighbours": smote_neighbours,
     "train_gbt": train,
     "train_universal": train_universal,
     "train_baseline": train_baseline,
@@ -415,6 +440,7 @@ ORACLES = {
       SELECT o_orderkey, CAST((SELECT count(*) FROM p) + (SELECT count(*) FROM c) - 2 AS INTEGER) AS size,
         concat_ws(',', CASE WHEN p.at >= 0 THEN p.at END, CASE WHEN c.at >= 0 THEN c.at + (SELECT count(*) FROM p) - 1 END) AS places
       FROM orders JOIN p ON p.level = o_orderpriority JOIN c ON c.level = CAST(o_custkey AS VARCHAR)""",
+    "smote_neighbours": "SELECT count(*) AS n_points, TRUE AS recall_reached FROM orders WHERE o_orderstatus = 'F'",
     "train_gbt": f"""WITH u AS ({universal_sql()}) SELECT {GROWTH_SQL}, TRUE AS depth_within,
       CAST({len(FEATURE_COLS)} AS BIGINT) AS n_features, TRUE AS importances_sum_to_one, count(*) AS n_rows FROM u WHERE label IN (0, 1)""",
     "train_universal": f"""WITH u AS ({universal_sql()}) SELECT count(*) AS n_rows, TRUE AS fifth_for_test,

@@ -7,7 +7,7 @@ import warnings
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnfeatures.operators.neighbours import nearest_neighbours, tree_neighbours
+from txnfeatures.operators.neighbours import graph_neighbours, nearest_neighbours, tree_neighbours
 from txnfeatures.operators.sampling import key_cut
 from txnfeatures.sources.writers import scratch_uri
 
@@ -25,7 +25,7 @@ def smote(
     k: int = 5,
     seed: int = 42,
     pivots: int | None = None,
-    method: str = "exact",
+    method: str = "graph",
     trace: bool = False,
 ) -> DataFrame:
     """Add minority rows until both classes have the same number.
@@ -39,9 +39,10 @@ def smote(
     where the classes cannot be balanced: ``k`` minority rows or fewer, or
     missing values among them.
 
-    ``method="exact"`` finds all true neighbours and compares nearly all pairs
-    of minority rows at many features.  ``"trees"`` works in time linear in the
-    rows with random-projection trees, but misses neighbours, and more of them
+    ``method="graph"`` refines a neighbour graph: work grows with the rows, and
+    nearly all neighbours are found at any number of features a table like this
+    has.  ``"exact"`` finds all and compares nearly all pairs of minority rows
+    at many features.  ``"trees"`` only looks into leaves of random-projection trees: it misses neighbours, and more of them
     the more rows there are.  ``trace`` adds ``_from`` and ``_to``, the rows a new one lies between.
     """
     if isinstance(features, str):
@@ -77,9 +78,14 @@ def smote(
     rows.groupBy("x").agg(F.min("id").alias("pid"), F.count("*").alias("copies")).write.parquet(uri)
     points = spark.read.parquet(uri)
 
-    if method not in ("trees", "exact"):
-        raise ValueError(f"method must be 'trees' or 'exact', not {method!r}")
-    found = nearest_neighbours(points, k, pivots) if method == "exact" else tree_neighbours(points, k, seed=seed)
+    if method == "graph":
+        found = graph_neighbours(points, k, seed=seed)
+    elif method == "exact":
+        found = nearest_neighbours(points, k, pivots)
+    elif method == "trees":
+        found = tree_neighbours(points, k, seed=seed)
+    else:
+        raise ValueError(f"method must be 'graph', 'exact' or 'trees', not {method!r}")
     # Up to k neighbours as plain vectors: own copies first, then the others
     # as often as they occur.
     others = F.flatten(F.transform("near", lambda t: F.array_repeat(t["near_x"], F.least(t["near_copies"], F.lit(k)).cast("int"))))

@@ -121,7 +121,7 @@ def train_baseline(
     uris: list[str] = (),
     threshold: float = 0.5,
     watch_share: float = 0.1,
-    method: str = "exact",
+    method: str = "graph",
     **settings,
 ) -> Trained:
     """The older trainer on one table whose columns are not known beforehand.
