@@ -271,6 +271,52 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert {r.text for r in got if r.doc_id is None} <= {c, c + " yy"}
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    rng = random.Random(18)
+    a, b = prose(rng, 60, 3000), prose(rng, 60, 3000)
+    bench = spark.createDataFrame([(1, a)], "item_id bigint, text string")
+    docs = [(1, b, "r", 5), (2, b, "s", 6), (3, a, "t", 7), (None, None, None, None)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, _row string, _id int")
+    frame = frame.selectExpr("*", "_id AS _text", "_row AS number", "_row AS id", "_id AS row")
+    kept = corpus_pipeline.near_dedup(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert {(r.doc_id, r._row, r.row) for r in kept.collect()} == {(1, "r", 5), (3, "t", 7), (None, None, None)}
+    from txnfeatures.llm.decontaminate import drop_matches
+
+    clean = drop_matches(frame, bench)
+    assert clean.columns == frame.columns
+    assert {(r.doc_id, r._row, r._text) for r in clean.collect()} == {(1, "r", 5), (2, "s", 6), (None, None, None)}
+
+
+def test_a_third_of_the_rows_equal_leave_one_text_per_node(spark, monkeypatch):
+    from txnfeatures.llm import minhash
+
+    rng = random.Random(19)
+    a, b = prose(rng, 60, 3000), prose(rng, 60, 3000)
+    texts = [a] * 300 + [a + " zz"] * 2 + [b, b + " yy"] + [prose(rng, 60, 3000) for _ in range(200)]
+    rows = [(None if i < 200 else 7, t) for i, t in enumerate(texts[:300])] + [(1000 + i, t) for i, t in enumerate(texts[300:])]
+    held = []
+    plain = minhash._texts
+    monkeypatch.setattr(minhash, "_texts", lambda *args: held.append((out := plain(*args)).collect()) or out)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect()
+    assert len(found) == len(rows) and len(held[0]) == 4 == len({r.node for r in held[0]})
+    assert {r.component_id for r in found if r.doc_id in (None, 7, 1000, 1001)} == {7}
+    assert {r.component_id for r in found if r.doc_id in (1002, 1003)} == {1002}
+
+
+def test_components_are_contracted(spark):
+    from txnfeatures.llm import minhash
+    from txnfeatures.llm.store import Run
+
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (205, 200)]
+    run = Run(spark, "test")
+    labels = minhash.components(spark.createDataFrame(chain, "a bigint, b bigint"), run).collect()
+    assert {r.node: r.label for r in labels} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 200: 200, 205: 200}
+    assert minhash.components(spark.createDataFrame([], "a bigint, b bigint"), run).count() == 0
+
+
 def test_decontamination(spark, empty):
     from txnfeatures.llm.decontaminate import matches
 

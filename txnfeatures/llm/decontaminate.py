@@ -22,6 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnfeatures.llm.store import stored
 from txnfeatures.llm.words import Words, run_hashes, text_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -253,3 +254,16 @@ def matches(
     if out is None:
         out = spark.createDataFrame([], schema)
     return out.select(F.col("doc").alias(id_col), F.col("item").alias("item_id"), "score", "full_score", "end_word", F.col("seen").alias("text_hash"))
+
+
+def drop_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that hold no passage of ``benchmark``.
+
+    A row goes if its id and text were found, ids missing or shared or not.
+    Columns may have any names.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = matches(docs, benchmark, **options).select(F.col(id_col).alias("id"), F.col("text_hash").alias("text")).distinct()
+    rows = docs.select(row.alias("row"))
+    same = F.col("row").getField(id_col).eqNullSafe(F.col("id")) & F.xxhash64(F.col("row").getField(text_col)).eqNullSafe(F.col("text"))
+    return rows.join(stored(found, "leaks"), same, "left_anti").select("row.*")

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnfeatures.llm.store import stored
+from txnfeatures.llm.store import Run, stored
 from txnfeatures.llm.words import Words, mix, run_hashes, stream, text_chunks
 from txnfeatures.operators.joins import attach_by_key
 
@@ -207,29 +207,26 @@ def _blocks(shingle: int, percent: int):
     return compare
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, run: Run) -> DataFrame:
     """(node, label): the smallest node reachable over ``edges`` (a, b), for nodes with an edge.
 
     Each round every node takes the smallest label among its neighbours and
     itself, then the label of its label; rounds needed grow with the logarithm
-    of the longest path.  Every round is stored, so nothing is recomputed after a loss.
+    of the longest path.  A round is one job: it is stored, so nothing is
+    recomputed after a loss, and the write counts the labels that changed.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    both = run.stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    labels = run.stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
-        near = (
-            both.join(labels, F.col("b") == F.col("node"))
-            .select(F.col("a").alias("node"), "label")
-            .union(labels)
-            .groupBy("node")
-            .agg(F.min("label").alias("label"))
-        )
+        around = both.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label", F.lit(None).cast("bigint").alias("was"))
+        near = around.union(labels.select("node", "label", F.col("label").alias("was")))
+        near = near.groupBy("node").agg(F.min("label").alias("label"), F.min("was").alias("was"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        after = stored(near.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
-        before = labels.withColumnRenamed("label", "was")
-        if not after.join(before, "node").where("label <> was").limit(1).count():
-            return after
-        labels = after
+        after = near.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label"), "was")
+        after, found = run.stored(after, "labels", changed=F.count_if(F.col("label") != F.col("was")))
+        labels = after.drop("was")
+        if not found["changed"]:
+            return labels
 
 
 def near_duplicates(
@@ -247,17 +244,17 @@ def near_duplicates(
     names a component unless all ids in it are null, and is kept only then.
     Other columns of ``docs`` are ignored.  An empty table gives an empty result.
     """
-    bands = bands_for(percent)
+    bands, run = bands_for(percent), Run(docs.sparkSession, "near-dedup")
     source = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).withColumn(
         "seen", F.xxhash64("text")
     )
-    sketches = stored(
+    sketches = run.stored(
         source.mapInArrow(_sketch(shingle, bands), "doc bigint, seen bigint, n bigint, key binary, bands array<bigint>"),
         "sketches",
     )
     # One node for each distinct set.  (unnamed, at) finds one of its texts again.
     place = F.struct(F.col("doc").isNull().alias("unnamed"), F.coalesce("doc", "seen").alias("at"))
-    nodes = stored(
+    nodes = run.stored(
         sketches.where("key IS NOT NULL")
         .groupBy("key")
         .agg(F.min("doc").alias("first_doc"), F.min(place).alias("place"), F.count("*").alias("copies"), F.min("bands").alias("bands"))
@@ -267,24 +264,31 @@ def near_duplicates(
     bucket = nodes.select("node", F.posexplode("bands").alias("band", "value"))
     crowd = bucket.groupBy("band", "value").agg(F.count("*").alias("mates")).where("mates > 1")
     # Only buckets of two and more; every bucket knows how many nodes it has.
-    buckets = stored(bucket.join(crowd, ["band", "value"]), "buckets")
+    buckets = run.stored(bucket.join(crowd, ["band", "value"]), "buckets")
     mates = buckets.groupBy("node").agg(F.sum("mates").alias("degree"))
-    texts = _texts(source, nodes.join(mates.select("node"), "node", "left_semi"), shingle)
+    texts = _texts(source, nodes.join(mates.select("node"), "node", "left_semi"), shingle, run)
     centres = (
         buckets.join(mates, "node")
         .groupBy("band", "value")
         .agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("centre"))
     )
     pairs = buckets.join(centres, ["band", "value"]).where("node <> centre").select("centre", "node").distinct()
-    links = stored(_star_links(pairs, texts, shingle, percent), "links")
-    labels = components(links)
-    rest = _rest_links(buckets, labels, texts, shingle, percent)
-    more = stored(rest, "links")
-    labels = components(links.union(more))
+    links = run.stored(_star_links(pairs, texts, shingle, percent), "links")
+    labels = components(links, run)
+    more, found = run.stored(_rest_links(buckets, labels, texts, shingle, percent), "more", links=F.count("*"))
+    if found["links"]:
+        # From here on a component of the stars is one node.
+        end = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+        joined = more.join(end("a"), "a", "left").join(end("b"), "b", "left")
+        joined = joined.select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b"))
+        joined = components(joined, run).select(F.col("node").alias("met"), F.col("label").alias("end"))
+        labels = nodes.select("node").join(labels, "node", "left").withColumn("met", F.coalesce("label", "node"))
+        labels = labels.join(joined, "met", "left").select("node", F.coalesce("end", "met").alias("label"))
     names = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = names.groupBy("label").agg(F.min("first_doc").alias("component_id"))
-    found = names.join(first, "label").select("key", "copies", "component_id")
-    out = attach_by_key(sketches.drop("bands"), stored(found, "components"), "key", "copies", ["component_id"])
+    found = run.stored(names.join(first, "label").select("key", "copies", "component_id"), "components")
+    run.discard("nodes", "buckets", "texts", "links", "more", "edges", "labels")
+    out = attach_by_key(sketches.drop("bands"), found, "key", "copies", ["component_id"])
     component = F.coalesce("component_id", "doc")
     return out.select(
         F.col("doc").alias(id_col),
@@ -295,16 +299,35 @@ def near_duplicates(
     )
 
 
-def _texts(source: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(node, bands, text) for the given nodes."""
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near copies: the one with the smallest id, with all its columns.
+
+    Rows are told apart by a number of their own, stored with them, so ids may
+    be missing or shared: of rows with equal ids the one with the smallest text
+    hash stays, and rows without an id only where no row of the group has one.
+    Rows without words are groups of their own.  Columns may have any names.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = stored(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("number")), "numbered")
+    own = rows.select("number", F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).alias("text"))
+    found = near_duplicates(own, "number", "text", shingle, percent).select("number", "component_id", "text_hash")
+    first = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash", "number")
+    kept = found.join(own.select("number", "id"), "number").groupBy("component_id").agg(F.min(first).alias("first"))
+    return rows.join(kept.select(F.col("first.number").alias("number")), "number", "left_semi").select("row.*")
+
+
+def _texts(source: DataFrame, nodes: DataFrame, shingle: int, run: Run) -> DataFrame:
+    """(node, bands, text) for the given nodes, each once whichever of its rows it is found in."""
     keyed = source.select(F.col("doc").isNull().alias("unnamed"), F.coalesce("doc", "seen").alias("at"), "text")
     wanted = nodes.select("place.unnamed", "place.at", "node", "key", "bands")
-    return stored(
+    matching = (
         keyed.join(wanted, ["unnamed", "at"])
         .select("node", "key", "bands", "text")
-        .mapInArrow(_matching(shingle), "node bigint, bands array<bigint>, text string"),
-        "texts",
+        .mapInArrow(_matching(shingle), "node bigint, bands array<bigint>, text string")
     )
+    # Rows may repeat: each task hands on one text of a node, whichever it is.
+    one = matching.groupBy("node").agg(F.first(F.struct("bands", "text")).alias("one"))
+    return run.stored(one.select("node", "one.bands", "one.text"), "texts")
 
 
 def _star_links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-from txnfeatures.sources.writers import scratch_uri
+from txnfeatures.sources.writers import discard, scratch_uri
 
 
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
@@ -12,3 +12,27 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     uri = scratch_uri(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(uri)
     return df.sparkSession.read.schema(df.schema).parquet(uri)
+
+
+class Run:
+    """The tables of one run, in a folder of their own; a name may be stored again and again."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.uri, self.paths = spark, scratch_uri(spark, name), {}
+
+    def stored(self, df: DataFrame, name: str, **facts: Column) -> DataFrame | tuple[DataFrame, dict]:
+        """As :func:`stored`; with ``facts`` (aggregates of the rows) also what they came to on the write."""
+        found = Observation() if facts else None
+        if facts:
+            df = df.observe(found, *[c.alias(k) for k, c in facts.items()])
+        paths = self.paths.setdefault(name, [])
+        paths.append(f"{self.uri}/{name}-{len(paths)}")
+        df.write.parquet(paths[-1])
+        out = self.spark.read.schema(df.schema).parquet(paths[-1])
+        return (out, found.get) if facts else out
+
+    def discard(self, *names: str) -> None:
+        """Delete tables that nothing reads any more; of a name stored more than once, all."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                discard(self.spark, path)
