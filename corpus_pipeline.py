@@ -8,49 +8,28 @@ sf_dir) and, but for the last, returns the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from txnfeatures.llm.decontaminate import matches
-from txnfeatures.llm.minhash import near_duplicates
+from txnfeatures.llm.decontaminate import drop_matches
+from txnfeatures.llm.minhash import keep_one
 from txnfeatures.llm.mixing import mixed
 from txnfeatures.llm.repetition import keep_good
 from txnfeatures.llm.shuffle import shuffle_into_shards
 from txnfeatures.llm.store import stored
 
 
-def _named(found: DataFrame) -> DataFrame:
-    """Documents by id and text: ids may be missing or shared."""
-    return found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")).distinct()
-
-
-def _same(docs: DataFrame):
-    return docs["doc_id"].eqNullSafe(F.col("_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_text"))
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
-
-    Rows are told apart by a number of their own, stored with them, so ids may
-    be missing or shared: of rows with equal ids the one with the smallest text
-    hash stays, and rows without an id only where no row of the group has one.
-    Rows without words are groups of their own.
-    """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(rows, id_col="_row", shingle=5, percent=80).select("_row", "component_id", "text_hash")
-    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "_row")
-    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(first).alias("first"))
-    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").drop("_row")
+    """One row of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
+    return keep_one(docs, shingle=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(stored(_named(found), "leaks"), _same(docs), "left_anti")
+    return drop_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
