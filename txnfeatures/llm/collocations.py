@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from txnfeatures.llm import bitmap
 from txnfeatures.llm.doublearray import advance, digits_of, step_trie
 from txnfeatures.llm.first import first_rows
-from txnfeatures.llm.store import stored
+from txnfeatures.llm.store import stored, text_batches
 from txnfeatures.llm.words import BASE, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,7 +47,7 @@ BLOCK = 1 << 19
 #: Positions for each bucket of pairs.
 LOAD = 4
 #: Distinct words that a task counts before it hands its counts on; positions in one stored row, about.
-HELD, ROW = 1 << 19, 1 << 20
+HELD, ROW = 1 << 18, 1 << 18
 UNNAMED = "und"
 
 #: Ends of pieces become a byte that UTF-8 never has; A-Z are lower-cased, tabs are spaces.
@@ -82,7 +82,10 @@ def _counted(batches):
 
     for batch in batches:
         for lang, text in _texts(batch):
-            counts.setdefault(lang, Counter()).update(tokens(text))
+            own = counts.setdefault(lang, Counter())
+            own.update(tokens(text))
+            if len(own) >= HELD:
+                yield from sent()
         if sum(map(len, counts.values())) >= HELD:
             yield from sent()
     yield from sent()
@@ -299,6 +302,7 @@ def _longer(positions: DataFrame, known: DataFrame, length: int, n: int, n_words
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 5, floor: int = 100):
     """((lang, n) of all words, (lang, phrase, a, length) of all phrases of 1 to ``longest`` words with a >= ``floor``)."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNNAMED)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     counts = rows.mapInArrow(_counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "words")

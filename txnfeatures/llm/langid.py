@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnfeatures.llm.first import first_rows
-from txnfeatures.llm.store import stored
+from txnfeatures.llm.store import stored, text_batches
 from txnfeatures.llm.words import PLAIN, span_hashes, text_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -273,6 +273,7 @@ class Identifier:
         with score 0; ties go to the first language.  Rows may repeat, ids may
         be null; other columns of ``docs`` are ignored.
         """
+        text_batches(docs.sparkSession)
         rows = docs.select(
             F.col(id_col).alias("doc"), *[c.alias(f"_{i}") for i, c in enumerate(more.values())],
             F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col)).alias("text"),
@@ -313,6 +314,7 @@ def train_identifier(
     one task holds); texts without a letter teach nothing.  Without labelled
     text it knows no language.
     """
+    text_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     pieces = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         _pieces(sample), "lang string, hash bigint, piece binary"

@@ -14,6 +14,18 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(uri)
 
 
+#: Rows of whole texts that go to a Python worker at once: some MB, where Spark's 10,000 are tens of them.
+BATCH = 2048
+
+
+def text_batches(spark: SparkSession, rows: int = BATCH) -> None:
+    """Let the session hand rows to Python workers in batches that suit whole texts; smaller settings stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 class Run:
     """The tables of one run, in a folder of their own; a name may be stored again and again."""
 
