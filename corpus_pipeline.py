@@ -14,31 +14,36 @@ from txnfeatures.llm.minhash import keep_one
 from txnfeatures.llm.mixing import mixed
 from txnfeatures.llm.repetition import keep_good
 from txnfeatures.llm.shuffle import shuffle_into_shards
-from txnfeatures.llm.store import stored
+from txnfeatures.llm.store import stored, text_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
+    text_batches(spark)
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
+    text_batches(spark)
     return keep_one(docs, shingle=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
+    text_batches(spark)
     return drop_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document is there as often as the mix takes it."""
+    text_batches(spark)
     return mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in shuffled order, in shards of equal row counts."""
+    text_batches(spark)
     return shuffle_into_shards(docs, shards=8)
 
 
