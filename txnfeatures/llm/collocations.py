@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from txnfeatures.llm import bitmap
 from txnfeatures.llm.doublearray import advance, digits_of, step_trie
 from txnfeatures.llm.first import first_rows
-from txnfeatures.llm.store import stored, text_batches
+from txnfeatures.llm.store import stored, text_batches, wide_rows
 from txnfeatures.llm.words import BASE, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,8 +46,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK = 1 << 19
 #: Positions for each bucket of pairs.
 LOAD = 4
-#: Distinct words that a task counts before it hands its counts on; positions in one stored row, about.
-HELD, ROW = 1 << 18, 1 << 18
+#: Distinct words that a task counts before it hands its counts on; pairs that it counts at once; positions in one stored row, about.
+HELD, AT_ONCE, ROW = 1 << 18, 1 << 20, 1 << 16
 UNNAMED = "und"
 
 #: Ends of pieces become a byte that UTF-8 never has; A-Z are lower-cased, tabs are spaces.
@@ -157,11 +157,25 @@ def _bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
         return mix(pairs * np.uint64(BASE)) & np.uint64(buckets - 1)
 
 
+def _pair_sets(batches):
+    """Pairs of frequent phrases, about ``AT_ONCE`` at a time: sorted, each once, and how often."""
+    held, n = [], 0
+    for batch in batches:
+        for states in batch.column(batch.schema.names.index("states")):
+            held.append(_pairs(np.frombuffer(states.as_py(), np.int32)))
+            n += len(held[-1])
+            if n >= AT_ONCE:
+                yield np.unique(np.concatenate(held), return_counts=True)
+                held, n = [], 0
+    if held:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
 def _bucket_counts(buckets: int):
     def counted(batches):
-        for _, states in _rows(batches):
-            found, n = np.unique(_bucket(_pairs(states), buckets), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["bucket", "n"])
+        for pairs, n in _pair_sets(batches):
+            columns = [pa.array(_bucket(pairs, buckets).view(np.int64)), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n"])
 
     return counted
 
@@ -170,8 +184,7 @@ def _seen_pairs(packed, buckets: int):
     """Pairs whose bucket may have reached the floor, with their bucket."""
 
     def seen(batches):
-        for _, states in _rows(batches):
-            pairs = np.unique(_pairs(states))
+        for pairs, _ in _pair_sets(batches):
             at = _bucket(pairs, buckets)
             keep = bitmap.is_present(packed.value, bitmap.place(at))
             columns = [pairs[keep] >> np.uint64(32), pairs[keep] & np.uint64(0xFFFFFFFF), at[keep]]
@@ -250,10 +263,11 @@ def _candidates(positions: DataFrame, known: DataFrame, n: int, floor: int) -> D
     ``tail`` is the id of the last word.
     """
     buckets = 1 << max(10, (n // LOAD).bit_length())
-    counts = positions.select("words", "states").mapInArrow(_bucket_counts(buckets), "bucket bigint, n bigint")
+    # Counted by task already, so rows go to their bucket before they are added up: no task adds up all buckets.
+    counts = positions.select("states").mapInArrow(_bucket_counts(buckets), "bucket bigint, n bigint").repartition("bucket")
     hot = stored(counts.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= floor).select("bucket"), "buckets")
     packed = positions.sparkSession.sparkContext.broadcast(bitmap.presence(hot, "bucket"))
-    seen = positions.select("words", "states").mapInArrow(_seen_pairs(packed, buckets), "left bigint, right bigint, bucket bigint")
+    seen = positions.select("states").mapInArrow(_seen_pairs(packed, buckets), "left bigint, right bigint, bucket bigint")
     pairs = seen.distinct().join(hot, "bucket", "left_semi")
     found = pairs.join(known.select(F.col("id").alias("right"), "tail"), "right").select("left", "right", "tail")
     return _with_numbers(found, ["left", "right"], "candidates")
@@ -315,7 +329,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     for length in range(1, longest):
         if not n_words:
             break
-        positions, known = _longer(positions, known, length, n, n_words, floor, length + 1 < longest)
+        with wide_rows(docs.sparkSession):
+            positions, known = _longer(positions, known, length, n, n_words, floor, length + 1 < longest)
         if known is None:
             break
         found = found.union(known.select("lang", "phrase", "a", F.lit(length + 1).alias("length")))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from txnfeatures.sources.writers import discard, scratch_uri
@@ -26,6 +29,20 @@ def text_batches(spark: SparkSession, rows: int = BATCH) -> None:
         spark.conf.set(name, str(rows))
 
 
+@contextmanager
+def wide_rows(spark: SparkSession, rows: int = 32) -> Iterator[None]:
+    """For jobs on rows of some 100 KB: readers and Python workers get that many at once, not thousands."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, str(rows))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 class Run:
     """The tables of one run, in a folder of their own; a name may be stored again and again."""
 
