@@ -28,6 +28,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ from pyspark.sql import Window as W
 from txnfeatures.llm import bitmap
 from txnfeatures.llm.doublearray import advance, digits_of, step_trie
 from txnfeatures.llm.first import first_rows
-from txnfeatures.llm.store import stored, text_batches, wide_rows
+from txnfeatures.llm.store import Run, stored, text_batches, wide_rows
 from txnfeatures.llm.words import BASE, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -45,7 +46,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Words or candidates in one broadcast.
 BLOCK = 1 << 19
 #: Positions for each bucket of pairs.
-LOAD = 4
+LOAD = 1
+#: Candidates whose counts travel in one row; parts in which the shards' rows are added before they meet.
+WIDTH, PARTS = 4096, 256
 #: Distinct words that a task counts before it hands its counts on; pairs that it counts at once; positions in one stored row, about.
 HELD, AT_ONCE, ROW = 1 << 18, 1 << 20, 1 << 16
 UNNAMED = "und"
@@ -208,19 +211,39 @@ def _arrived(words: np.ndarray, states: np.ndarray, length: int, trie) -> np.nda
     return out
 
 
-def _trie_counts(trie, length: int):
+def _trie_counts(trie, last, length: int):
+    """(block, counts): this shard's counts of ``WIDTH`` candidates a row."""
+
     def counted(batches):
         total = np.zeros(len(trie.value[0]), dtype=np.int64)
         for words, states in _rows(batches):
             total += np.bincount(_arrived(words, states, length, trie.value), minlength=len(total))
-        total[0] = 0
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["state", "n"])
+        counts = total[last.value]
+        for block in range(-(-len(counts) // WIDTH)):
+            some = counts[block * WIDTH : (block + 1) * WIDTH]
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([some.tobytes()], pa.binary())], names=["block", "counts"])
 
     return counted
 
 
-def _moved(trie, length: int, numbers, first: bool):
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    counts = np.sum([np.frombuffer(c, np.int64) for c in group["counts"]], axis=0)
+    return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [counts.tobytes()]})
+
+
+def _shards_sum(shards: DataFrame, n: int) -> np.ndarray:
+    """Counts of ``n`` candidates over all shards: rows are added in parts, then the parts."""
+    schema = "block int, counts binary"
+    parts = shards.withColumn("part", F.spark_partition_id() % PARTS).groupBy("block", "part").applyInPandas(_added, schema)
+    found = parts.groupBy("block").applyInPandas(_added, schema).toArrow()
+    out = np.zeros(n, dtype=np.int64)
+    for block, counts in zip(*(column.to_pylist() for column in found.columns)):
+        out[block * WIDTH : (block + 1) * WIDTH] = np.frombuffer(counts, np.int64)
+    return out
+
+
+def _moved(trie, length: int, numbers, first: bool, last: bool):
     """``next``: the number of the frequent phrase of one more word that starts at each position."""
 
     def moved(batches):
@@ -229,7 +252,7 @@ def _moved(trie, length: int, numbers, first: bool):
                 after = numbers.value[_arrived(words, states, length, trie.value)]
                 if not first:
                     after = np.maximum(after, np.frombuffer(batch.column(batch.schema.names.index("next"))[i].as_py(), np.int32))
-                yield _packed(["words", "states", "next"], words, states, after)
+                yield _packed(["words", "next"], words, after) if last else _packed(["words", "states", "next"], words, states, after)
 
     return moved
 
@@ -245,7 +268,7 @@ def _with_numbers(table: DataFrame, order: list[str], name: str) -> DataFrame:
     return stored(out.withColumn("id", (F.col("_at") + F.col("_shift")).cast("int")).drop("_part", "_at", "_shift"), name)
 
 
-def _positions(rows: DataFrame, words: DataFrame) -> DataFrame:
+def _positions(rows: DataFrame, words: DataFrame, run: Run) -> DataFrame:
     """(words, states): the texts as ids of frequent words, one block of words after the other."""
     blocks = max(1, -(-words.count() // BLOCK))
     for block in range(blocks):
@@ -253,7 +276,7 @@ def _positions(rows: DataFrame, words: DataFrame) -> DataFrame:
         some = words.where(F.col("id").between(low + 1, low + BLOCK)).select("lang", F.col("phrase").cast("binary"), "id").toArrow()
         names = rows.sparkSession.sparkContext.broadcast(tuple(column.to_pylist() for column in some.columns))
         schema = "words binary" if last else "lang string, text string, words binary"
-        rows = stored(rows.mapInArrow(_numbered(names, block == 0, last), schema), "positions")
+        rows = run.stored(rows.mapInArrow(_numbered(names, block == 0, last), schema), "positions-1")
     return rows.withColumn("states", F.col("words"))
 
 
@@ -273,35 +296,36 @@ def _candidates(positions: DataFrame, known: DataFrame, n: int, floor: int) -> D
     return _with_numbers(found, ["left", "right"], "candidates")
 
 
-def _longer(positions: DataFrame, known: DataFrame, length: int, n: int, n_words: int, floor: int, go_on: bool):
+def _longer(positions: DataFrame, known: DataFrame, length: int, n: int, n_words: int, floor: int, go_on: bool, run: Run):
     """(positions, phrases) one word longer than ``known``, whose phrases have ``length`` words."""
     spark = positions.sparkSession
     candidates = _candidates(positions, known, n, floor)
     digits, frequent, total = max(1, -(-n_words.bit_length() // 8)), [], 0
     source = positions.select("words", "states")
-    for block in range(-(-candidates.count() // BLOCK)):
+    blocks = -(-candidates.count() // BLOCK)
+    for block in range(blocks):
         some = candidates.where(F.col("id").between(block * BLOCK + 1, (block + 1) * BLOCK)).orderBy("id").toArrow()
         left, right, tail = (some.column(c).to_numpy() for c in ("left", "right", "tail"))
         lefts, state = np.unique(left, return_inverse=True)
         base, check, last = step_trie(state + 1, tail, len(lefts), digits)
         trie = spark.sparkContext.broadcast((base, check, lefts, digits))
-        counts = source.select("words", "states").mapInArrow(_trie_counts(trie, length), "state bigint, n bigint")
-        counts = counts.groupBy("state").agg(F.sum("n").alias("n")).toArrow()
-        a = np.zeros(len(base), dtype=np.int64)
-        a[counts.column("state").to_numpy()] = counts.column("n").to_numpy()
-        a = a[last]
+        ends = spark.sparkContext.broadcast(last)
+        shards = source.select("words", "states").mapInArrow(_trie_counts(trie, ends, length), "block int, counts binary")
+        a = _shards_sum(shards, len(last))
         good = np.flatnonzero(a >= floor)
         ids = total + 1 + np.arange(len(good))
         total += len(good)
         rows = {"left": left[good], "right": right[good], "a": a[good], "id": ids.astype(np.int32)}
         if len(good):
             frequent.append(stored(spark.createDataFrame(pa.table(rows)), "frequent"))
-        if go_on and len(good):
+        if go_on:
             numbers = np.zeros(len(base), dtype=np.int32)
             numbers[last[good]] = ids
-            schema = "words binary, states binary, next binary"
-            move = _moved(trie, length, spark.sparkContext.broadcast(numbers), len(frequent) == 1)
-            source = stored(source.mapInArrow(move, schema), "positions")
+            final = block == blocks - 1
+            schema = "words binary, next binary" if final else "words binary, states binary, next binary"
+            move = _moved(trie, length, spark.sparkContext.broadcast(numbers), block == 0, final)
+            source = run.stored(source.mapInArrow(move, schema), f"positions-{length + 1}")
+    run.discard(f"positions-{length}")
     if not frequent:
         return None, None
     found = frequent[0]
@@ -324,13 +348,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     words = counts.where(F.col("n") >= floor).select("lang", F.col("word").alias("phrase"), F.col("n").alias("a"))
     known = _with_numbers(words, ["lang", "phrase"], "frequent-1").withColumn("tail", F.col("id"))
     n, n_words = totals.agg(F.sum("n")).first()[0] or 0, known.count()
-    positions = _positions(rows, known)
+    run = Run(docs.sparkSession, "collocations")
+    positions = _positions(rows, known, run)
     found = known.select("lang", "phrase", "a", F.lit(1).alias("length"))
     for length in range(1, longest):
         if not n_words:
             break
         with wide_rows(docs.sparkSession):
-            positions, known = _longer(positions, known, length, n, n_words, floor, length + 1 < longest)
+            positions, known = _longer(positions, known, length, n, n_words, floor, length + 1 < longest, run)
         if known is None:
             break
         found = found.union(known.select("lang", "phrase", "a", F.lit(length + 1).alias("length")))
