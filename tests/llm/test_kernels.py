@@ -128,7 +128,6 @@ def test_encoder_equals_the_library():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     rng = random.Random(5)
     bits = ["a", "a.", "b,", ".", ",", " ", "  ", "é", "\n", "\n\n", "\r", "\t", "don't", "12", "ß ", " x", " ", "　", "!?", "<|endoftext|>", " \n", "汉字", "\x1c", "\x00", "'s", " "]
     texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(12000)] + [x or "" for x in TEXTS]

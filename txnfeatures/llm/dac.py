@@ -118,7 +118,9 @@ class Encoder:
     stop or comma after a letter.  Text is cut into units there, on the bytes of
     many texts at once; the library encodes units not met before (a bounded
     memory holds those that were), and ids are put together by position.
-    A text with unusual white space is one unit.
+    A text with unusual white space is one unit, and so is one that holds an added
+    token of the vocabulary (such as its end marker) literally: the library takes
+    that for the token's id and treats the text around it as texts of their own.
     """
 
     #: White space of Unicode beyond space, tab, line feed and carriage return; lead bytes that it can have.
@@ -132,10 +134,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.markers = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.known: dict[bytes, bytes] = {}
 
-    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def cuts(self, data: np.ndarray, raw: bytes, offsets: np.ndarray) -> np.ndarray:
         """First byte of each unit."""
         white, letter, lead = (np.zeros(256, dtype=bool) for _ in range(3))
         white[list(b" \t\n\r")] = True
@@ -157,6 +159,12 @@ class Encoder:
                     text = bytes(data[a:b]).decode()
                     if any(c in text for c in self.UNUSUAL):
                         cut[a + 1 : b] = False
+        for marker in self.markers:
+            place = raw.find(marker)
+            while place >= 0:
+                text = np.searchsorted(offsets, place, "right") - 1
+                cut[offsets[text] + 1 : offsets[text + 1]] = False
+                place = raw.find(marker, max(int(offsets[text + 1]), place + 1))
         return np.flatnonzero(cut)
 
     def distinct(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,10 +181,10 @@ class Encoder:
         """Ids of texts given as bytes and offsets, and the ids' offsets by text."""
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
-        starts = self.cuts(data, offsets)
+        raw = data.tobytes()
+        starts = self.cuts(data, raw, offsets)
         ends = np.append(starts[1:], len(data))
         index, kind = self.distinct(data, starts, ends)
-        raw = data.tobytes()
         units = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())]
         if len(self.known) > CACHE:
             self.known.clear()
