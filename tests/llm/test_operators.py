@@ -153,7 +153,6 @@ def test_token_codes(docs, rows, spark):
 
     path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     uri = write_codes(docs, path, segment_tokens=500)
     want = sorted(((d, [*plain.encode(t or "", add_special_tokens=False).ids, 0]) for d, t in rows), key=lambda x: (x[0] is not None, x[0] or 0))
     found = sorted(read_codes(spark, uri).collect(), key=lambda r: r.start)
@@ -256,6 +255,28 @@ def test_templates(spark, empty):
     assert drop_templates(empty).count() == 0
 
 
+def test_short_and_rare_lines_recur_token_for_token(spark):
+    from txnfeatures.llm.templates import drop_templates
+
+    rng = random.Random(4)
+    docs = []
+    for i in range(40):
+        lines = [prose(rng, 9, 10**6), "Read  more", prose(rng, 9, 10**6), f"Page {i}", "Share"]
+        if i in (3, 17):
+            lines.append("Licensed under terms of the 3rd edition")
+        if i == 5:
+            lines += ["only here twice", "only here twice"]
+        if i < 9:
+            lines.append(f"Chapter {i} of nine")
+        docs.append((i, "\n".join(lines)))
+    for r in drop_templates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect():
+        # "Page <n>" recurs in forty texts, "Chapter <n> of nine" in one too few; a line twice in one text does not recur
+        lines = dict(docs)[r.doc_id].split("\n")
+        gone = ("Read", "Page", "Share", "Licensed")
+        assert r.text.split("\n") == [x for x in lines if not x.startswith(gone)]
+        assert r.n_dropped == 3 + (r.doc_id in (3, 17))
+
+
 def test_pipeline_keeps_one_row_of_each_group(spark):
     """Rows equal in id and text, ids shared by different texts, and groups without ids."""
     import corpus_pipeline

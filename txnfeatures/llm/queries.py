@@ -254,6 +254,7 @@ leafed AS (
   FROM tokens WHERE len(tokens) > 0),
 found AS (
   SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT text) >= 10)),
+same AS (SELECT line FROM leafed GROUP BY line HAVING count(DISTINCT text) >= 2),
 parsed AS (
   SELECT leaf, line, docs, unnest(range(len(tokens))) AS pos,
     unnest(list_transform(tokens, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END)) AS token
@@ -263,11 +264,13 @@ agreed AS (
 templates AS (
   SELECT p.leaf, p.line, string_agg(coalesce(a.token, '<*>'), ' ' ORDER BY p.pos) AS fields
   FROM parsed p LEFT JOIN agreed a ON a.leaf = p.leaf AND a.pos = p.pos AND a.token = p.token
-  GROUP BY 1, 2 HAVING count(a.token) >= 3 AND 100 * count(a.token) >= 50 * count(*)),
+  GROUP BY 1, 2 HAVING 100 * count(a.token) >= 50 * count(*)),
 named AS (
   SELECT f.doc_id, f.text, f.pos, t.leaf, t.fields FROM found f JOIN templates t ON t.leaf = f.leaf AND t.line = f.line),
 common AS (SELECT leaf, fields FROM named GROUP BY 1, 2 HAVING count(DISTINCT text) >= 10),
-gone AS (SELECT DISTINCT doc_id, text, pos FROM named JOIN common USING (leaf, fields)),
+gone AS (
+  SELECT doc_id, text, pos FROM named JOIN common USING (leaf, fields)
+  UNION SELECT doc_id, text, pos FROM leafed JOIN same USING (line)),
 kept AS (
   SELECT l.doc_id, l.text, count(*) AS n_lines, count(g.pos) AS n_dropped,
     coalesce(string_agg(CASE WHEN g.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos), '') AS rest

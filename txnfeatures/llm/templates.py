@@ -3,12 +3,17 @@
 The tree has a fixed depth: a line's leaf is its number of tokens and its first
 ``DEPTH`` tokens, those with a digit replaced by a wildcard.  Inside a leaf a
 token stays in the template where enough lines agree on it at its position; any
-other position is a variable field.  A template that recurs in enough documents
-is dropped from all of them; lines whose template is mostly variable are never.
+other position is a variable field.  A template recurs, and its lines are
+dropped from all documents, on two grounds:
 
-Only leaves that recur are parsed further, and equal lines are one row with a
-count before any of their tokens is looked at, so a line that a third of the
-documents share costs as much as a rare one.
+* without any variable field it is one line, token for token: two different
+  texts that hold it are enough, however short it is;
+* with variable fields it takes ``MIN_DOCS`` different texts, and at least half
+  of its tokens must be fixed, so that lines alike in their shape alone stay.
+
+Only leaves that recur are looked into, and equal lines are one row with a
+count before any of their tokens is, so a line that a third of the documents
+share costs as much as a rare one.
 """
 
 from __future__ import annotations
@@ -19,10 +24,12 @@ from pyspark.sql import functions as F
 from txnfeatures.llm.store import stored
 
 DEPTH = 3
-#: Documents in which a template recurs; lines that agree on a token for it to be part of a template.
+#: Different texts in which a line recurs token for token.
+MIN_TEXTS = 2
+#: Different texts in which a template with fields recurs; lines that agree on a token for it to be part of a template.
 MIN_DOCS = 10
-#: Fixed tokens that a template has at least, and their least per cent of its tokens.
-MIN_FIXED, FIXED_PERCENT = 3, 50
+#: Fixed tokens of a template with fields, in per cent of its tokens.
+FIXED_PERCENT = 50
 WILD = "<*>"
 TOKEN = r"([^\x20\x09-\x0D]+)"
 
@@ -37,12 +44,14 @@ def drop_templates(
     text_col: str = "text",
     depth: int = DEPTH,
     min_docs: int = MIN_DOCS,
+    min_texts: int = MIN_TEXTS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_lines``, ``n_dropped`` and the ``text`` that is left.
 
-    Lines are split at ``\\n``; the ones kept are joined by it again.  A template
-    recurs when ``min_docs`` different texts have a line of it: exact copies of
-    a document count once.  A null text stays null with 0 lines, an empty one
+    Lines are split at ``\\n``; the ones kept are joined by it again.  A line goes
+    when ``min_texts`` different texts have it token for token, or ``min_docs``
+    have a line of its template: exact copies of a document count once, near
+    copies are different texts and lose what they share.  A null text stays null with 0 lines, an empty one
     has one empty line; lines without tokens are never dropped.  Ids may be null
     or repeated; rows with equal id and text get equal results.  Other columns are ignored.
     """
@@ -53,17 +62,21 @@ def drop_templates(
     lead = F.transform(F.slice("tokens", 1, depth), masked)
     lines = lines.withColumn("leaf", F.concat_ws(" ", F.size("tokens").cast("string"), lead))
     recurring = lines.select("leaf", "seen").distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
-    leaves = stored(recurring.where(F.col("docs") >= min_docs).select("leaf"), "leaves")
+    enough = F.col("docs") >= min(min_texts, min_docs)
+    leaves = stored(recurring.where(enough).select("leaf", (F.col("docs") >= min_docs).alias("wide")), "leaves")
     # The planner broadcasts the leaves where they are few, by its own limit, and shuffles otherwise.
     found = stored(
-        lines.join(leaves, "leaf", "left_semi").select(
-            "doc", "seen", "pos", "leaf", "tokens", F.md5(F.concat_ws(" ", "tokens").cast("binary")).alias("line")
+        lines.join(leaves, "leaf").select(
+            "doc", "seen", "pos", "leaf", "wide", "tokens", F.md5(F.concat_ws(" ", "tokens").cast("binary")).alias("line")
         ),
         "lines",
     )
-    distinct = found.select("leaf", "line", "seen", "tokens").groupBy("leaf", "line", "seen").agg(F.first("tokens").alias("tokens"))
-    distinct = distinct.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.first("tokens").alias("tokens"))
-    parsed = stored(distinct.select("leaf", "line", "docs", F.posexplode("tokens").alias("at", "token")).withColumn("token", masked(F.col("token"))), "tokens")
+    distinct = found.groupBy("leaf", "line", "seen").agg(F.first("tokens").alias("tokens"), F.first("wide").alias("wide"))
+    distinct = distinct.groupBy("leaf", "line").agg(
+        F.count("*").alias("docs"), F.first("tokens").alias("tokens"), F.first("wide").alias("wide")
+    )
+    distinct = stored(distinct.where(F.col("wide") | (F.col("docs") >= min_texts)), "distinct")
+    parsed = distinct.where("wide").select("leaf", "line", "docs", F.posexplode(F.transform("tokens", masked)).alias("at", "token"))
     agreed = parsed.where(F.col("token") != WILD).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("lines"))
     agreed = agreed.where(F.col("lines") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("fixed"))
     general = parsed.join(agreed, ["leaf", "at", "token"], "left")
@@ -75,13 +88,16 @@ def drop_templates(
             F.count("fixed").alias("n_fixed"),
             F.count("*").alias("n"),
         )
-        .where((F.col("n_fixed") >= MIN_FIXED) & (100 * F.col("n_fixed") >= FIXED_PERCENT * F.col("n")))
+        .where(100 * F.col("n_fixed") >= FIXED_PERCENT * F.col("n"))
         .select("leaf", "line", "fields")
     )
-    named = stored(found.select("doc", "seen", "pos", "leaf", "line").join(stored(templates, "templates"), ["leaf", "line"]), "named")
-    counts = named.select("leaf", "fields", "seen").distinct().groupBy("leaf", "fields").agg(F.count("*").alias("docs"))
-    common = stored(counts.where(F.col("docs") >= min_docs).select("leaf", "fields"), "common")
-    dropped = named.join(common, ["leaf", "fields"], "left_semi").groupBy("doc", "seen").agg(F.collect_set("pos").alias("gone"))
+    same = distinct.select("leaf", "line", (F.col("docs") >= min_texts).alias("same"))
+    kinds = same.join(templates, ["leaf", "line"], "left").where(F.col("same") | F.col("fields").isNotNull())
+    named = stored(found.select("doc", "seen", "pos", "leaf", "line").join(stored(kinds, "templates"), ["leaf", "line"]), "named")
+    counts = named.where("fields IS NOT NULL").select("leaf", "fields", "seen").distinct().groupBy("leaf", "fields")
+    common = counts.agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf", "fields", F.lit(True).alias("common"))
+    dropped = named.join(stored(common, "common"), ["leaf", "fields"], "left").where(F.col("same") | F.col("common"))
+    dropped = dropped.groupBy("doc", "seen").agg(F.collect_set("pos").alias("gone"))
     dropped = stored(dropped.withColumnsRenamed({"doc": "in_doc", "seen": "in_seen"}), "dropped")
     out = source.join(dropped, F.col("doc").eqNullSafe(F.col("in_doc")) & (F.col("seen") == F.col("in_seen")), "left")
     every = F.split("text", "\n", -1)
