@@ -6,11 +6,11 @@ of states: the frequent phrase of the last level that starts at each position.
 For the next level
 
 1. *Candidates.*  A longer phrase can only be frequent where a frequent phrase
-   starts at its first and at its second word.  Such pairs of states are hashed
-   into about one bucket for every ``LOAD`` positions and counted by bucket; a
-   pair is a candidate only if its bucket reaches the floor (a bucket's count is
-   never below that of a member).  A bitmap of fixed size tells tasks which
-   pairs may be in such buckets; they return those, once each.
+   starts at its first and at its second word.  Tasks hand on such pairs of
+   states, each once in about ``AT_ONCE``, and Spark deals them to about one
+   bucket for every ``LOAD`` positions, where equal pairs become one row; a pair
+   is a candidate only if its bucket reaches the floor (a bucket's count is
+   never below that of a member).
 2. *Counting.*  A double-array trie of the candidates is broadcast: from the
    state of a position, by the digits of the word that follows, to the
    candidate.  Tasks advance all positions at once, count accepting states with
@@ -35,11 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from txnfeatures.llm import bitmap
 from txnfeatures.llm.doublearray import advance, digits_of, step_trie
 from txnfeatures.llm.first import first_rows
 from txnfeatures.llm.store import Run, stored, text_batches, wide_rows
-from txnfeatures.llm.words import BASE, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -155,11 +153,6 @@ def _pairs(states: np.ndarray) -> np.ndarray:
     return (states[both].astype(np.uint64) << np.uint64(32)) | states[both + 1].astype(np.uint64)
 
 
-def _bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(pairs * np.uint64(BASE)) & np.uint64(buckets - 1)
-
-
 def _pair_sets(batches):
     """Pairs of frequent phrases, about ``AT_ONCE`` at a time: sorted, each once, and how often."""
     held, n = [], 0
@@ -174,26 +167,9 @@ def _pair_sets(batches):
         yield np.unique(np.concatenate(held), return_counts=True)
 
 
-def _bucket_counts(buckets: int):
-    def counted(batches):
-        for pairs, n in _pair_sets(batches):
-            columns = [pa.array(_bucket(pairs, buckets).view(np.int64)), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n"])
-
-    return counted
-
-
-def _seen_pairs(packed, buckets: int):
-    """Pairs whose bucket may have reached the floor, with their bucket."""
-
-    def seen(batches):
-        for pairs, _ in _pair_sets(batches):
-            at = _bucket(pairs, buckets)
-            keep = bitmap.is_present(packed.value, bitmap.place(at))
-            columns = [pairs[keep] >> np.uint64(32), pairs[keep] & np.uint64(0xFFFFFFFF), at[keep]]
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["left", "right", "bucket"])
-
-    return seen
+def _pair_counts(batches):
+    for pairs, n in _pair_sets(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n, pa.int64())], names=["pair", "n"])
 
 
 def _arrived(words: np.ndarray, states: np.ndarray, length: int, trie) -> np.ndarray:
@@ -286,12 +262,12 @@ def _candidates(positions: DataFrame, known: DataFrame, n: int, floor: int) -> D
     ``tail`` is the id of the last word.
     """
     buckets = 1 << max(10, (n // LOAD).bit_length())
-    # Counted by task already, so rows go to their bucket before they are added up: no task adds up all buckets.
-    counts = positions.select("states").mapInArrow(_bucket_counts(buckets), "bucket bigint, n bigint").repartition("bucket")
-    hot = stored(counts.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= floor).select("bucket"), "buckets")
-    packed = positions.sparkSession.sparkContext.broadcast(bitmap.presence(hot, "bucket"))
-    seen = positions.select("states").mapInArrow(_seen_pairs(packed, buckets), "left bigint, right bigint, bucket bigint")
-    pairs = seen.distinct().join(hot, "bucket", "left_semi")
+    # One exchange: pairs go to their bucket, equal ones are added up there, and the bucket's sum stands beside each.
+    counts = positions.select("states").mapInArrow(_pair_counts, "pair bigint, n bigint")
+    dealt = counts.withColumn("bucket", F.xxhash64("pair").bitwiseAND(buckets - 1)).repartition("bucket")
+    pairs = dealt.groupBy("bucket", "pair").agg(F.sum("n").alias("n"))
+    reached = pairs.withColumn("n", F.sum("n").over(W.partitionBy("bucket"))).where(F.col("n") >= floor)
+    pairs = reached.select(F.shiftright("pair", 32).alias("left"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("right"))
     found = pairs.join(known.select(F.col("id").alias("right"), "tail"), "right").select("left", "right", "tail")
     return _with_numbers(found, ["left", "right"], "candidates")
 
