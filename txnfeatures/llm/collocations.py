@@ -48,7 +48,7 @@ LOAD = 1
 #: Candidates whose counts travel in one row; parts in which the shards' rows are added before they meet.
 WIDTH, PARTS = 4096, 256
 #: Distinct words that a task counts before it hands its counts on; pairs that it counts at once; positions in one stored row, about.
-HELD, AT_ONCE, ROW = 1 << 18, 1 << 20, 1 << 16
+HELD, AT_ONCE, ROW = 1 << 18, 1 << 18, 1 << 16
 UNNAMED = "und"
 
 #: Ends of pieces become a byte that UTF-8 never has; A-Z are lower-cased, tabs are spaces.
@@ -268,6 +268,8 @@ def _candidates(positions: DataFrame, known: DataFrame, n: int, floor: int) -> D
     pairs = dealt.groupBy("bucket", "pair").agg(F.sum("n").alias("n"))
     reached = pairs.withColumn("n", F.sum("n").over(W.partitionBy("bucket"))).where(F.col("n") >= floor)
     pairs = reached.select(F.shiftright("pair", 32).alias("left"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("right"))
+    # Stored, as numbering them samples its input first: the buckets are not gone through twice.
+    pairs = stored(pairs, "pairs")
     found = pairs.join(known.select(F.col("id").alias("right"), "tail"), "right").select("left", "right", "tail")
     return _with_numbers(found, ["left", "right"], "candidates")
 
