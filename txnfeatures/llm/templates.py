@@ -60,23 +60,23 @@ def drop_templates(
     tokens = F.expr(f"regexp_extract_all(line, r'{TOKEN}', 1)")
     lines = lines.withColumn("tokens", tokens).where(F.size("tokens") > 0)
     lead = F.transform(F.slice("tokens", 1, depth), masked)
-    lines = lines.withColumn("leaf", F.concat_ws(" ", F.size("tokens").cast("string"), lead))
+    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), lead)
+    # Tokens travel as one string, a fraction of the array's size.
+    lines = lines.select("doc", "seen", "pos", leaf.alias("leaf"), F.concat_ws(" ", "tokens").alias("body"))
     recurring = lines.select("leaf", "seen").distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
     enough = F.col("docs") >= min(min_texts, min_docs)
     leaves = stored(recurring.where(enough).select("leaf", (F.col("docs") >= min_docs).alias("wide")), "leaves")
     # The planner broadcasts the leaves where they are few, by its own limit, and shuffles otherwise.
     found = stored(
         lines.join(leaves, "leaf").select(
-            "doc", "seen", "pos", "leaf", "wide", "tokens", F.md5(F.concat_ws(" ", "tokens").cast("binary")).alias("line")
+            "doc", "seen", "pos", "leaf", "wide", "body", F.md5(F.col("body").cast("binary")).alias("line")
         ),
         "lines",
     )
-    distinct = found.groupBy("leaf", "line", "seen").agg(F.first("tokens").alias("tokens"), F.first("wide").alias("wide"))
-    distinct = distinct.groupBy("leaf", "line").agg(
-        F.count("*").alias("docs"), F.first("tokens").alias("tokens"), F.first("wide").alias("wide")
-    )
+    key = ["leaf", "line", "wide", "body"]
+    distinct = found.select(*key, "seen").distinct().groupBy(*key).agg(F.count("*").alias("docs"))
     distinct = stored(distinct.where(F.col("wide") | (F.col("docs") >= min_texts)), "distinct")
-    parsed = distinct.where("wide").select("leaf", "line", "docs", F.posexplode(F.transform("tokens", masked)).alias("at", "token"))
+    parsed = distinct.where("wide").select("leaf", "line", "docs", F.posexplode(F.transform(F.split("body", " "), masked)).alias("at", "token"))
     agreed = parsed.where(F.col("token") != WILD).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("lines"))
     agreed = agreed.where(F.col("lines") >= min_docs).select("leaf", "at", "token", F.lit(True).alias("fixed"))
     general = parsed.join(agreed, ["leaf", "at", "token"], "left")
