@@ -216,6 +216,56 @@ def test_source_cap_keeps_shares(spark):
     assert abs(n["a"] - 2000) < 200 and abs(n["b"] - 4000) < 300
 
 
+def largest_remainder(counts, n):
+    total = sum(counts.values())
+    take = {s: c * n // total for s, c in counts.items()}
+    left = n - sum(take.values())
+    for s in sorted(counts, key=lambda s: (-(counts[s] * n % total), (s is not None, s)))[:left]:
+        take[s] += 1
+    return take
+
+
+@pytest.mark.parametrize("small", [100_000, 40])
+def test_exact_cap_by_source(spark, small):
+    """Many sources, one with half of the rows, one null; clashing and extra column names travel."""
+    source = F.when(F.col("id") % 2 == 0, -1).when(F.col("id") % 61 != 0, F.col("id") % 1009)
+    df = spark.range(20_000).select("id", source.cast("int").alias("source"), F.col("id").alias("_row"), F.col("id").alias("h"), F.lit(1).alias("_s"))
+    counts = {r[0]: r[1] for r in df.groupBy("source").count().collect()}
+    for n in (1, 777, 7001):
+        out = SP.cap_rows_exact(df, n, "id", small=small)
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert len({r["id"] for r in rows}) == len(rows) == n and all(r["id"] == r["_row"] == r["h"] for r in rows)
+        kept = {s: 0 for s in counts}
+        for r in rows:
+            kept[r["source"]] += 1
+        assert kept == largest_remainder(counts, n)
+    again = SP.cap_rows_exact(df.repartition(3), 7001, "id", small=40)
+    assert {r["id"] for r in again.collect()} == {r["id"] for r in rows}
+
+
+def test_exact_cap_edges(spark):
+    df = spark.range(10).select("id", F.lit("a").alias("source"))
+    assert SP.cap_rows_exact(df, 0, "id").count() == 0
+    assert SP.cap_rows_exact(df, 99, "id").count() == 10
+    assert SP.cap_rows_exact(df.limit(0), 5, "id").count() == 0
+
+
+def test_exact_cap_jobs_do_not_grow_with_sources(spark):
+    def jobs(sources):
+        tag = f"cap-{sources}"
+        spark.sparkContext.setJobGroup(tag, tag)
+        try:
+            df = spark.range(30_000).select("id", (F.col("id") % sources).alias("source"))
+            assert SP.cap_rows_exact(df, 10_000, "id").count() == 10_000
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    few, many = jobs(3), jobs(10_000)
+    assert many <= few + 4
+
+
 def test_encoding_refuses_many_levels(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError, match="more than 10 levels"):
@@ -368,6 +418,61 @@ def test_replica_failure_is_reported(spark, tmp_path):
         W.write_replicated(spark.range(5).toDF("x"), [str(tmp_path / "file" / "b"), str(tmp_path / "c")])
 
 
+def test_replicas_are_compared_by_content(spark, tmp_path):
+    rows = [(1, "a", None, {"x": 1, "y": 2}), (1, "a", None, {"x": 1, "y": 2}), (2, None, "a", {}), (3, "c", "d", None)]
+    df = spark.createDataFrame(rows, "k int, s string, t string, m map<string,int>")
+    other = {
+        "first": df,
+        "reordered": df.orderBy(F.desc("k")).select("m", "t", "s", "k"),
+        "one value": df.withColumn("s", F.when(F.col("k") == 3, "C").otherwise(F.col("s"))),
+        "null moved": spark.createDataFrame([*rows[:2], (2, "a", None, {}), rows[3]], df.schema),
+        "pair swapped": spark.createDataFrame([rows[2], rows[2], rows[2], rows[3]], df.schema),
+        "pair gone": spark.createDataFrame(rows[2:], df.schema),
+    }
+    uris = [str(tmp_path / name) for name in other]
+    for uri, copy in zip(uris, other.values()):
+        copy.write.parquet(uri)
+    found = W.check_replicas(spark, [*uris, str(tmp_path / "missing")], df.schema).collect()
+    assert [r["same"] for r in found] == [True, True, False, False, False, False, None]
+    assert found[5]["rows"] == 2 and found[6]["error"]
+    empty = [str(tmp_path / "e1"), str(tmp_path / "e2")]
+    status = W.write_replicated(df.limit(0), empty)
+    assert [(r["rows"], r["ok"]) for r in status.collect()] == [(0, True)] * 2
+    assert [r["same"] for r in W.check_replicas(spark, empty, df.schema).collect()] == [True, True]
+
+
+def test_replica_of_a_changed_primary_is_not_ok(spark, tmp_path, monkeypatch):
+    """Rows that the primary gives back otherwise than they were written."""
+    df = spark.range(20).select(F.rand().alias("x"))
+    uris = [str(tmp_path / "a"), str(tmp_path / "b")]
+
+    def one_after_the_other(spark, uris, write):
+        write(uris[0])
+        spark.range(20).select(F.lit(0.5).alias("x")).write.mode("overwrite").parquet(uris[0])
+        with pytest.raises(ValueError, match="not the rows written"):
+            write(uris[1])
+
+    monkeypatch.setattr(W, "replicate", one_after_the_other)
+    W.write_replicated(df, uris)
+
+
+def test_header_census(spark, tmp_path):
+    for i in range(40):
+        layout = [("amount,user", f"{i}.5,s{i}"), ("user,amount,extra", f"s{i},{i}.5,z")][i % 2]
+        (tmp_path / f"part {i}.csv").write_text("\n".join(layout) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank first.csv").write_text("\namount,user\n99.5,s99\n")
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "x.csv").write_text("amount,user\n7.25,deep\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    census = RD.header_census(spark, str(tmp_path))
+    assert sorted(len(paths) for paths in census) == [20, 22]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    both = RD.read_csv(spark, str(tmp_path), "amount double", mixed_headers=True)
+    assert {r["user"]: r["amount"] for r in both.collect()} == {f"s{i}": i + 0.5 for i in [*range(40), 99]} | {"deep": 7.25}
+    assert both.where("extra = 'z'").count() == 20
+
+
 def test_csv_is_read_by_column_name(spark, tmp_path):
     (tmp_path / "in.csv").write_text("Class,Amount,Extra\n1,2.5,z\n0,3,y\n")
     df = RD.read_csv(spark, str(tmp_path / "in.csv"), "Amount double, Class int")

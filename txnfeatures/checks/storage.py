@@ -13,7 +13,7 @@ from txnfeatures.checks import tables as t
 from txnfeatures.checks.evaluation import ORACLES as EVALUATION_SQL
 from txnfeatures.checks.features import datasets_sql, universal, universal_sql
 from txnfeatures.operators.evaluation import evaluate
-from txnfeatures.operators.sampling import cap_rows, cap_rows_by_source, head, stratified_split
+from txnfeatures.operators.sampling import cap_rows, cap_rows_by_source, cap_rows_exact, head, stratified_split
 from txnfeatures.schema import FINANCIAL
 from txnfeatures.sources import readers as R
 from txnfeatures.sources import writers as W
@@ -73,6 +73,14 @@ def row_cap_by_source(spark, sf_dir):
     return both.groupBy("source").agg(n.alias("n_rows"), (F.abs(2 * kept - n) <= 6 * F.sqrt(n)).alias("kept_half"))
 
 
+def row_cap_exact(spark, sf_dir):
+    """Cap to a third of the rows: rows kept of each source (customer), all of them the source's own."""
+    df = t.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("source"))
+    capped = cap_rows_exact(df, df.count() // 3, "o_orderkey").withColumn("kept", F.lit(1))
+    both = df.join(capped, ["o_orderkey", "source"], "full")
+    return both.groupBy("source").agg(F.count("*").alias("n_rows"), F.count("kept").alias("n_kept"))
+
+
 def write_scores(spark, sf_dir):
     uri = W.scratch_uri(spark, "scores")
     W.write_scores(t.scored(spark, sf_dir), uri)
@@ -98,6 +106,23 @@ def write_replicated(spark, sf_dir):
     return out
 
 
+def replica_check(spark, sf_dir):
+    """A copy in another order is the same; a copy with one value changed, or with one row twice in place of another, is not."""
+    orders = t.table(spark, sf_dir, "orders")
+    least, most = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    copies = {
+        "primary": orders,
+        "reordered": orders.repartition(5, "o_custkey"),
+        "changed": orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") == least, -1.0).otherwise(F.col("o_totalprice"))),
+        "repeated": orders.where(F.col("o_orderkey") != most).unionByName(orders.where(F.col("o_orderkey") == least)),
+    }
+    uris = {W.scratch_uri(spark, name): name for name in copies}
+    for uri, name in uris.items():
+        copies[name].write.parquet(uri)
+    name_of = F.create_map(*[F.lit(x) for pair in uris.items() for x in pair])
+    return W.check_replicas(spark, list(uris), orders.schema).select(name_of[F.col("uri")].alias("copy"), F.col("rows").alias("n_rows"), "same")
+
+
 def concat_by_name(spark, sf_dir):
     events = t.table(spark, sf_dir, "events").select("event_id", "value")
     orders = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), "o_orderstatus")
@@ -125,10 +150,12 @@ QUERIES = {
     "scan_features": scan_features,
     "row_cap": row_cap,
     "row_cap_by_source": row_cap_by_source,
+    "row_cap_exact": row_cap_exact,
     "scan_score_input": scan_score_input,
     "write_scores": write_scores,
     "write_metrics": write_metrics,
     "write_replicated": write_replicated,
+    "replica_check": replica_check,
     "concat_by_name": concat_by_name,
     "head": head_rows,
     "stratified_split": split,
@@ -145,11 +172,20 @@ ORACLES = {
     "row_cap": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 1200",
     "row_cap_by_source": f"""WITH {t.CARD_FRAUD_SQL}
       SELECT CAST(IsFraud AS VARCHAR) AS source, count(*) AS n_rows, TRUE AS kept_half FROM card_fraud GROUP BY 1""",
+    "row_cap_exact": """WITH c AS (SELECT o_custkey AS source, count(*) AS n_rows FROM orders GROUP BY 1),
+      s AS (SELECT *, CAST(sum(n_rows) OVER () AS BIGINT) AS total, total // 3 AS n FROM c),
+      f AS (SELECT *, n_rows * n // total AS whole, n_rows * n % total AS rest FROM s)
+      SELECT source, n_rows, whole + CAST(row_number() OVER (ORDER BY rest DESC, source) <=
+        n - CAST(sum(whole) OVER () AS BIGINT) AS BIGINT) AS n_kept FROM f""",
     "scan_score_input": 'SELECT CAST(event_id AS INTEGER) AS transaction_id, value AS "Amount" FROM events',
     "write_scores": f"WITH {t.SCORED_SQL} SELECT label, round(probability, 6) AS probability, prediction FROM scored",
     "write_metrics": EVALUATION_SQL["evaluation_metrics"],
     "write_replicated": """SELECT 'primary' AS copy, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS sum_key FROM orders
       UNION ALL SELECT 'secondary', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders""",
+    "replica_check": """SELECT 'primary' AS copy, count(*) AS n_rows, TRUE AS same FROM orders
+      UNION ALL SELECT 'reordered', count(*), TRUE FROM orders
+      UNION ALL SELECT 'changed', count(*), FALSE FROM orders
+      UNION ALL SELECT 'repeated', count(*), FALSE FROM orders""",
     "concat_by_name": """SELECT event_id, value, NULL::VARCHAR AS o_orderstatus FROM events
       UNION ALL SELECT o_orderkey, NULL, o_orderstatus FROM orders""",
     "head": """SELECT event_id AS row_id, value AS amount, event_type = 'error' AS is_fraud
