@@ -359,7 +359,7 @@ def test_decontamination(spark, empty):
         docs.append((i, " ".join(words).upper() if i % 2 else " ".join(words)))
     docs += [(None, items[0][1]), (70, None), (71, ""), (72, items[1][1]), (72, items[1][1])]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    found = matches(frame, bench, item_block=5).collect()
+    found = matches(frame, bench, pack=5).collect()
     assert {(r.doc_id, r.item_id) for r in found} == want | {(None, 0), (72, 1)}
     assert sum(r.doc_id == 72 for r in found) == 2
     for r in found:
@@ -394,12 +394,42 @@ def test_decontamination_finds_evenly_edited_copies(spark):
         if 100 * brute.smith_waterman(brute.words(x), brute.words(t)) >= 60 * 2 * len(x.split())
     }
     found = matches(
-        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), item_block=4
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), pack=4
     ).collect()
     assert {(r.doc_id, r.item_id) for r in found} == want
     assert sum(i == 0 for _, i in want) >= 12 and sum(i is None for _, i in want) >= 12
 
 
+def test_decontamination_of_equal_texts_and_common_pairs(spark):
+    """A third of the rows is one text that holds an item; every text and item shares its commonest pairs; against alignment of all pairs."""
+    from txnfeatures.llm.decontaminate import candidates, matches
+    from txnfeatures.llm.store import Run
+
+    rng = random.Random(5)
+    stock = "of the people in this land and of the sea".split()
+    items = [(i % 7, " ".join(stock + prose(rng, 12, 400).split() + stock[:4])) for i in range(9)] + [(8, None), (9, "of the")]
+    items.append(items[0])
+    same = " ".join(stock * 3 + items[3][1].split() + stock * 2)
+    docs = [(i, same) for i in range(40)] + [(None, same)]
+    docs += [(100 + i, " ".join(stock * 4 + prose(rng, 60, 400).split())) for i in range(40)]
+    docs += [(200, " ".join(stock * 4000 + items[5][1].split() + stock)), (201, None), (202, " \n")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("u", F.lit(1)).withColumn("seen", F.lit("x"))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = Counter()
+    for d, t in docs:
+        if t is not None and len(t) < 10_000:
+            for i, x in items:
+                if x and 100 * brute.smith_waterman(brute.words(x), brute.words(t)) >= 60 * 2 * len(x.split()):
+                    want[(d, i)] = 1
+    found = matches(frame, bench).where("item_id != 9").collect()
+    short = {k for k in want if k[1] != 9}
+    assert {(r.doc_id, r.item_id) for r in found if r.doc_id != 200} == short
+    assert (200, items[5][0]) in {(r.doc_id, r.item_id) for r in found}
+    units = bench.where("text IS NOT NULL").select(F.xxhash64("text").alias("u"), "text").distinct()
+    texts = frame.select(F.xxhash64("text").alias("seen"), F.xxhash64(F.lit(1), "text").alias("check"), "text")
+    assert candidates(texts, units, Run(spark, "seeds"), 60, 3).groupBy("seen").agg(F.max("pack")).count() > 0
+
+
 def test_chat(spark):
     from txnfeatures.llm.chat import digest, format_turns, read_turns
 

@@ -1,15 +1,17 @@
-"""Benchmark decontamination: word-pair seeds, then local alignment.
-
-Test items are cut into blocks of a fixed number of items, which bounds what is
-broadcast; every block meets all documents, and texts are never shuffled.  All
-pairs of neighbouring words of an item are its seeds.  An alignment that keeps
-``least_percent`` of the full score loses no more than the rest of it, and each
-pair it does not keep costs at least one point, so it keeps a known number of
-pairs on a stretch of known length: only places with that many hits open a
-window, and no alignment above the threshold is without one.  Items so short
-that no pair need be kept have single words as seeds.  Windows of the same item
-that overlap are merged, and Smith-Waterman alignment of the words scores the
-window.  Copies with words changed, left out or put in still align.
+"""Benchmark decontamination: rare word pairs as seeds, joined with the texts, then local alignment.
+
+An alignment that keeps ``least_percent`` of the full score loses no more than
+the rest of it, and each pair of neighbouring words of the item that it does not keep costs at
+least one point.  So of any ``loss + m`` pairs of an item it keeps ``m``: the
+rarest so many, by the texts that hold them, are the item's seeds, and a text
+that holds fewer than ``m`` of them holds no copy.  Seeds and the word pairs of texts meet in one
+join on the pair's hash, however many items there are; a bitmap of fixed size
+spares the shuffle pairs that no item has.  Texts with enough seeds of an item
+meet the item's words, each distinct text once.  There all pairs of the item show where as many lie
+together as an alignment keeps, and Smith-Waterman alignment of the words scores
+these windows.  No alignment above the threshold is lost on the way.  Items so
+short that no pair need be kept go by single words.  Copies with words changed,
+left out or put in still align.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from txnfeatures.llm.store import stored
+from txnfeatures.llm.bitmap import is_present, place, presence
+from txnfeatures.llm.store import Run, stored
 from txnfeatures.llm.words import Words, run_hashes, text_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,18 +35,20 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least share, in per cent, of the score of an exact copy of the whole item.
 LEAST_PERCENT = 60
-#: Items in one broadcast block; an item's words are its own bound.
-ITEM_BLOCK = 20_000
-#: Windows aligned at once.
-AT_ONCE = 2048
+#: Seeds that a text must hold, where an alignment keeps as many.
+SEEDS = 3
+#: About as many items meet a text in one row; a text with more is repeated.
+PACK = 1024
+#: Windows aligned at once, and cells of theirs (a wider window goes by itself).
+AT_ONCE, CELLS = 2048, 1 << 20
 #: Seed hits looked at together; the hits of one text are never split.
 HITS = 1 << 21
 
 
 class Items:
-    """A block of test items as word hashes and seeds; ``times``: how often an item is in the benchmark."""
+    """Test items as word hashes, and the word pairs (or words) to look for."""
 
-    def __init__(self, ids: list[int | None], texts: list[str], times: list[int], least_percent: int):
+    def __init__(self, texts: list[str], least_percent: int):
         words, grams = [], {1: [], 2: []}
         for _, rows, data, offsets in text_chunks(pa.array(texts, pa.large_string())):
             w = Words(data, offsets)
@@ -51,7 +57,7 @@ class Items:
             for size in grams:
                 g, at = run_hashes(h, w.first, size)
                 grams[size] += [g[at[i] : at[i + 1]] for i in range(rows)]
-        self.ids, self.times, self.words = ids, times, words
+        self.words = words
         self.lengths = np.array([len(w) for w in words], dtype=np.int64)
         #: Most points an alignment may lose; each lost pair costs at least one.
         self.loss = (100 - least_percent) * MATCH * self.lengths // 100
@@ -61,6 +67,10 @@ class Items:
         self.need = np.where(pairs > 0, pairs, np.maximum(-(-least_percent * self.lengths // 100), 1))
         self.seeds = {n: self._sorted([g if size[i] == n else g[:0] for i, g in enumerate(found)]) for n, found in grams.items()}
 
+    def wanted(self, size: int, item: np.ndarray) -> np.ndarray:
+        """Rarest pairs (words) of each item of which :data:`SEEDS`, or as many as are kept, are in any copy."""
+        return self.lengths[item] - (size - 1) - self.need[item] + np.minimum(SEEDS, self.need[item])
+
     @staticmethod
     def _sorted(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, item, place in the item), sorted by hash."""
@@ -124,8 +134,8 @@ def _dense(items: Items, text: np.ndarray, item: np.ndarray, place: np.ndarray,
     return text[live], item[live], place[live], at[live]
 
 
-def _windows(items: Items, size: int, hashes: np.ndarray, firsts: np.ndarray):
-    """(text, item, low, high) of the words to align, for some texts at a time."""
+def _windows(items: Items, size: int, hashes: np.ndarray, firsts: np.ndarray, pairs: np.ndarray):
+    """(text, item, low, high) of the words to align, for some texts at a time; ``pairs``: sorted text * items + item."""
     gram, of_item, at_item = items.seeds[size]
     if not len(gram):
         return
@@ -142,6 +152,11 @@ def _windows(items: Items, size: int, hashes: np.ndarray, firsts: np.ndarray):
             continue
         seed = np.arange(len(hit)) - np.repeat(np.cumsum(some) - some, some) + left[start_at + hit]
         text = np.searchsorted(at, start_at + hit, side="right") - 1
+        code = text * len(items.words) + of_item[seed]
+        asked = pairs[np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)] == code
+        hit, seed, text = hit[asked], seed[asked], text[asked]
+        if not len(hit):
+            continue
         text, item, place, begin = _dense(items, text, of_item[seed], start_at + hit - at[text], at_item[seed])
         if not len(text):
             continue
@@ -158,22 +173,76 @@ def _windows(items: Items, size: int, hashes: np.ndarray, firsts: np.ndarray):
         yield text, item, np.maximum(low - more, 0), np.minimum(high + more, np.diff(firsts)[text])
 
 
-def _matching(shared, least_percent: int):
+def _item_grams(least_percent: int):
+    """Of texts of items (key, text): key, size and hash of each seed, its place, how many an item needs, how many a text must hold."""
+
+    def grams(batches):
+        for batch in batches:
+            items = Items(batch.column(1).to_pylist(), least_percent)
+            for size, (gram, item, at) in items.seeds.items():
+                if len(gram):
+                    least = np.minimum(SEEDS, items.need[item])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(item)), pa.array(np.full(len(gram), size, np.int32)), pa.array(gram.view(np.int64)),
+                         pa.array(at), pa.array(items.wanted(size, item)), pa.array(least)],
+                        names=["u", "size", "gram", "at", "wanted", "least"],
+                    )
+
+    return grams
+
+
+def _text_grams(shared):
+    """Of texts (seen, check, text): each distinct pair (or word) of a text that some item may have."""
+
+    def grams(batches):
+        bitmaps = shared.value
+        for batch in batches:
+            keys = batch.column(0), batch.column(1)
+            for first, _, data, offsets in text_chunks(batch.column(2)):
+                words = Words(data, offsets)
+                hashes = words.hashes()
+                for size, packed in bitmaps.items():
+                    found, at = run_hashes(hashes, words.first, size)
+                    hit = np.flatnonzero(is_present(packed, place(found)))
+                    if not len(hit):
+                        continue
+                    text, found = np.searchsorted(at, hit, side="right") - 1, found[hit]
+                    order = np.lexsort((found, text))
+                    text, found = text[order], found[order]
+                    new = np.concatenate(([True], (np.diff(text) != 0) | (found[1:] != found[:-1])))
+                    row = pa.array(text[new] + first)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(k.take(row) for k in keys), pa.array(np.full(len(row), size, np.int32)), pa.array(found[new].view(np.int64))],
+                        names=["seen", "check", "size", "gram"],
+                    )
+
+    return grams
+
+
+def _matching(least_percent: int):
+    """Alignments of texts (seen, check, text, items) with the items (key, text) named beside each."""
+
     def matching(batches):
-        items = shared.value
         for batch in batches:
-            docs = batch.column(0), batch.column(2)
-            for first, _, data, offsets in text_chunks(batch.column(1)):
+            keys, lists = (batch.column(0), batch.column(1)), batch.column(3)
+            flat = lists.flatten()
+            us, texts = flat.field(0).to_numpy(), flat.field(1)
+            codes, at, of_code = np.unique(us, return_index=True, return_inverse=True)
+            items = Items(texts.take(pa.array(at)).to_pylist(), least_percent)
+            row_of = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            for first, rows, data, offsets in text_chunks(batch.column(2)):
                 words = Words(data, offsets)
                 hashes = words.hashes()
+                mine = (row_of >= first) & (row_of < first + rows)
+                pairs = np.unique((row_of[mine] - first) * len(codes) + of_code[mine])
                 for size in items.seeds:
-                    for found in _windows(items, size, hashes, words.first):
-                        yield from _aligned(docs, first, words, hashes, items, *found, least_percent)
+                    for found in _windows(items, size, hashes, words.first, pairs):
+                        yield from _aligned(keys, codes, first, words, hashes, items, *found, least_percent)
 
     return matching
 
 
-def _aligned(docs, first, words, hashes, items, text, item, low, high, least_percent):
+def _aligned(keys, codes, first, words, hashes, items, text, item, low, high, least_percent):
     out = []
     for one in np.unique(item):
         mine = np.flatnonzero(item == one)
@@ -183,7 +252,9 @@ def _aligned(docs, first, words, hashes, items, text, item, low, high, least_per
         start, seen = 0, set()
         while start < len(mine):
             stop = min(start + AT_ONCE, len(mine))
-            while stop > start + 1 and (high - low)[mine[stop - 1]] > 2 * (high - low)[mine[start]]:
+            while stop > start + 1 and (
+                (high - low)[mine[stop - 1]] > 2 * (high - low)[mine[start]] or (stop - start) * (high - low)[mine[stop - 1]] > CELLS
+            ):
                 stop = start + max(1, (stop - start) // 2)
             part, start = mine[start:stop], stop
             width = int((high - low)[part].max())
@@ -193,36 +264,33 @@ def _aligned(docs, first, words, hashes, items, text, item, low, high, least_per
             best, end = align(own, grid)
             good = np.flatnonzero(100 * best.astype(np.int64) >= least_percent * full)
             for g in good:
-                place = int(text[part[g]]), int(low[part[g]] + end[g] + 1)
-                if place not in seen:  # windows beside each other may reach the same alignment
-                    seen.add(place)
-                    out += [(first + place[0], one, int(best[g]), full, place[1])] * items.times[one]
+                at = int(text[part[g]]), int(low[part[g]] + end[g] + 1)
+                if at not in seen:  # windows beside each other may reach the same alignment
+                    seen.add(at)
+                    out.append((first + at[0], codes[one], int(best[g]), full, at[1]))
     if out:
         row, one, best, full, end = zip(*out)
         yield pa.RecordBatch.from_arrays(
-            [*(c.take(pa.array(row)) for c in docs), pa.array([items.ids[i] for i in one], pa.int64()), pa.array(best, pa.int64()),
-             pa.array(full, pa.int64()), pa.array(end, pa.int64())],
-            names=["doc", "seen", "item", "score", "full_score", "end_word"],
-        )
-
-
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int):
-    """Blocks of ``size`` items (id, text, times) in order of id, those without one last, each fetched by itself."""
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    items, last = items.groupBy("item", "text").agg(F.count("*").alias("times")), None
-    while True:
-        rest = items
-        if last is not None:
-            later = F.col("item").eqNullSafe(F.lit(last[0]).cast("bigint")) & (F.col("text") > F.lit(last[1]))
-            if last[0] is not None:
-                later |= F.col("item").isNull() | (F.col("item") > last[0])
-            rest = items.where(later)
-        block = rest.orderBy(F.col("item").asc_nulls_last(), "text").limit(size).toArrow()
-        if not block.num_rows:
-            return
-        ids, texts, times = (block.column(c).to_pylist() for c in ("item", "text", "times"))
-        last = ids[-1], texts[-1]
-        yield ids, texts, times
+            [*(k.take(pa.array(row)) for k in keys), *(pa.array(c, pa.int64()) for c in (one, best, full, end))],
+            names=["seen", "check", "u", "score", "full_score", "end_word"],
+        )
+
+
+def candidates(texts: DataFrame, units: DataFrame, run: Run, least_percent: int, pack: int) -> DataFrame:
+    """Texts (seen, check) and items (u) of whose rarest pairs the text holds as many as a copy does; ``pack`` numbers a text's portions of items."""
+    spark = texts.sparkSession
+    grams = run.stored(units.mapInArrow(_item_grams(least_percent), "u bigint, size int, gram bigint, at bigint, wanted bigint, least bigint"), "item-grams")
+    sizes = sorted(r[0] for r in grams.select("size").distinct().collect())
+    bitmaps = spark.sparkContext.broadcast({n: presence(grams.where(F.col("size") == n), "gram") for n in sizes})
+    hits = run.stored(texts.mapInArrow(_text_grams(bitmaps), "seen bigint, check bigint, size int, gram bigint"), "text-grams")
+    often = hits.groupBy("size", "gram").agg(F.count("*").alias("texts"))
+    rarest = W.partitionBy("u").orderBy(F.coalesce("texts", F.lit(0)), "gram", "at")
+    seeds = grams.join(often, ["size", "gram"], "left").withColumn("turn", F.row_number().over(rarest)).where("turn <= wanted")
+    seeds = run.stored(seeds.select("u", "size", "gram", "least"), "seeds")
+    found = hits.join(seeds, ["size", "gram"]).groupBy("seen", "check", "u").agg(F.count("*").alias("n"), F.first("least").alias("least"))
+    many = F.count("*").over(W.partitionBy("seen", "check"))
+    found = found.where("n >= least").withColumn("pack", F.pmod(F.xxhash64("u"), F.ceil(many / pack)))
+    return run.stored(found.select("seen", "check", "u", "pack"), "candidates")
 
 
 def matches(
@@ -233,7 +301,7 @@ def matches(
     item_col: str = "item_id",
     item_text_col: str = "text",
     least_percent: int = LEAST_PERCENT,
-    item_block: int = ITEM_BLOCK,
+    pack: int = PACK,
 ) -> DataFrame:
     """Places where a text of ``docs`` holds a test item: id, ``item_id``, ``score``, ``full_score``, ``end_word``, ``text_hash``.
 
@@ -242,20 +310,37 @@ def matches(
     counts the text's words up to the end of the alignment.  Clean documents
     have no row.  Null and word-less texts and items match nothing, items with a
     null id match as ``item_id`` null, ids may repeat.  Other columns are ignored.
+    Equal texts are aligned once.  What is broadcast are two bitmaps of fixed size.
     """
-    spark, out = docs.sparkSession, None
-    source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("seen"))
-    kind = source.schema["doc"].dataType.simpleString()
-    schema = f"doc {kind}, seen bigint, item bigint, score bigint, full_score bigint, end_word bigint"
-    for block in item_blocks(benchmark, item_col, item_text_col, item_block):
-        items = Items(*block, least_percent)
-        part = source.mapInArrow(_matching(spark.sparkContext.broadcast(items), least_percent), schema)
-        out = part if out is None else out.union(part)
-    if out is None:
-        out = spark.createDataFrame([], schema)
+    run = Run(docs.sparkSession, "decontaminate")
+    text = F.col(text_col)
+    # Two hashes: 64 bits alone meet by chance among some 10**9 texts.
+    source = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("seen"), F.xxhash64(F.lit(1), text).alias("check"))
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.xxhash64(item_text_col).alias("u"), F.col(item_text_col).alias("text"))
+    items = items.where("text IS NOT NULL")
+    units = run.stored(items.select("u", "text").dropDuplicates(["u"]), "items")
+    texts = source.select("seen", "check", "text")
+    found = candidates(texts, units, run, least_percent, pack)
+    # Only texts that hold seeds are shuffled, but for a few that the bitmap cannot tell from them.
+    packed = docs.sparkSession.sparkContext.broadcast(presence(found, "seen"))
+    texts = texts.mapInArrow(_marked(packed), texts.schema).groupBy("seen", "check").agg(F.any_value("text").alias("text"))
+    asked = found.join(units, "u").groupBy("seen", "check", "pack").agg(F.collect_list(F.struct("u", "text")).alias("items"))
+    rows = texts.join(asked, ["seen", "check"]).select("seen", "check", "text", "items")
+    out = rows.mapInArrow(_matching(least_percent), "seen bigint, check bigint, u bigint, score bigint, full_score bigint, end_word bigint")
+    out = stored(out, "alignments")
+    run.discard("items", "item-grams", "text-grams", "seeds", "candidates")
+    out = out.join(items.select("u", "item"), "u").join(source.select("doc", "seen", "check"), ["seen", "check"])
     return out.select(F.col("doc").alias(id_col), F.col("item").alias("item_id"), "score", "full_score", "end_word", F.col("seen").alias("text_hash"))
 
 
+def _marked(shared):
+    def marked(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(is_present(shared.value, place(batch.column(0).to_numpy().view(np.uint64)))))
+
+    return marked
+
+
 def drop_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Rows of ``docs``, with all their columns, that hold no passage of ``benchmark``.
 
