@@ -1,28 +1,38 @@
 """Gradient boosting as a loop over stored margins.
 
 Each round fits one regression tree to the Newton steps of the log loss, on a
-sample of the rows and of the columns.  Margins are kept beside the rows and
+sample of the rows and of the columns.  Columns are cut into bins once for all
+rounds, and rows lie in blocks with a byte per bin.  A level of a tree is one
+job: tasks add up the steps by node, column and bin, the sums meet by node, and
+the best cut of each node comes back.  Margins are kept beside the rows and
 stored every few rounds: a lost executor costs at most the rounds since then,
-and no plan holds more trees than that.  With the margins of those rounds the
+and no task holds more trees than that.  With the margins of those rounds the
 average precision on held-out rows is computed for all of them in one pass, and
 growth stops when it has not improved for a number of rounds.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import ElementwiseProduct
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnfeatures.operators.sampling import HASH_RANGE, row_hash
 from txnfeatures.sources.writers import discard, scratch_uri
 
+# The helpers below travel with the tasks: workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The trainer's settings.
 ROUNDS, DEPTH, RATE, ROW_SHARE, COLUMN_SHARE, PATIENCE, SEED = 300, 6, 0.05, 0.8, 0.8, 30, 42
 #: Rounds between two stores of the margins.
@@ -33,6 +43,13 @@ RANGES = 256
 DIGITS = 9
 #: Curvature below which a row counts as settled.
 LEAST_CURVATURE = 1e-6
+#: Bins of a column; a column of no more values has a bin for each.
+BINS = 32
+#: Rows of a block, cells of one at most, columns whose sums travel together, bytes of sums that a task holds and that one adds up.
+BLOCK, CELLS, PIECE, HELD, MEET = 1 << 14, 1 << 22, 2048, 1 << 28, 1 << 23
+BLOCKS = "held_out boolean, n int, bins binary, y binary, weight binary, draw binary, margin binary"
+#: Rows from which quantiles of columns of many values are taken, about.
+SAMPLE = 1 << 16
 
 
 @dataclass
@@ -91,8 +108,18 @@ def staged_average_precision(df: DataFrame, scores: str, label: str, ranges: int
     )
     share = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     sketch = per.groupBy("at").agg(F.kll_sketch_agg_double("score", 1024).alias("s"))
-    cuts = sketch.select("at", F.kll_sketch_get_quantile_double("s", share).alias("cuts"))
-    ranged = per.join(cuts, "at").withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("score")))).drop("cuts")
+    # A few cuts for each position, whatever the number of rows.
+    cuts = {r["at"]: np.array(r["cuts"]) for r in sketch.select("at", F.kll_sketch_get_quantile_double("s", share).alias("cuts")).collect()}
+
+    @F.pandas_udf("int")
+    def cuts_below(at: pd.Series, score: pd.Series) -> pd.Series:
+        out = np.zeros(len(at), np.int32)
+        for position in np.unique(at):
+            mine = at.to_numpy() == position
+            out[mine] = np.searchsorted(cuts[position], score[mine])
+        return pd.Series(out)
+
+    ranged = per.withColumn("range", cuts_below("at", "score"))
     totals = ranged.groupBy("at", "range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     above = Window.partitionBy("at").orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("at")
@@ -112,6 +139,331 @@ def _drawn_columns(n: int, share: float, rng: np.random.Generator) -> list[int]:
     return sorted(rng.choice(n, max(1, int(share * n)), replace=False).tolist())
 
 
+def _dense(vectors: pa.StructArray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First row and values of slices of a vector column, at most ``CELLS`` values at once (one row at least)."""
+    kinds, indices, values = (vectors.field(i) for i in (0, 2, 3))
+    kinds = kinds.to_numpy(zero_copy_only=False)
+    flat, ends = values.values.to_numpy(zero_copy_only=False), values.offsets.to_numpy()
+    step = max(1, CELLS // width)
+    for first in range(0, len(kinds), step):
+        last = min(len(kinds), first + step)
+        if (kinds[first:last] == 1).all():
+            yield first, flat[ends[first] : ends[last]].reshape(-1, width)
+            continue
+        out = np.zeros((last - first, width))
+        at, places = indices.offsets.to_numpy(), indices.values.to_numpy(zero_copy_only=False)
+        for row in range(first, last):
+            mine = flat[ends[row] : ends[row + 1]]
+            out[row - first, slice(None) if kinds[row] == 1 else places[at[row] : at[row + 1]]] = mine
+        yield first, out
+
+
+def _few_values(width: int):
+    """Per task and column, its values as long as they are no more than ``BINS``."""
+
+    def few(batches):
+        known: list[np.ndarray | None] = [np.empty(0)] * width
+        for batch in batches:
+            for _, x in _dense(batch.column(0), width):
+                for at in range(width):
+                    if known[at] is not None:
+                        found = np.union1d(known[at], x[:, at])
+                        known[at] = found if len(found) <= BINS + 1 else None
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(width), pa.int32()), pa.array([None if v is None else v[~np.isnan(v)] for v in known], pa.list_(pa.float64()))],
+            names=["at", "values"],
+        )
+
+    return few
+
+
+def _quantiles(group: pd.DataFrame) -> pd.DataFrame:
+    """Cuts of one column of many values; a value that holds several quantiles has a bin of its own."""
+    values = np.sort(group["value"].to_numpy())
+    q = values[[len(values) * i // BINS for i in range(1, BINS)]]
+    q = np.union1d(q, np.nextafter(q[1:][q[1:] == q[:-1]], -np.inf))
+    return pd.DataFrame({"at": group["at"].iloc[:1], "cuts": [q[(q >= values[0]) & (q < values[-1])]]})
+
+
+def column_cuts(df: DataFrame, features: str, row: str, n_rows: int) -> list[np.ndarray]:
+    """Ascending cuts of every column of a vector column; a value lies in the bin numbered by the cuts below it.
+
+    Columns of at most ``BINS`` values are cut between them, the others at
+    quantiles of about ``SAMPLE`` rows, chosen by a hash of the row's number
+    (the library's own trees take 10,000 rows for that).
+    """
+    width = df.select(features).first()[0].size
+    few = df.select(F.unwrap_udt(features)).mapInArrow(_few_values(width), "at int, values array<double>")
+    every = F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))).alias("values")
+    merged = few.groupBy("at").agg(F.bool_or(F.col("values").isNull()).alias("many"), every)
+    cuts: list[np.ndarray] = [np.empty(0)] * width
+    many = []
+    for r in merged.select("at", F.when(~F.col("many") & (F.size("values") <= BINS), F.col("values")).alias("values")).toLocalIterator():
+        if r["values"] is None:
+            many.append(r["at"])
+            continue
+        low, high = np.array(r["values"][:-1]), np.array(r["values"][1:])
+        with np.errstate(invalid="ignore"):
+            middle = low + (high - low) / 2
+        cuts[r["at"]] = np.where((low <= middle) & (middle < high), middle, low)
+    if many:
+        chosen = df.where(row_hash(row) < F.lit(min(HASH_RANGE, HASH_RANGE * SAMPLE // n_rows)))
+        values = chosen.select(F.posexplode(vector_to_array(features)).alias("at", "value"))
+        values = values.where(F.col("at").isin(many) & ~F.isnan("value"))
+        for r in values.groupBy("at").applyInPandas(_quantiles, "at int, cuts array<double>").toLocalIterator():
+            cuts[r["at"]] = np.array(r["cuts"])
+    return cuts
+
+
+def _blocks(cuts: list[np.ndarray]):
+    """Rows of (vector, label, weight, draw, held out) as blocks of bins, held-out rows apart."""
+    width = len(cuts)
+    most = max(1, min(BLOCK, CELLS // width))
+
+    def pack(batches):
+        open_rows: dict[bool, list] = {False: [], True: []}
+
+        def close(held: bool, whole: bool):
+            columns = [np.concatenate(part) for part in zip(*open_rows[held])]
+            open_rows[held] = []
+            for first in range(0, len(columns[0]), most):
+                some = [c[first : first + most] for c in columns]
+                n = len(some[0])
+                if n < most and not whole:
+                    open_rows[held] = [tuple(some)]
+                    return
+                cells = (some[0].T.tobytes(), *(c.tobytes() for c in some[1:]), np.zeros(n).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([held]), pa.array([n], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)],
+                    names=["held_out", "n", "bins", "y", "weight", "draw", "margin"],
+                )
+
+        for batch in batches:
+            y, weight, draw, held = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4))
+            draw = draw.astype(np.uint32)
+            for first, x in _dense(batch.column(0), width):
+                bins = np.empty(x.shape, np.uint8)
+                for at, edges in enumerate(cuts):
+                    bins[:, at] = np.searchsorted(edges, x[:, at])
+                for side in (False, True):
+                    mine = np.flatnonzero(held[first : first + len(x)].astype(bool) == side)
+                    if len(mine):
+                        open_rows[side].append((bins[mine], *(c[first + mine] for c in (y, weight, draw))))
+                        if sum(len(part[1]) for part in open_rows[side]) >= most:
+                            yield from close(side, False)
+        for side in (False, True):
+            if open_rows[side]:
+                yield from close(side, True)
+
+    return pack
+
+
+class Tree:
+    """A tree over bins.  Children of a node are neighbours; a leaf leads to itself.
+
+    ``stats``: rows, weight, weighted sum and sum of squares of the steps at each node.
+    """
+
+    def __init__(self, stats):
+        self.column, self.cut, self.left = np.zeros(1, np.int64), np.full(1, 255, np.uint8), np.zeros(1, np.int64)
+        self.gain, self.stats, self.depth = np.zeros(1), np.array([stats], dtype=float), 0
+
+    def split(self, node: int, gain: float, column: int, cut: int, left: np.ndarray, right: np.ndarray) -> list[int]:
+        at = len(self.left)
+        self.column[node], self.cut[node], self.left[node], self.gain[node] = column, cut, at, gain
+        self.column, self.gain = np.append(self.column, [0, 0]), np.append(self.gain, [0.0, 0.0])
+        self.cut, self.left = np.append(self.cut, np.full(2, 255, np.uint8)), np.append(self.left, [at, at + 1])
+        self.stats = np.vstack([self.stats, left, right])
+        return [at, at + 1]
+
+    @property
+    def values(self) -> np.ndarray:
+        return np.divide(self.stats[:, 2], self.stats[:, 1], out=np.zeros(len(self.stats)), where=self.stats[:, 1] > 0)
+
+    @property
+    def impurities(self) -> np.ndarray:
+        square = np.divide(self.stats[:, 3], self.stats[:, 1], out=np.zeros(len(self.stats)), where=self.stats[:, 1] > 0)
+        return np.maximum(square - self.values**2, 0.0)
+
+    def nodes(self, bins: np.ndarray) -> np.ndarray:
+        """Where each row of a block (column by row) ends."""
+        n = bins.shape[1]
+        node, flat, row = np.zeros(n, np.int64), bins.ravel(), np.arange(n)
+        for _ in range(self.depth):
+            node = self.left.take(node) + (flat.take(self.column.take(node) * n + row) > self.cut.take(node))
+        return node
+
+
+def _advance(margin: np.ndarray, trees: list[Tree], rate: float, bins: np.ndarray) -> Iterator[np.ndarray]:
+    for tree in trees:
+        margin = margin + rate * tree.values.take(tree.nodes(bins))
+        yield margin
+
+
+def _unpacked(block):
+    bins = np.frombuffer(block["bins"], np.uint8).reshape(-1, block["n"])
+    return bins, *(np.frombuffer(block[c]) for c in ("y", "weight", "margin"))
+
+
+def _is_drawn(draw: np.ndarray, share: float, seed: int) -> np.ndarray:
+    """Whether each row takes part in a round, by its 32 random bits mixed with those of the round."""
+    with np.errstate(over="ignore"):
+        x = draw ^ np.random.default_rng(seed).integers(1 << 32, dtype=np.uint32)
+        for factor, shift in ((0x9E3779B1, 15), (0x85EBCA77, 13), (0xC2B2AE3D, 16)):
+            x = x * np.uint32(factor)
+            x ^= x >> np.uint32(shift)
+    return x < share * 2.0**32
+
+
+def _sums(fresh: list[Tree], tree: Tree | None, slots: dict[int, int], drawn: list[int], sizes: list[int], rate: float, share: float, seed: int):
+    """Sums of a task's drawn rows by (open node, piece of columns): rows, weight, steps and their squares by bin."""
+
+    def sums(blocks):
+        at = np.concatenate(([0], np.cumsum([sizes[c] for c in drawn])))
+        held = np.zeros((len(slots), 4, at[-1]))
+        for block in blocks:
+            bins, y, weight, margin = _unpacked(block)
+            rows = np.flatnonzero(_is_drawn(np.frombuffer(block["draw"], np.uint32), share, seed))
+            bins = bins[:, rows]
+            slot = np.zeros(len(rows), np.int64)
+            if tree is not None:
+                places = np.full(len(tree.left), -1)
+                places[list(slots)] = list(slots.values())
+                slot = places.take(tree.nodes(bins))
+                inside = np.flatnonzero(slot >= 0)
+                if len(inside) < len(rows):
+                    rows, bins, slot = rows[inside], bins[:, inside], slot[inside]
+            y, weight, margin = y[rows], weight[rows], margin[rows]
+            for margin in _advance(margin, fresh, rate, bins):
+                pass
+            with np.errstate(over="ignore"):
+                p = 1 / (1 + np.exp(-margin))
+            curve = np.maximum(p * (1 - p), LEAST_CURVATURE)
+            step = (y - p) / curve
+            parts = (None, weight * curve, weight * (y - p), weight * (y - p) * step)
+            for j, c in enumerate(drawn):
+                size = sizes[c]
+                place = slot * size + bins[c]
+                for i, part in enumerate(parts):
+                    held[:, i, at[j] : at[j + 1]] += np.bincount(place, part, len(slots) * size).reshape(len(slots), size)
+        for first in range(0, len(drawn), PIECE):
+            some = slice(at[first], at[min(len(drawn), first + PIECE)])
+            for slot in range(len(slots)):
+                yield (slot, first), held[slot, :, some]
+
+    return sums
+
+
+def _best(drawn: list[int], sizes: list[int]):
+    """The cut of a node that takes most variance away, among a piece of the columns: (node's sums, gain, column, cut, sums left of it)."""
+
+    def best(item):
+        (slot, first), sums = item
+        columns = drawn[first : first + PIECE]
+        count = np.array([sizes[c] for c in columns])
+        ends = np.cumsum(count)
+        run = np.cumsum(sums, axis=1)
+        edge = np.concatenate((np.zeros((4, 1)), run[:, ends - 1]), axis=1)
+        left = run - np.repeat(edge[:, :-1], count, axis=1)
+        whole = np.repeat(np.diff(edge, axis=1), count, axis=1)
+        right = whole - left
+        total = sums[:, : ends[0]].sum(axis=1)
+        fits = (left[0] > 0.5) & (right[0] > 0.5) & (left[1] > 0) & (right[1] > 0)
+        gain = np.full(run.shape[1], -np.inf)
+        (_, lw, ls, _), (_, rw, rs, _), (_, w, s, _) = left[:, fits], right[:, fits], whole[:, fits]
+        gain[fits] = (ls * ls / lw + rs * rs / rw - s * s / w) / w
+        at = int(np.argmax(gain))
+        column = int(np.searchsorted(ends, at, "right"))
+        return slot, (total, float(gain[at]), columns[column], int(at - ends[column] + count[column]), left[:, at])
+
+    return best
+
+
+def grow_tree(blocks: RDD, fresh: list[Tree], drawn: list[int], sizes: list[int], depth: int, rate: float, share: float, seed: int) -> Tree:
+    """A tree for the steps that the rows' margins and the ``fresh`` trees leave: one job a level, of bounded size."""
+    bins = sum(sizes[c] for c in drawn)
+    at_once = max(1, HELD // (32 * bins))
+    tree, open_nodes = None, [0]
+    for level in range(depth):
+        found = {}
+        for first in range(0, len(open_nodes), at_once):
+            some = open_nodes[first : first + at_once]
+            slots = {node: i for i, node in enumerate(some)}
+            sums = blocks.mapPartitions(_sums(fresh, tree, slots, drawn, sizes, rate, share, seed))
+            # As many tasks as the sums are worth, a few MB each.
+            reducers = 1 + 32 * bins * len(some) * blocks.getNumPartitions() // MEET
+            for slot, cut in sums.reduceByKey(np.add, reducers).map(_best(drawn, sizes)).collect():
+                node = some[slot]
+                if node not in found or (cut[1], -cut[2]) > (found[node][1], -found[node][2]):
+                    found[node] = cut
+        tree = tree or Tree(found[0][0])
+        following, square = [], np.divide(tree.stats[:, 3], tree.stats[:, 1], out=np.zeros(len(tree.stats)), where=tree.stats[:, 1] > 0)
+        for node in open_nodes:
+            total, gain, column, cut, left = found[node]
+            # Less than rounding errors come to is no gain.
+            if gain > 1e-12 * square[node]:
+                following += tree.split(node, gain, column, cut, left, total - left)
+        if not following:
+            break
+        tree.depth = level + 1
+        varied = tree.impurities > 1e-15
+        open_nodes = [n for n in following if tree.stats[n, 0] > 1.5 and varied[n]]
+        if not open_nodes:
+            break
+    return tree
+
+
+def as_regressor(tree: Tree, cuts: list[np.ndarray]) -> DecisionTreeRegressionModel:
+    """A tree over bins as the library's own, over values."""
+    context = _context()
+    jvm, ml = context._jvm, context._jvm.org.apache.spark.ml
+    leaf, internal, split, held = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit, jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
+    part = jvm.java.util.Arrays.copyOfRange
+    # All sums at once, then a call for each node.
+    sums = context._gateway.new_array(context._gateway.jvm.double, 3 * len(tree.left))
+    jvm.java.nio.ByteBuffer.wrap(tree.stats[:, 1:].astype(">f8").tobytes()).asDoubleBuffer().get(sums)
+    values, impurities, gains, rows = tree.values.tolist(), tree.impurities.tolist(), tree.gain.tolist(), np.round(tree.stats[:, 0]).astype(int).tolist()
+    nodes = [None] * len(values)
+    # Children come after their parents.
+    for at in reversed(range(len(values))):
+        stats = held(part(sums, 3 * at, 3 * at + 3), rows[at])
+        left, column = int(tree.left[at]), int(tree.column[at])
+        if left == at:
+            nodes[at] = leaf(values[at], impurities[at], stats)
+        else:
+            cut = split(column, float(cuts[column][tree.cut[at]]))
+            nodes[at] = internal(values[at], impurities[at], gains[at], nodes[left], nodes[left + 1], cut, stats)
+    uid = ml.regression.DecisionTreeRegressor().uid()
+    return DecisionTreeRegressionModel(ml.regression.DecisionTreeRegressionModel(uid, nodes[0], len(cuts)))
+
+
+def _stepping(trees: list[Tree], rate: float):
+    """Label and margins after each of the trees, of every row of the blocks."""
+
+    def stepping(batches):
+        for batch in batches:
+            for block in range(batch.num_rows):
+                row = {c: batch.column(i)[block].as_py() for i, c in enumerate(batch.schema.names)}
+                bins, y, _, margin = _unpacked(row)
+                steps = np.stack(list(_advance(margin, trees, rate, bins)), axis=1)
+                offsets = pa.array(np.arange(0, steps.size + 1, len(trees)), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(y), pa.ListArray.from_arrays(offsets, pa.array(steps.ravel()))], names=["y", "steps"])
+
+    return stepping
+
+
+def _moved(trees: list[Tree], rate: float):
+    """A block with its margins after the trees."""
+
+    def moved(block):
+        bins, _, _, margin = _unpacked(block)
+        for margin in _advance(margin, trees, rate, bins):
+            pass
+        return (*block[:-1], margin.tobytes())
+
+    return moved
+
+
 def boost(
     df: DataFrame,
     features: str,
@@ -143,67 +495,54 @@ def boost(
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("weight"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.monotonically_increasing_id().alias("row"),
-        F.lit(0.0).alias("margin"),
-        F.array().cast("array<double>").alias("steps"),
     )
-    uri = scratch_uri(spark, "margins")
-    rows.write.parquet(uri)
-    state = spark.read.parquet(uri)
-    head = state.agg(F.count_if(~F.col("held_out")).alias("fit"), F.count_if(F.col("held_out") & (F.col("y") == 1)).alias("hits")).first()
+    uri, given = scratch_uri(spark, "margins"), scratch_uri(spark, "to-boost")
+    rows.write.parquet(given)
+    rows = spark.read.parquet(given)
+    head = rows.agg(F.count_if(~F.col("held_out")).alias("fit"), F.count_if(F.col("held_out") & (F.col("y") == 1)).alias("hits")).first()
     if not head["fit"]:
         raise ValueError("no row to fit")
     if validation and not head["hits"]:
         raise ValueError("no held-out row is positive: nothing to watch")
-    width = state.select("x").first()["x"].size
+    cuts = column_cuts(rows.where(~F.col("held_out")), "x", "row", head["fit"])
+    width, sizes = len(cuts), [len(c) + 1 for c in cuts]
+    # Blocks are dealt evenly: a level takes as long as its longest task.
+    slots = 2 * spark.sparkContext.defaultParallelism
+    packed = rows.select(F.unwrap_udt("x"), "y", "weight", F.xxhash64("row").bitwiseAND(F.lit(0xFFFFFFFF)).alias("draw"), "held_out").mapInArrow(_blocks(cuts), BLOCKS)
+    packed.repartition(slots).write.parquet(uri)
+    discard(spark, given)
     rng = np.random.default_rng(seed)
-    trees, areas, columns, best = [], [], [], 0
-    while len(trees) < rounds:
+    grown, areas, columns, best = [], [], [], 0
+    while len(grown) < rounds:
         fresh = []
-        current = state.where(~F.col("held_out")).drop("steps")
-        for _ in range(min(chunk, rounds - len(trees))):
-            t = len(trees) + len(fresh)
+        state = spark.read.schema(BLOCKS).parquet(uri)
+        blocks = state.where(~F.col("held_out")).rdd
+        for _ in range(min(chunk, rounds - len(grown))):
+            t = len(grown) + len(fresh)
             columns.append(_drawn_columns(width, column_share, rng))
-            mask = np.zeros(width)
-            mask[columns[-1]] = 1.0
-            p = 1 / (1 + F.exp(-F.col("margin")))
-            curve = F.greatest(p * (1 - p), F.lit(LEAST_CURVATURE))
-            drawn = current.where(row_hash("row", seed=seed + t) < F.lit(int(row_share * HASH_RANGE)))
-            drawn = drawn.select("x", ((F.col("y") - p) / curve).alias("step"), (F.col("weight") * curve).alias("curve"))
-            # A column that is 0 everywhere offers no split: the tree can use the drawn ones only.
-            masked = ElementwiseProduct(scalingVec=Vectors.dense(mask), inputCol="x", outputCol="some").transform(drawn)
-            tree = DecisionTreeRegressor(
-                featuresCol="some", labelCol="step", weightCol="curve", maxDepth=depth, seed=seed + t, maxMemoryInMB=512
-            ).fit(masked)
-            tree.setFeaturesCol("x").setPredictionCol(f"t{len(fresh)}")
-            current = tree.transform(current).withColumn("margin", F.col("margin") + rate * F.col(f"t{len(fresh)}")).drop(f"t{len(fresh)}")
-            fresh.append(tree)
-        after = state
-        for tree in fresh:
-            after = tree.transform(after)
-        steps, margin = [], F.col("margin")
-        for i in range(len(fresh)):
-            margin = margin + rate * F.col(f"t{i}")
-            steps.append(F.round(margin, DIGITS))
-        after = after.withColumn("steps", F.when(F.col("held_out"), F.array(*steps))).withColumn("margin", margin)
-        following = scratch_uri(spark, "margins")
-        after.select(*state.columns).write.parquet(following)
-        discard(spark, uri)
-        uri, state = following, spark.read.parquet(following)
-        trees += fresh
-        if not validation:
-            best = len(trees)
-            continue
-        areas += staged_average_precision(state.where("held_out"), "steps", "y")
-        best = 1 + int(np.argmax(areas))
-        # Rounds count one by one, whatever the chunk: the first best with no better one within the patience ends it.
-        high, at = -1.0, 0
-        for i, area in enumerate(areas, 1):
-            if area > high:
-                high, at = area, i
-            elif i - at >= patience:
+            fresh.append(grow_tree(blocks, fresh, columns[-1], sizes, depth, rate, row_share, seed + t))
+        grown += fresh
+        if validation:
+            steps = state.where("held_out").mapInArrow(_stepping(fresh, rate), "y double, steps array<double>")
+            areas += staged_average_precision(steps.withColumn("steps", F.transform("steps", lambda s: F.round(s, DIGITS))), "steps", "y")
+            best = 1 + int(np.argmax(areas))
+            # Rounds count one by one, whatever the chunk: the first best with no better one within the patience ends it.
+            high, at = -1.0, 0
+            for i, area in enumerate(areas, 1):
+                if area > high:
+                    high, at = area, i
+                elif i - at >= patience:
+                    break
+            if i - at >= patience:
+                best, grown, areas, columns = at, grown[:i], areas[:i], columns[:i]
                 break
-        if i - at >= patience:
-            best, trees, areas, columns = at, trees[:i], areas[:i], columns[:i]
-            break
+        else:
+            best = len(grown)
+        if len(grown) < rounds:
+            following = scratch_uri(spark, "margins")
+            spark.createDataFrame(state.rdd.map(_moved(fresh, rate)), BLOCKS, verifySchema=False).write.parquet(following)
+            discard(spark, uri)
+            uri = following
     discard(spark, uri)
+    trees = [as_regressor(tree, cuts).setFeaturesCol(features) for tree in grown]
     return Boosted(as_classifier(trees[:best], rate, features), best, len(trees), areas, columns, trees, rate)
