@@ -1,6 +1,7 @@
 """Trees grown level by level over bins: what they cost, where columns are cut, and that both forms of a tree agree."""
 
 import numpy as np
+import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -65,3 +66,12 @@ def test_both_forms_of_a_tree_agree_on_dense_and_sparse_rows(spark):
     root = tree._java_obj.rootNode()
     split = root.split()
     assert abs(score(v[:, split.featureIndex()] <= split.threshold()) - best) < 1e-6
+
+
+def test_rows_that_miss_something_are_refused(spark):
+    df = _rows(spark, 60)
+    with pytest.raises(ValueError, match="1 rows to fit without"):
+        B.boost(df.withColumn("label", F.when(F.col("a") < df.agg(F.max("a")).first()[0], F.col("label"))), "x", rounds=1)
+    with pytest.raises(Exception, match="missing or infinite"):
+        gaps = spark.createDataFrame([(Vectors.dense([float("nan"), 1.0]), 1), (Vectors.dense([0.0, 1.0]), 0)], ["x", "label"])
+        B.boost(gaps, "x", rounds=1)

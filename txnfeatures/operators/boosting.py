@@ -165,12 +165,14 @@ def _few_values(width: int):
         known: list[np.ndarray | None] = [np.empty(0)] * width
         for batch in batches:
             for _, x in _dense(batch.column(0), width):
+                if not np.isfinite(x).all():
+                    raise ValueError("features to fit must not be missing or infinite")
                 for at in range(width):
                     if known[at] is not None:
                         found = np.union1d(known[at], x[:, at])
                         known[at] = found if len(found) <= BINS + 1 else None
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(width), pa.int32()), pa.array([None if v is None else v[~np.isnan(v)] for v in known], pa.list_(pa.float64()))],
+            [pa.array(range(width), pa.int32()), pa.array(known, pa.list_(pa.float64()))],
             names=["at", "values"],
         )
 
@@ -209,8 +211,7 @@ def column_cuts(df: DataFrame, features: str, row: str, n_rows: int) -> list[np.
     if many:
         chosen = df.where(row_hash(row) < F.lit(min(HASH_RANGE, HASH_RANGE * SAMPLE // n_rows)))
         values = chosen.select(F.posexplode(vector_to_array(features)).alias("at", "value"))
-        values = values.where(F.col("at").isin(many) & ~F.isnan("value"))
-        for r in values.groupBy("at").applyInPandas(_quantiles, "at int, cuts array<double>").toLocalIterator():
+        for r in values.where(F.col("at").isin(many)).groupBy("at").applyInPandas(_quantiles, "at int, cuts array<double>").toLocalIterator():
             cuts[r["at"]] = np.array(r["cuts"])
     return cuts
 
@@ -485,7 +486,7 @@ def boost(
     stops once their average precision has not risen for ``patience`` rounds, or
     after ``rounds``, and the trees up to the best round are kept.  Rounds are
     grown ``chunk`` at a time and cut back to ``patience`` beyond the best one.
-    Raises where no row is left to fit or no held-out row is positive.
+    Raises where no row is left to fit, one of them misses something, or no held-out row is positive.
     """
     spark = df.sparkSession
     held_out = F.col(validation) if validation else F.lit(False)
@@ -499,9 +500,16 @@ def boost(
     uri, given = scratch_uri(spark, "margins"), scratch_uri(spark, "to-boost")
     rows.write.parquet(given)
     rows = spark.read.parquet(given)
-    head = rows.agg(F.count_if(~F.col("held_out")).alias("fit"), F.count_if(F.col("held_out") & (F.col("y") == 1)).alias("hits")).first()
+    unknown = F.col("y").isNull() | F.isnan("y") | F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") < 0)
+    head = rows.agg(
+        F.count_if(~F.col("held_out")).alias("fit"),
+        F.count_if(F.col("held_out") & (F.col("y") == 1)).alias("hits"),
+        F.count_if(F.col("x").isNull() | (~F.col("held_out") & unknown)).alias("unknown"),
+    ).first()
     if not head["fit"]:
         raise ValueError("no row to fit")
+    if head["unknown"]:
+        raise ValueError(f"{head['unknown']} rows to fit without features, label or weight")
     if validation and not head["hits"]:
         raise ValueError("no held-out row is positive: nothing to watch")
     cuts = column_cuts(rows.where(~F.col("held_out")), "x", "row", head["fit"])
