@@ -40,8 +40,8 @@ BLOCK = 512
 SEGMENT_TOKENS = 1 << 18
 MAGIC = b"DAC1"
 END_ID = 0
-#: Units of text that a task remembers, bytes of text encoded at once.
-CACHE = 500_000
+#: Units of text in each of the two generations that a worker remembers, bytes of text encoded at once.
+CACHE = 150_000
 ENCODE_BYTES = 2 << 20
 
 
@@ -117,7 +117,7 @@ class Encoder:
     space and what is not white space, around a single line feed, before a full
     stop or comma after a letter.  Text is cut into units there, on the bytes of
     many texts at once; the library encodes units not met before (a bounded
-    memory holds those that were), and ids are put together by position.
+    memory holds those that were, the ones met lately first), and ids are put together by position.
     A text with unusual white space is one unit, and so is one that holds an added
     token of the vocabulary (such as its end marker) literally: the library takes
     that for the token's id and treats the text around it as texts of their own.
@@ -136,6 +136,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.markers = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    @classmethod
+    def kept(cls, path: str) -> Encoder:
+        """The encoder of this worker process: tasks after one another read the file once and share what was learnt."""
+        import os
+
+        import tokenizers
+
+        # This module travels with every task anew; the library's is the same for all of them.
+        encoders = tokenizers.__dict__.setdefault("_kept_encoders", {})
+        file = os.stat(path)
+        key = (path, file.st_mtime_ns, file.st_size)
+        if key not in encoders:
+            encoders.clear()
+            encoders[key] = cls(path)
+        return encoders[key]
 
     def cuts(self, data: np.ndarray, raw: bytes, offsets: np.ndarray) -> np.ndarray:
         """First byte of each unit."""
@@ -187,8 +204,10 @@ class Encoder:
         index, kind = self.distinct(data, starts, ends)
         units = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())]
         if len(self.known) > CACHE:
-            self.known.clear()
-        fresh = [u for u in units if u not in self.known]
+            self.known, self.older = {}, self.known
+        missing = [u for u in units if u not in self.known]
+        self.known.update((u, self.older[u]) for u in missing if u in self.older)
+        fresh = [u for u in missing if u not in self.known]
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         # Hundreds of thousands of small objects without cycles: collecting garbage meanwhile only costs time.
         gc.disable()
@@ -208,7 +227,7 @@ class Encoder:
 
 def _encoding(path: str, end_id: int, segment_tokens: int):
     def encoding(batches):
-        encode = Encoder(path)
+        encode = Encoder.kept(path)
         end = np.array([end_id], "<u4")
         docs, lengths, parts, size, seq = [], [], [], 0, 0
         part = TaskContext.get().partitionId()
