@@ -264,7 +264,9 @@ def _candidates(positions: DataFrame, known: DataFrame, n: int, floor: int) -> D
     buckets = 1 << max(10, (n // LOAD).bit_length())
     # One exchange: pairs go to their bucket, equal ones are added up there, and the bucket's sum stands beside each.
     counts = positions.select("states").mapInArrow(_pair_counts, "pair bigint, n bigint")
-    dealt = counts.withColumn("bucket", F.xxhash64("pair").bitwiseAND(buckets - 1)).repartition("bucket")
+    # The bucket follows from the pair: it is not written beside it.
+    bucket = F.xxhash64("pair").bitwiseAND(buckets - 1)
+    dealt = counts.repartition(bucket).withColumn("bucket", bucket)
     pairs = dealt.groupBy("bucket", "pair").agg(F.sum("n").alias("n"))
     reached = pairs.withColumn("n", F.sum("n").over(W.partitionBy("bucket"))).where(F.col("n") >= floor)
     pairs = reached.select(F.shiftright("pair", 32).alias("left"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("right"))
