@@ -625,3 +625,64 @@ def test_salts_spread_a_user_the_table_does_not_know_as_hot(spark, conf):
     rows = out.withColumn("p", F.spark_partition_id()).collect()
     assert len(rows) == 4000 and all(r["v"] == (None if r["u"] is None else 2 * r["u"]) for r in rows)
     assert len({r["p"] for r in rows if r["u"] == 1}) >= 4
+
+
+def _by_distance(x, k):
+    d = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    return np.argsort(d, axis=1, kind="stable")[:, :k], np.sort(d, axis=1)[:, :k]
+
+
+def test_graph_neighbours_are_complete_where_few_cells_are_in_reach(spark):
+    # Two wide columns, narrow ones, a constant one, many nearly equal rows: lists need no refining.
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(size=(900, 2)) * [4e4, 2e4], rng.normal(size=(900, 3)), np.zeros(900)])
+    x = np.vstack([x, x[:80] + rng.normal(size=(80, 6)) * 1e-9])
+    df = spark.createDataFrame([(i, 1 + i % 3, [float(v) for v in p]) for i, p in enumerate(x)], NB.POINT).repartition(5)
+    ids, ds = _by_distance(x, 5)
+    for vectors in (True, False):
+        shares = []
+        got = {r["pid"]: r["near"] for r in NB.graph_neighbours(df, 5, cell=64, visits=40, report=shares, vectors=vectors).collect()}
+        assert shares == [0.0] and len(got) == len(x)
+        for i, near in got.items():
+            assert [a["near"] for a in near] == ids[i].tolist()
+            assert [a["d"] for a in near] == pytest.approx(ds[i], rel=1e-9)
+            assert [a["near_copies"] for a in near] == [1 + j % 3 for j in ids[i]]
+            assert not vectors or [a["near_x"] for a in near] == x[ids[i]].tolist()
+
+
+def test_graph_neighbours_with_some_lists_open(spark):
+    # Few rows in many columns beside many in two: only the former reach too many cells.
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(size=(2000, 10)) * ([50] * 2 + [1e-6] * 8), rng.normal(size=(300, 10)) * 40])
+    df = spark.createDataFrame([(i, 1, [float(v) for v in p]) for i, p in enumerate(x)], NB.POINT).repartition(5)
+    ids, _ = _by_distance(x, 5)
+    shares = []
+    got = {r["pid"]: [a["near"] for a in r["near"]] for r in NB.graph_neighbours(df, 5, cell=64, report=shares).collect()}
+    assert len(got) == len(x) and shares[0] > 0
+    assert np.mean([len(set(got[i]) & set(ids[i])) / 5 for i in range(2000)]) >= 0.95
+    assert np.mean([len(set(got[i]) & set(ids[i])) / 5 for i in range(2000, 2300)]) >= 0.9
+
+
+def test_graph_neighbours_beside_infinite_rows(spark):
+    x = [[float(i), 0.0] for i in range(40)] + [[float("inf"), 1.0], [float("-inf"), 1.0]]
+    df = spark.createDataFrame([(i, 1, p) for i, p in enumerate(x)], NB.POINT)
+    got = {r["pid"]: [a["near"] for a in r["near"]] for r in NB.graph_neighbours(df, 2, cell=16).collect()}
+    assert sorted(got) == list(range(40)) and got[0] == [1, 2] and got[20] == [19, 21]
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_compared_with_all(spark, monkeypatch, bounded):
+    monkeypatch.setattr(NB, "BLOCK", 50)
+    monkeypatch.setattr(NB, "ALL_BLOCK", 90)
+    rng = np.random.default_rng(10)
+    # Equal distances are told apart by id.
+    x = np.vstack([rng.integers(0, 4, size=(150, 3)) * 1.0, rng.normal(size=(150, 3)) + 1e5])
+    df = spark.createDataFrame([(i, 1, [float(v) for v in p]) for i, p in enumerate(x)], NB.POINT)
+    ids, ds = _by_distance(x, 4)
+    asked = df.where("pid % 2 = 0").select("pid", "x")
+    reach = spark.createDataFrame([(i, float(d[-1]) if bounded else float("inf")) for i, d in enumerate(ds)], "pid bigint, reach double")
+    got = {}
+    for r in NB.compared_with_all(asked.join(reach, "pid"), df, 4).orderBy("pid", "d", "near").collect():
+        got.setdefault(r["pid"], []).append(r["near"])
+    assert got == {i: ids[i].tolist() for i in range(0, 300, 2)}
