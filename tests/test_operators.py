@@ -686,3 +686,21 @@ def test_compared_with_all(spark, monkeypatch, bounded):
     for r in NB.compared_with_all(asked.join(reach, "pid"), df, 4).orderBy("pid", "d", "near").collect():
         got.setdefault(r["pid"], []).append(r["near"])
     assert got == {i: ids[i].tolist() for i in range(0, 300, 2)}
+
+
+def test_smote_sends_ids_and_not_vectors_of_neighbours(spark):
+    # Rows travel a bounded number of times; five neighbours' vectors of 40 columns a row would be 1,600 bytes a time.
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.normal(size=(4000, 2)) * 1e4, rng.normal(size=(4000, 38))])
+    df = spark.createDataFrame([(i, int(i < 1500), [float(v) for v in p]) for i, p in enumerate(x)], "id bigint, label int, x array<double>")
+    out = smote(df, "x", "id", trace=True).where("synthetic")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array<array<double>>" not in plan and "near_x" not in plan
+    rows = out.collect()
+    ids, _ = _by_distance(x[:1500], 5)
+    at = {tuple(v): i for i, v in enumerate(x[:1500].tolist())}
+    assert len(rows) == 1000
+    assert all(at[tuple(r["_to"])] in ids[at[tuple(r["_from"])]] for r in rows)
+    for r in rows:
+        a, b, p = (np.array(r[c]) for c in ("_from", "_to", "x"))
+        assert abs(np.linalg.norm(p - a) + np.linalg.norm(b - p) - np.linalg.norm(b - a)) < 1e-6

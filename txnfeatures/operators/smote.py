@@ -70,46 +70,43 @@ def smote(
         warnings.warn(f"no synthetic rows: class {minority} has {reason}", stacklevel=2)
         return original
 
-    spark = df.sparkSession
+    # Draws per row: the same for all, one more for the first few keys.
+    wanted = many - few
+    each, extra = divmod(wanted, few)
     rows = df.where(F.col(label) == minority).select(F.col(key).cast("bigint").alias("id"), vector.alias("x"))
+    last = key_cut(rows, extra, "id") if extra else None
+    draws = F.lit(each) if last is None else F.lit(each) + (F.col("id") <= F.lit(last)).cast("int")
     # Copies are one point from here on, however many there are.  Stored,
     # because they are read again after the search.
+    spark = df.sparkSession
     uri = scratch_uri(spark, "minority-points")
-    rows.groupBy("x").agg(F.min("id").alias("pid"), F.count("*").alias("copies")).write.parquet(uri)
+    point = rows.groupBy("x").agg(F.min("id").alias("pid"), F.count("*").alias("copies"), F.sum(draws).alias("draws"))
+    point.write.parquet(uri)
     points = spark.read.parquet(uri)
 
     if method == "graph":
-        found = graph_neighbours(points, k, seed=seed)
+        found = graph_neighbours(points, k, seed=seed, vectors=False)
     elif method == "exact":
         found = nearest_neighbours(points, k, pivots)
     elif method == "trees":
         found = tree_neighbours(points, k, seed=seed)
     else:
         raise ValueError(f"method must be 'graph', 'exact' or 'trees', not {method!r}")
-    # Up to k neighbours as plain vectors: own copies first, then the others
-    # as often as they occur.
-    others = F.flatten(F.transform("near", lambda t: F.array_repeat(t["near_x"], F.least(t["near_copies"], F.lit(k)).cast("int"))))
-    own = F.array_repeat(F.col("x"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
+    # Up to k neighbours by id: own copies first, then the others as often as they occur.
+    others = F.flatten(F.transform("near", lambda t: F.array_repeat(t["near"], F.least(t["near_copies"], F.lit(k)).cast("int"))))
+    own = F.array_repeat(F.col("pid"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
     near = (
-        points.join(found, "pid", "left")
-        .select("pid", "x", "copies", F.coalesce(others, F.array().cast("array<array<double>>")).alias("others"))
-        .select("pid", "x", "copies", F.slice(F.concat(own, "others"), 1, k).alias("options"))
+        points.where("draws > 0")
+        .join(found, "pid", "left")
+        .select("pid", "x", "draws", F.slice(F.concat(own, F.coalesce(others, F.array().cast("array<bigint>"))), 1, k).alias("options"))
     )
-
-    # Draws per row: the same for all, one more for the first few keys.
-    wanted = many - few
-    each, extra = divmod(wanted, few)
-    last = key_cut(rows, extra, "id") if extra else None
-    draws = F.lit(each) if last is None else F.lit(each) + (F.col("id") <= F.lit(last)).cast("int")
-    return original.unionByName(_synthesise(rows, near, draws, features, label, minority, seed, trace))
+    return original.unionByName(_synthesise(points, near, features, label, minority, seed, trace))
 
 
-def _synthesise(rows, near, draws, features, label, minority, seed, trace):
+def _synthesise(points, near, features, label, minority, seed, trace):
     """New rows per point: draws of all its copies are numbered through."""
-    per_point = rows.groupBy("x").agg(F.sum(draws).alias("draws")).where("draws > 0")
     drawn = (
-        near.join(per_point, "x")
-        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("draws") - 1) / 4096))))
+        near.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("draws") - 1) / 4096))))
         .withColumn("from", F.col("part") * 4096)
         .withColumn("to", F.least(F.col("draws"), F.col("from") + 4096) - 1)
         .repartition("pid", "part")
@@ -117,7 +114,11 @@ def _synthesise(rows, near, draws, features, label, minority, seed, trace):
     )
     pick = F.floor(_unit(F.col("pid"), F.col("j"), F.lit(seed)) * F.size("options")).cast("int")
     gap = _unit(F.col("pid"), F.col("j"), F.lit(seed + 1))
-    new = drawn.select("x", F.col("options")[pick].alias("other"), gap.alias("gap"))
+    drawn = drawn.select("pid", "x", F.col("options")[pick].alias("end"), gap.alias("gap"))
+    # The other end's vector follows its id; a copy of the point has the point's own.
+    ends = points.select(F.col("pid").alias("end"), F.col("x").alias("other"))
+    new = drawn.where("end <> pid").join(ends, "end").select("x", "other", "gap")
+    new = new.unionByName(drawn.where("end = pid").select("x", F.col("x").alias("other"), "gap"))
     if isinstance(features, str):
         between = [F.zip_with("x", "other", lambda a, b: a + F.col("gap") * (b - a)).alias(features)]
     else:
