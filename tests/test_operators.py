@@ -704,3 +704,15 @@ def test_smote_sends_ids_and_not_vectors_of_neighbours(spark):
     for r in rows:
         a, b, p = (np.array(r[c]) for c in ("_from", "_to", "x"))
         assert abs(np.linalg.norm(p - a) + np.linalg.norm(b - p) - np.linalg.norm(b - a)) < 1e-6
+
+
+@pytest.mark.parametrize("key", ["id % 7", "if(id % 3 = 0, null, id)"])
+def test_smote_balances_where_keys_repeat_or_are_missing(spark, key):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(210, 2))
+    df = spark.createDataFrame([(i, int(i < 70), float(a), float(b)) for i, (a, b) in enumerate(x)], "id bigint, label int, a double, b double")
+    out = smote(df.withColumn("id", F.expr(key)), ["a", "b"], "id", k=3, trace=True).where("synthetic").collect()
+    ids, _ = _by_distance(x[:70], 3)
+    at = {tuple(v): i for i, v in enumerate(x[:70].tolist())}
+    assert len(out) == 70
+    assert all(at[tuple(r["_to"])] in ids[at[tuple(r["_from"])]] for r in out)

@@ -83,6 +83,11 @@ def smote(
     point = rows.groupBy("x").agg(F.min("id").alias("pid"), F.count("*").alias("copies"), F.sum(draws).alias("draws"))
     point.write.parquet(uri)
     points = spark.read.parquet(uri)
+    if not points.groupBy("pid").count().where("count > 1 OR pid IS NULL").isEmpty():
+        # Keys that repeat or are missing do not tell points apart: numbers do, stored to stay the same.
+        uri = scratch_uri(spark, "minority-points")
+        points.withColumn("pid", F.monotonically_increasing_id()).write.parquet(uri)
+        points = spark.read.parquet(uri)
 
     if method == "graph":
         found = graph_neighbours(points, k, seed=seed, vectors=False)
