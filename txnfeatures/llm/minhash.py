@@ -207,7 +207,7 @@ def _blocks(shingle: int, percent: int):
     return compare
 
 
-def components(edges: DataFrame, run: Run) -> DataFrame:
+def components(edges: DataFrame, run: Run | None = None) -> DataFrame:
     """(node, label): the smallest node reachable over ``edges`` (a, b), for nodes with an edge.
 
     Each round every node takes the smallest label among its neighbours and
@@ -215,6 +215,7 @@ def components(edges: DataFrame, run: Run) -> DataFrame:
     of the longest path.  A round is one job: it is stored, so nothing is
     recomputed after a loss, and the write counts the labels that changed.
     """
+    run = run or Run(edges.sparkSession, "components")
     both = run.stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = run.stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:

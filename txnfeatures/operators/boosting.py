@@ -2,9 +2,9 @@
 
 Each round fits one regression tree to the Newton steps of the log loss, on a
 sample of the rows and of the columns.  Columns are cut into bins once for all
-rounds, and rows lie in blocks with a byte per bin.  A level of a tree is one
-job: tasks add up the steps by node, column and bin, the sums meet by node, and
-the best cut of each node comes back.  Margins are kept beside the rows and
+rounds, and rows lie in blocks with a byte per bin.  A round keeps the bins and steps of the rows drawn for it; a level of a tree is one
+job over them: tasks add up the steps by node, column and bin, and the best cut of each node
+is found where the sums meet.  Margins are kept beside the rows and
 stored every few rounds: a lost executor costs at most the rounds since then,
 and no task holds more trees than that.  With the margins of those rounds the
 average precision on held-out rows is computed for all of them in one pass, and
@@ -16,15 +16,16 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD, cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnfeatures.operators.sampling import HASH_RANGE, row_hash
@@ -37,8 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROUNDS, DEPTH, RATE, ROW_SHARE, COLUMN_SHARE, PATIENCE, SEED = 300, 6, 0.05, 0.8, 0.8, 30, 42
 #: Rounds between two stores of the margins.
 CHUNK = 10
-#: Ranges of scores that are sorted by themselves, per round.
-RANGES = 256
+#: Rows whose scores are sorted together, per round, about.
+MOST = 1 << 16
 #: Decimals of margins that are watched: scores that differ by rounding errors are ties.
 DIGITS = 9
 #: Curvature below which a row counts as settled.
@@ -46,7 +47,9 @@ LEAST_CURVATURE = 1e-6
 #: Bins of a column; a column of no more values has a bin for each.
 BINS = 32
 #: Rows of a block, cells of one at most, columns whose sums travel together, bytes of sums that a task holds and that one adds up.
-BLOCK, CELLS, PIECE, HELD, MEET = 1 << 14, 1 << 22, 2048, 1 << 28, 1 << 23
+BLOCK, CELLS, PIECE, HELD, MEET = 1 << 15, 1 << 22, 2048, 1 << 28, 1 << 23
+#: Combined bins of columns that are counted together.
+JOINT = (BINS + 1) ** 2
 BLOCKS = "held_out boolean, n int, bins binary, y binary, weight binary, draw binary, margin binary"
 #: Rows from which quantiles of columns of many values are taken, about.
 SAMPLE = 1 << 16
@@ -93,55 +96,103 @@ def _context():
     return SparkSession.active().sparkContext
 
 
-def staged_average_precision(df: DataFrame, scores: str, label: str, ranges: int = RANGES) -> list[float | None]:
+def _parted(rows):
+    """Labels and scores (row by position) of rows of (scores, label), a block at once."""
+    rows = iter(rows)
+    while some := list(islice(rows, BLOCK)):
+        yield np.array([r[1] for r in some], dtype=float), np.array([r[0] for r in some], dtype=float)
+
+
+def staged_average_precision(df: DataFrame, scores: str, label: str, ranges: int | None = None) -> list[float | None]:
     """Average precision of every position of the array column ``scores``, in one pass over the rows.
 
-    Rows are counted per (position, score) first.  Scores are cut into ranges at
-    sketched quantiles of their own position and sorted by range; the totals of
-    the ranges before are added, so no task sorts all scores of a position.
+    ``ranges``: into how many the scores of a position are cut; as many as the rows are worth if not given.
     Without a positive row the area is None.
     """
-    per = (
-        df.select(F.posexplode(scores).alias("at", "score"), F.col(label).cast("double").alias("y"))
-        .groupBy("at", "score")
-        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    )
-    share = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    sketch = per.groupBy("at").agg(F.kll_sketch_agg_double("score", 1024).alias("s"))
-    # A few cuts for each position, whatever the number of rows.
-    cuts = {r["at"]: np.array(r["cuts"]) for r in sketch.select("at", F.kll_sketch_get_quantile_double("s", share).alias("cuts")).collect()}
-
-    @F.pandas_udf("int")
-    def cuts_below(at: pd.Series, score: pd.Series) -> pd.Series:
-        out = np.zeros(len(at), np.int32)
-        for position in np.unique(at):
-            mine = at.to_numpy() == position
-            out[mine] = np.searchsorted(cuts[position], score[mine])
-        return pd.Series(out)
-
-    ranged = per.withColumn("range", cuts_below("at", "score"))
-    totals = ranged.groupBy("at", "range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    above = Window.partitionBy("at").orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("at")
-    ahead = totals.select(
-        "at", "range", F.sum("pos").over(whole).alias("all"),
-        *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(f"{c}_ahead") for c in ("pos", "neg")],
-    )
-    inside = Window.partitionBy("at", "range").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    hits = F.col("pos_ahead") + F.sum("pos").over(inside)
-    flagged = hits + F.col("neg_ahead") + F.sum("neg").over(inside)
-    each = ranged.join(ahead, ["at", "range"]).select("at", "all", (F.col("pos") * hits / flagged).alias("part"))
-    rows = each.groupBy("at").agg(F.try_divide(F.sum("part"), F.max("all")).alias("area")).orderBy("at").collect()
-    return [r["area"] for r in rows]
+    return _areas(df.select(scores, label).rdd.mapPartitions(_parted), ranges)
+
+
+def _spread(x: np.ndarray, n: int) -> np.ndarray:
+    """At most ``n`` rows of an array with sorted columns, evenly spread."""
+    return x if len(x) <= n else x[np.linspace(0, len(x) - 1, n).astype(int)]
+
+
+def _told(score: np.ndarray, pos: np.ndarray, neg: np.ndarray):
+    """Distinct scores, descending, with the positive and negative rows of each."""
+    score, place = np.unique(-score, return_inverse=True)
+    return -score, np.bincount(place, pos, len(score)), np.bincount(place, neg, len(score))
+
+
+def _areas(rows: RDD, ranges: int | None = None) -> list[float | None]:
+    """Average precision of every position of labels and scores (row by position).
+
+    Rows are counted per (position, score) in every block.  Scores are cut into
+    ranges at quantiles of their own position and meet by range; the totals of
+    the ranges ahead are added, so no task holds all scores of a position.
+    """
+    share = max(8, SAMPLE // rows.getNumPartitions())
+
+    def sampled(blocks):
+        kept, n = [], 0
+        for y, scores in blocks:
+            kept, n = [_spread(np.sort(np.concatenate([*kept, _spread(np.sort(scores, axis=0), share)]), axis=0), 2 * share)], n + len(y)
+        yield from ((_spread(x, share), n) for x in kept)
+
+    found = rows.mapPartitions(sampled).collect()
+    if not found:
+        return []
+    sample = np.sort(np.concatenate([x for x, _ in found]), axis=0)
+    ranges = ranges or 1 + sum(n for _, n in found) // MOST
+    # Ranges are numbered from the highest scores.
+    at = [len(sample) * i // ranges for i in range(1, ranges)]
+    cuts = [np.unique(-column[at]) for column in sample.T]
+
+    def ranged(blocks):
+        for y, scores in blocks:
+            for position, mine in enumerate(cuts):
+                score, pos, neg = _told(scores[:, position], y, 1 - y)
+                place = np.searchsorted(mine, -score, "right")
+                for one in np.unique(place):
+                    inside = slice(*np.searchsorted(place, [one, one + 1]))
+                    yield (position, int(one)), (score[inside], pos[inside], neg[inside])
+
+    def met(item):
+        return item[0], _told(*(np.concatenate(part) for part in zip(*item[1])))
+
+    tasks = min(ranges * len(cuts), 2 * rows.context.defaultParallelism)
+    ready = rows.mapPartitions(ranged).groupByKey(max(tasks, ranges * len(cuts) // 16)).map(met).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = dict(ready.mapValues(lambda told: (told[1].sum(), told[2].sum())).collect())
+    ahead, every = {}, [0.0] * len(cuts)
+    for (position, one), (pos, neg) in sorted(totals.items()):
+        ahead[position, one] = tuple(np.add(ahead.get(position, (0.0, 0.0)), 0.0))
+        ahead[position] = tuple(np.add(ahead[position, one], (pos, neg)))
+        every[position] += pos
+
+    def part(item):
+        key, (_, pos, neg) = item
+        hits, misses = np.cumsum(pos) + ahead[key][0], np.cumsum(neg) + ahead[key][1]
+        return key, float((pos * hits / (hits + misses)).sum())
+
+    areas = [0.0] * len(cuts)
+    for (position, _), value in sorted(ready.map(part).collect()):
+        areas[position] += value
+    ready.unpersist()
+    return [float(area / pos) if pos else None for area, pos in zip(areas, every)]
 
 
 def _drawn_columns(n: int, share: float, rng: np.random.Generator) -> list[int]:
     return sorted(rng.choice(n, max(1, int(share * n)), replace=False).tolist())
 
 
-def _dense(vectors: pa.StructArray, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """First row and values of slices of a vector column, at most ``CELLS`` values at once (one row at least)."""
-    kinds, indices, values = (vectors.field(i) for i in (0, 2, 3))
+def _plain(vector: str) -> list[Column]:
+    """Kind, indices and values of a vector column: nulls inside of structs and lists are slow to hand to Python."""
+    x = F.unwrap_udt(vector)
+    return [x["type"].alias("kind"), F.coalesce(x["indices"], F.array().cast("array<int>")).alias("indices"), x["values"].alias("values")]
+
+
+def _dense(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First row and values of slices of a vector column (as ``_plain``), at most ``CELLS`` values at once (one row at least)."""
+    kinds, indices, values = (batch.column(i) for i in range(3))
     kinds = kinds.to_numpy(zero_copy_only=False)
     flat, ends = values.values.to_numpy(zero_copy_only=False), values.offsets.to_numpy()
     step = max(1, CELLS // width)
@@ -152,9 +203,13 @@ def _dense(vectors: pa.StructArray, width: int) -> Iterator[tuple[int, np.ndarra
             continue
         out = np.zeros((last - first, width))
         at, places = indices.offsets.to_numpy(), indices.values.to_numpy(zero_copy_only=False)
-        for row in range(first, last):
-            mine = flat[ends[row] : ends[row + 1]]
-            out[row - first, slice(None) if kinds[row] == 1 else places[at[row] : at[row + 1]]] = mine
+        full = np.flatnonzero(kinds[first:last] == 1)
+        if len(full):
+            out[full] = flat[(ends[first + full, None] + np.arange(width)).ravel()].reshape(-1, width)
+        some = np.flatnonzero(kinds[first:last] != 1)
+        many = at[first + some + 1] - at[first + some]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        out[np.repeat(some, many), places[np.repeat(at[first + some], many) + within]] = flat[np.repeat(ends[first + some], many) + within]
         yield first, out
 
 
@@ -164,7 +219,7 @@ def _few_values(width: int):
     def few(batches):
         known: list[np.ndarray | None] = [np.empty(0)] * width
         for batch in batches:
-            for _, x in _dense(batch.column(0), width):
+            for _, x in _dense(batch, width):
                 if not np.isfinite(x).all():
                     raise ValueError("features to fit must not be missing or infinite")
                 for at in range(width):
@@ -195,7 +250,7 @@ def column_cuts(df: DataFrame, features: str, row: str, n_rows: int) -> list[np.
     (the library's own trees take 10,000 rows for that).
     """
     width = df.select(features).first()[0].size
-    few = df.select(F.unwrap_udt(features)).mapInArrow(_few_values(width), "at int, values array<double>")
+    few = df.select(*_plain(features)).mapInArrow(_few_values(width), "at int, values array<double>")
     every = F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))).alias("values")
     merged = few.groupBy("at").agg(F.bool_or(F.col("values").isNull()).alias("many"), every)
     cuts: list[np.ndarray] = [np.empty(0)] * width
@@ -240,9 +295,9 @@ def _blocks(cuts: list[np.ndarray]):
                 )
 
         for batch in batches:
-            y, weight, draw, held = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4))
+            y, weight, draw, held = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5, 6))
             draw = draw.astype(np.uint32)
-            for first, x in _dense(batch.column(0), width):
+            for first, x in _dense(batch, width):
                 bins = np.empty(x.shape, np.uint8)
                 for at, edges in enumerate(cuts):
                     bins[:, at] = np.searchsorted(edges, x[:, at])
@@ -287,11 +342,20 @@ class Tree:
         return np.maximum(square - self.values**2, 0.0)
 
     def nodes(self, bins: np.ndarray) -> np.ndarray:
-        """Where each row of a block (column by row) ends."""
-        n = bins.shape[1]
-        node, flat, row = np.zeros(n, np.int64), bins.ravel(), np.arange(n)
-        for _ in range(self.depth):
-            node = self.left.take(node) + (flat.take(self.column.take(node) * n + row) > self.cut.take(node))
+        """Where each row of a block (column by row) ends: every node's rows are a mask, split by one comparison of its column."""
+        kind = np.min_scalar_type(len(self.left))
+        node = np.zeros(bins.shape[1], kind)
+        open_masks = [(0, np.ones(bins.shape[1], bool))]
+        while open_masks:
+            at, mine = open_masks.pop()
+            left = int(self.left[at])
+            if left == at:
+                node |= mine.view(np.uint8) * kind.type(at)
+                continue
+            right = bins[self.column[at]] > self.cut[at]
+            right &= mine
+            mine ^= right
+            open_masks += [(left + 1, right), (left, mine)]
         return node
 
 
@@ -301,9 +365,14 @@ def _advance(margin: np.ndarray, trees: list[Tree], rate: float, bins: np.ndarra
         yield margin
 
 
+def _block(row):
+    return (*row[:2], *map(bytes, row[2:]))
+
+
 def _unpacked(block):
-    bins = np.frombuffer(block["bins"], np.uint8).reshape(-1, block["n"])
-    return bins, *(np.frombuffer(block[c]) for c in ("y", "weight", "margin"))
+    """Bins (column by row), labels, weights, draws and margins of a block (a row of ``BLOCKS``)."""
+    _, n, bins, y, weight, draw, margin = block
+    return np.frombuffer(bins, np.uint8).reshape(-1, n), np.frombuffer(y), np.frombuffer(weight), np.frombuffer(draw, np.uint32), np.frombuffer(margin)
 
 
 def _is_drawn(draw: np.ndarray, share: float, seed: int) -> np.ndarray:
@@ -316,41 +385,71 @@ def _is_drawn(draw: np.ndarray, share: float, seed: int) -> np.ndarray:
     return x < share * 2.0**32
 
 
-def _sums(fresh: list[Tree], tree: Tree | None, slots: dict[int, int], drawn: list[int], sizes: list[int], rate: float, share: float, seed: int):
+def _grouped(drawn: list[int], sizes: list[int], nodes: int) -> list[list[int]]:
+    """Columns whose bins are counted together: one count by all their bins gives the counts of each."""
+    groups, product = [], JOINT + 1
+    for c in sorted(drawn, key=lambda c: sizes[c]):
+        if product * sizes[c] > JOINT:
+            groups.append([])
+            product = 1
+        groups[-1].append(c)
+        product *= sizes[c]
+    bins = sum(int(np.prod([sizes[c] for c in group])) for group in groups)
+    return groups if 32 * bins * nodes <= HELD // 8 else [[c] for c in drawn]
+
+
+def _drawn_rows(fresh: list[Tree], rate: float, share: float, seed: int):
+    """The rows of a block that take part in a round: their bins, and the weights and steps that their margins leave."""
+
+    def drawn_rows(block):
+        bins, y, weight, draw, margin = _unpacked(block)
+        for margin in _advance(margin, fresh, rate, bins):
+            pass
+        rows = np.flatnonzero(_is_drawn(draw, share, seed))
+        y, weight, margin = y.take(rows), weight.take(rows), margin.take(rows)
+        with np.errstate(over="ignore"):
+            p = 1 / (1 + np.exp(-margin))
+        curve = np.maximum(p * (1 - p), LEAST_CURVATURE)
+        return len(rows), bins.take(rows, axis=1).tobytes(), (weight * curve).tobytes(), (weight * (y - p)).tobytes()
+
+    return drawn_rows
+
+
+def _sums(tree: Tree | None, slots: dict[int, int], drawn: list[int], groups: list[list[int]], sizes: list[int]):
     """Sums of a task's drawn rows by (open node, piece of columns): rows, weight, steps and their squares by bin."""
 
     def sums(blocks):
-        at = np.concatenate(([0], np.cumsum([sizes[c] for c in drawn])))
-        held = np.zeros((len(slots), 4, at[-1]))
-        for block in blocks:
-            bins, y, weight, margin = _unpacked(block)
-            rows = np.flatnonzero(_is_drawn(np.frombuffer(block["draw"], np.uint32), share, seed))
-            bins = bins[:, rows]
-            slot = np.zeros(len(rows), np.int64)
+        shapes = [[sizes[c] for c in group] for group in groups]
+        counts = [int(np.prod(shape)) for shape in shapes]
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        joint = np.zeros((len(slots), 4, ends[-1]))
+        if tree is not None:
+            places = np.full(len(tree.left), -1, np.int64)
+            places[list(slots)] = list(slots.values())
+        for n, bins, weight, step in blocks:
+            bins, weight, step, base = np.frombuffer(bins, np.uint8).reshape(-1, n), np.frombuffer(weight), np.frombuffer(step), np.zeros(n, np.int64)
+            rows = None
             if tree is not None:
-                places = np.full(len(tree.left), -1)
-                places[list(slots)] = list(slots.values())
-                slot = places.take(tree.nodes(bins))
-                inside = np.flatnonzero(slot >= 0)
-                if len(inside) < len(rows):
-                    rows, bins, slot = rows[inside], bins[:, inside], slot[inside]
-            y, weight, margin = y[rows], weight[rows], margin[rows]
-            for margin in _advance(margin, fresh, rate, bins):
-                pass
-            with np.errstate(over="ignore"):
-                p = 1 / (1 + np.exp(-margin))
-            curve = np.maximum(p * (1 - p), LEAST_CURVATURE)
-            step = (y - p) / curve
-            parts = (None, weight * curve, weight * (y - p), weight * (y - p) * step)
-            for j, c in enumerate(drawn):
-                size = sizes[c]
-                place = slot * size + bins[c]
+                base = places.take(tree.nodes(bins))
+                rows = np.flatnonzero(base >= 0)
+                base, weight, step = base.take(rows), weight.take(rows), step.take(rows)
+            parts = (None, weight, step, np.divide(step * step, weight, out=np.zeros(len(step)), where=weight > 0))
+            for group, shape, count, end in zip(groups, shapes, counts, ends):
+                place = base
+                for c, size in zip(group, shape):
+                    place = place * size
+                    place += bins[c] if rows is None else bins[c].take(rows)
                 for i, part in enumerate(parts):
-                    held[:, i, at[j] : at[j + 1]] += np.bincount(place, part, len(slots) * size).reshape(len(slots), size)
+                    joint[:, i, end : end + count] += np.bincount(place, part, len(slots) * count).reshape(len(slots), count)
+        alone = {}
+        for group, shape, count, end in zip(groups, shapes, counts, ends):
+            whole = joint[:, :, end : end + count].reshape(len(slots), 4, *shape)
+            for i, c in enumerate(group):
+                alone[c] = whole.sum(axis=tuple(2 + j for j in range(len(group)) if j != i))
         for first in range(0, len(drawn), PIECE):
-            some = slice(at[first], at[min(len(drawn), first + PIECE)])
+            some = np.concatenate([alone[c] for c in drawn[first : first + PIECE]], axis=2)
             for slot in range(len(slots)):
-                yield (slot, first), held[slot, :, some]
+                yield (slot, first), some[slot]
 
     return sums
 
@@ -380,30 +479,78 @@ def _best(drawn: list[int], sizes: list[int]):
     return best
 
 
+def _smaller(tree: Tree | None, open_nodes: list[int]) -> dict[int, int | None]:
+    """Of each pair of children the one of fewer rows, and the other where it is open: what it holds is the rest of the parent's."""
+    if tree is None:
+        return {0: None}
+    asked = {}
+    for left in dict.fromkeys(n - 1 + n % 2 for n in open_nodes):  # children are numbered (1, 2), (3, 4), ...
+        few = left + int(tree.stats[left + 1, 0] < tree.stats[left, 0])
+        asked[few] = 2 * left + 1 - few
+    return asked
+
+
 def grow_tree(blocks: RDD, fresh: list[Tree], drawn: list[int], sizes: list[int], depth: int, rate: float, share: float, seed: int) -> Tree:
-    """A tree for the steps that the rows' margins and the ``fresh`` trees leave: one job a level, of bounded size."""
-    bins = sum(sizes[c] for c in drawn)
-    at_once = max(1, HELD // (32 * bins))
-    tree, open_nodes = None, [0]
+    """A tree for the steps that the rows' margins and the ``fresh`` trees leave: one job a level, of bounded size.
+
+    Where the sums of a level are a few MB, those of all nodes are kept for the
+    next level: only the smaller child of each pair is summed up there, the
+    other one is what is left of their parent.
+    """
+    ready = blocks.map(_drawn_rows(fresh, rate, share, seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _grown(ready, drawn, sizes, depth)
+    finally:
+        ready.unpersist()
+
+
+def _grown(ready: RDD, drawn: list[int], sizes: list[int], depth: int) -> Tree:
+    bins, tasks = sum(sizes[c] for c in drawn), ready.getNumPartitions()
+    narrow = 32 * bins << depth <= MEET
+    groups = _grouped(drawn, sizes, 1 << depth) if narrow else [[c] for c in drawn]
+    at_once = 1 << depth if narrow else max(1, HELD // (32 * bins))
+    best = _best(drawn, sizes)
+    tree, open_nodes, parents = None, [0], {}
     for level in range(depth):
-        found = {}
-        for first in range(0, len(open_nodes), at_once):
-            some = open_nodes[first : first + at_once]
-            slots = {node: i for i, node in enumerate(some)}
-            sums = blocks.mapPartitions(_sums(fresh, tree, slots, drawn, sizes, rate, share, seed))
-            # As many tasks as the sums are worth, a few MB each.
-            reducers = 1 + 32 * bins * len(some) * blocks.getNumPartitions() // MEET
-            for slot, cut in sums.reduceByKey(np.add, reducers).map(_best(drawn, sizes)).collect():
-                node = some[slot]
+        found, kept = {}, {}
+        pairs = _smaller(tree, open_nodes) if narrow else dict.fromkeys(open_nodes)
+        asked = list(pairs)
+        for first in range(0, len(asked), at_once):
+            some = asked[first : first + at_once]
+            sums = ready.mapPartitions(_sums(tree, {node: i for i, node in enumerate(some)}, drawn, groups, sizes))
+            # Sums of a few MB meet in the driver, larger ones in as many tasks as they are worth.
+            reducers = 32 * bins * len(some) * tasks // MEET
+            if not narrow:
+                for slot, cut in sums.reduceByKey(np.add, 1 + reducers).map(best).collect():
+                    node = some[slot]
+                    if node not in found or (cut[1], -cut[2]) > (found[node][1], -found[node][2]):
+                        found[node] = cut
+                continue
+            if reducers:
+                sums = sums.reduceByKey(np.add, 1 + reducers)
+            for (slot, piece), part in sums.collect():
+                key = some[slot], piece
+                kept[key] = kept[key] + part if key in kept else part
+        if narrow:
+            for (node, piece), part in list(kept.items()):
+                other = pairs[node]
+                if other is not None:
+                    rest = parents[(min(node, other), piece)] - part
+                    rest[:, rest[0] < 0.5] = 0.0
+                    kept[other, piece] = rest
+            for (node, piece), part in kept.items():
+                cut = best(((node, piece), part))[1]
                 if node not in found or (cut[1], -cut[2]) > (found[node][1], -found[node][2]):
                     found[node] = cut
         tree = tree or Tree(found[0][0])
-        following, square = [], np.divide(tree.stats[:, 3], tree.stats[:, 1], out=np.zeros(len(tree.stats)), where=tree.stats[:, 1] > 0)
+        following, parents, square = [], {}, np.divide(tree.stats[:, 3], tree.stats[:, 1], out=np.zeros(len(tree.stats)), where=tree.stats[:, 1] > 0)
         for node in open_nodes:
             total, gain, column, cut, left = found[node]
             # Less than rounding errors come to is no gain.
             if gain > 1e-12 * square[node]:
-                following += tree.split(node, gain, column, cut, left, total - left)
+                children = tree.split(node, gain, column, cut, left, total - left)
+                following += children
+                parents.update({(children[0], piece): part for (at, piece), part in kept.items() if at == node})
         if not following:
             break
         tree.depth = level + 1
@@ -439,16 +586,11 @@ def as_regressor(tree: Tree, cuts: list[np.ndarray]) -> DecisionTreeRegressionMo
 
 
 def _stepping(trees: list[Tree], rate: float):
-    """Label and margins after each of the trees, of every row of the blocks."""
+    """Labels and margins after each of the trees, of every row of a block."""
 
-    def stepping(batches):
-        for batch in batches:
-            for block in range(batch.num_rows):
-                row = {c: batch.column(i)[block].as_py() for i, c in enumerate(batch.schema.names)}
-                bins, y, _, margin = _unpacked(row)
-                steps = np.stack(list(_advance(margin, trees, rate, bins)), axis=1)
-                offsets = pa.array(np.arange(0, steps.size + 1, len(trees)), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(y), pa.ListArray.from_arrays(offsets, pa.array(steps.ravel()))], names=["y", "steps"])
+    def stepping(block):
+        bins, y, _, _, margin = _unpacked(block)
+        return y, np.round(np.stack(list(_advance(margin, trees, rate, bins)), axis=1), DIGITS)
 
     return stepping
 
@@ -457,7 +599,7 @@ def _moved(trees: list[Tree], rate: float):
     """A block with its margins after the trees."""
 
     def moved(block):
-        bins, _, _, margin = _unpacked(block)
+        bins, _, _, _, margin = _unpacked(block)
         for margin in _advance(margin, trees, rate, bins):
             pass
         return (*block[:-1], margin.tobytes())
@@ -515,24 +657,25 @@ def boost(
     cuts = column_cuts(rows.where(~F.col("held_out")), "x", "row", head["fit"])
     width, sizes = len(cuts), [len(c) + 1 for c in cuts]
     # Blocks are dealt evenly: a level takes as long as its longest task.
-    slots = 2 * spark.sparkContext.defaultParallelism
-    packed = rows.select(F.unwrap_udt("x"), "y", "weight", F.xxhash64("row").bitwiseAND(F.lit(0xFFFFFFFF)).alias("draw"), "held_out").mapInArrow(_blocks(cuts), BLOCKS)
-    packed.repartition(slots).write.parquet(uri)
+    context = spark.sparkContext
+    packed = rows.select(*_plain("x"), "y", "weight", F.xxhash64("row").bitwiseAND(F.lit(0xFFFFFFFF)).alias("draw"), "held_out").mapInArrow(_blocks(cuts), BLOCKS)
+    packed.repartition(context.defaultParallelism).rdd.map(_block).saveAsPickleFile(uri, batchSize=1)
     discard(spark, given)
     rng = np.random.default_rng(seed)
     grown, areas, columns, best = [], [], [], 0
     while len(grown) < rounds:
         fresh = []
-        state = spark.read.schema(BLOCKS).parquet(uri)
-        blocks = state.where(~F.col("held_out")).rdd
+        state = context.pickleFile(uri)
+        # Read once for the rounds of the chunk; what is lost is read again.
+        blocks = state.filter(lambda block: not block[0]).persist(StorageLevel.MEMORY_AND_DISK)
         for _ in range(min(chunk, rounds - len(grown))):
             t = len(grown) + len(fresh)
             columns.append(_drawn_columns(width, column_share, rng))
             fresh.append(grow_tree(blocks, fresh, columns[-1], sizes, depth, rate, row_share, seed + t))
+        blocks.unpersist()
         grown += fresh
         if validation:
-            steps = state.where("held_out").mapInArrow(_stepping(fresh, rate), "y double, steps array<double>")
-            areas += staged_average_precision(steps.withColumn("steps", F.transform("steps", lambda s: F.round(s, DIGITS))), "steps", "y")
+            areas += _areas(state.filter(lambda block: block[0]).map(_stepping(fresh, rate)))
             best = 1 + int(np.argmax(areas))
             # Rounds count one by one, whatever the chunk: the first best with no better one within the patience ends it.
             high, at = -1.0, 0
@@ -548,7 +691,7 @@ def boost(
             best = len(grown)
         if len(grown) < rounds:
             following = scratch_uri(spark, "margins")
-            spark.createDataFrame(state.rdd.map(_moved(fresh, rate)), BLOCKS, verifySchema=False).write.parquet(following)
+            state.map(_moved(fresh, rate)).saveAsPickleFile(following, batchSize=1)
             discard(spark, uri)
             uri = following
     discard(spark, uri)

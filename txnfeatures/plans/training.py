@@ -48,13 +48,12 @@ class Trained:
 
 
 def _split(df: DataFrame, label: str, test_share: float, seed: int, uri: str) -> DataFrame:
-    """Rows with their side, stored: fit and test read the same files.
+    """Rows with their side: fit and test read the same stored rows, the side is told from the stored hash.
 
     The side follows a hash of the row, so equal rows never stand on both.
     """
-    rows = df.withColumn(ROW, row_hash(*df.columns, seed=seed))
-    stratified_split(rows, ROW, label, test_share, seed, TEST).write.parquet(uri)
-    return df.sparkSession.read.parquet(uri)
+    df.withColumn(ROW, row_hash(*df.columns, seed=seed)).write.parquet(uri)
+    return stratified_split(df.sparkSession.read.parquet(uri), ROW, label, test_share, seed, TEST)
 
 
 def _watched(share: float, seed: int):
